@@ -115,10 +115,11 @@ def latest_with_profile(mapping: DataFrame, key: str, profile: DataFrame, entity
 
 def exploded_matches(matched: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(id_type, id) of every matched id."""
-    cells = [
-        F.transform(c, lambda s, c=c: F.struct(F.lit(c).alias("id_type"), s["id"].cast("string").alias("id")))
-        for c in columns
-    ]
+
+    def typed(name: str) -> Column:
+        return F.transform(name, lambda s: F.struct(F.lit(name).alias("id_type"), s["id"].cast("string").alias("id")))
+
+    cells = [typed(c) for c in columns]
     empty = F.array().cast("array<struct<id_type:string,id:string>>")
     return matched.select(F.explode(F.concat(*[F.coalesce(c, empty) for c in cells])).alias("m")).select("m.*")
 

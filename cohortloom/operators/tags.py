@@ -186,10 +186,10 @@ def _merge_by(rows: DataFrame, form: str) -> DataFrame:
 
 def split_by_category(df: DataFrame, key: str, categories: Mapping[str, Sequence[str]], tags: str = "tags") -> DataFrame:
     """(key, category, map) slices of a wide map; empty slices drop."""
-    cells = [
-        F.struct(
-            F.lit(name).alias("category"), F.map_filter(F.col(tags), lambda k, t=tuple(wanted): k.isin(*t)).alias("tags")
-        )
-        for name, wanted in categories.items()
-    ]
+
+    def part(name: str, wanted: Sequence[str]) -> Column:
+        kept = F.map_filter(F.col(tags), lambda k, _: k.isin(list(wanted)))
+        return F.struct(F.lit(name).alias("category"), kept.alias("tags"))
+
+    cells = [part(name, wanted) for name, wanted in categories.items()]
     return df.select(key, F.explode(F.array(*cells)).alias("c")).select(key, "c.*").where(F.size("tags") > 0)

@@ -7,6 +7,8 @@ from cohortloom.plans.registry import QUERIES  # noqa: F401
 FAMILIES = (
     "seed",
     "filter",
+    "distribution",
+    "mapping",
 )
 
 for _family in FAMILIES:
