@@ -162,7 +162,7 @@ def cumulative_churn(cohort: DataFrame, states: DataFrame, app: str, entity: str
     sums = base.unionByName(states.select(app, entity, "uninstall", "install")).groupBy(app, entity).agg(
         F.sum("uninstall").alias("u"), F.sum("install").alias("i")
     )
-    counts = sums.groupBy(app).agg(F.count_if("u > 0").alias("uninstall"), F.count_if("i > 0").alias("installed"))
+    counts = sums.groupBy(app).agg(F.count_if(F.col("u") > 0).alias("uninstall"), F.count_if(F.col("i") > 0).alias("installed"))
     return counts.withColumn("percent", F.round(F.try_divide("uninstall", "installed") * 100, 1))
 
 

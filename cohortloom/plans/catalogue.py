@@ -9,6 +9,8 @@ FAMILIES = (
     "filter",
     "distribution",
     "mapping",
+    "tag",
+    "activity",
 )
 
 for _family in FAMILIES:
