@@ -11,6 +11,10 @@ FAMILIES = (
     "mapping",
     "tag",
     "activity",
+    "place",
+    "web",
+    "feature",
+    "sink",
 )
 
 for _family in FAMILIES:
