@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortloom.functions import maps
+
 
 def plain_number(value: Column, places: int = 6) -> Column:
     """Number as text without an exponent and without trailing zeros."""
@@ -22,26 +24,33 @@ def four_places(value: Column) -> Column:
 
 
 def pack_nonzero(names: Sequence[str], values: Sequence[Column]) -> Column:
-    """``"name,name=value,value"`` over the values that are neither blank nor zero;
-    texts with a decimal point are rounded to four places."""
-    cells = []
-    for name, value in zip(names, values, strict=True):
-        text = value.cast("string")
-        number = F.try_to_number(text, F.lit("S999999999999999D999999999999"))
-        text = F.when(F.contains(text, F.lit(".")) & number.isNotNull(), four_places(number)).otherwise(text)
-        keep = ~F.coalesce(F.trim(text) == "", F.lit(True)) & ~F.coalesce(
-            text.try_cast("double") == 0, F.lit(False)
-        )
-        cells.append(F.when(keep, F.struct(F.lit(name).alias("n"), text.alias("v"))))
-    kept = F.filter(F.array(*cells), lambda c: c.isNotNull())
-    return F.when(
-        F.size(kept) > 0,
-        F.concat(
-            F.array_join(F.transform(kept, lambda c: c["n"]), ","),
-            F.lit("="),
-            F.array_join(F.transform(kept, lambda c: c["v"]), ","),
+    """``"name,name=value,value"`` over the values that are neither blank nor zero; numbers with a
+    decimal point are rounded to four places."""
+    cells = F.array(
+        *[F.struct(F.lit(n).alias("n"), v.cast("string").alias("v")) for n, v in zip(names, values, strict=True)]
+    )
+    # Patterns instead of casts: a failed cast of ordinary text is far slower than a test.
+    rounded = F.transform(
+        cells,
+        lambda c: F.struct(
+            c["n"].alias("n"),
+            F.when(c["v"].rlike(r"^[+-]?[0-9]*\.[0-9]+$"), four_places(c["v"])).otherwise(c["v"]).alias("v"),
+        ),
+    )
+    kept = F.filter(rounded, lambda c: ~(maps.is_blank(c["v"]) | c["v"].rlike(r"^[+-]?0*\.?0*$")))
+    # A one-element array binds the list once for both halves of the text.
+    packed = F.transform(
+        F.array(kept),
+        lambda k: F.when(
+            F.size(k) > 0,
+            F.concat(
+                F.array_join(F.transform(k, lambda c: c["n"]), ","),
+                F.lit("="),
+                F.array_join(F.transform(k, lambda c: c["v"]), ","),
+            ),
         ),
     )
+    return packed[0]
 
 
 def flatten_struct(names: Sequence[str], values: Sequence[Column], separator: str = ",") -> Column:

@@ -18,7 +18,7 @@ def asof_join(
     strict: bool = False,
     forward: bool = False,
     first_if_before: bool = False,
-    bucket: str = "day",
+    bucket: str = "hour",
 ) -> DataFrame:
     """Left rows with the ``payload`` of the last right row at or before (``strict``: before)
     their time; ``forward`` takes the first one at or after. Equal right times are settled by
@@ -28,22 +28,23 @@ def asof_join(
     No pairs are formed. Right rows are first reduced to one carry row per (key, time bucket);
     those are chained along the key (one row per bucket, so bounded by the calendar). Then
     left, right and carry rows meet in a window over (key, bucket). A hot key is thus spread
-    over its buckets.
+    over its buckets: days for dates, ``bucket`` units for timestamps.
     """
     if forward and first_if_before:
         raise ValueError("first_if_before goes with a backward match")
-    time_type = right.schema[right_time].dataType
     kept = list(left.columns)
-    cut = F.date_trunc if time_type.typeName() != "date" else (lambda unit, c: F.trunc(c, unit))
-    unit = bucket if time_type.typeName() != "date" else {"day": "month"}.get(bucket, bucket)
+    is_date = right.schema[right_time].dataType.typeName() == "date"
+
+    def cut(time: Column) -> Column:
+        return time if is_date else F.date_trunc(bucket, time)
 
     newest = F.min if forward else F.max
     rows = right.select(
         *keys, F.col(right_time).alias("_t"), F.struct(*payload).alias("_p")
-    ).withColumn("_b", cut(unit, F.col("_t")))
+    ).withColumn("_b", cut(F.col("_t")))
     rows = rows.groupBy(*keys, "_b", "_t").agg(F.max("_p").alias("_p"))
     asks = left.select(*keys, F.col(left_time).alias("_t"), F.struct(*kept).alias("_l")).withColumn(
-        "_b", cut(unit, F.col("_t"))
+        "_b", cut(F.col("_t"))
     )
 
     # One row per (key, bucket): what the bucket hands on, and whether someone asks there.

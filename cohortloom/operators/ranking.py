@@ -26,14 +26,17 @@ def top_k_per_group(
     order: Sequence[Column],
     k: int,
     rank: str | None = "rn",
-    salts: int = 1,
+    salts: int | None = None,
 ) -> DataFrame:
     """The first ``k`` rows of each group; ``order`` must be total within a group.
 
     Spark limits each map task to ``k`` rows per group before the shuffle
-    (WindowGroupLimit). With ``salts`` > 1 a hot group is first cut to ``k`` rows in each of
-    ``salts`` slices, so that the last task sees at most ``salts * k`` rows of it.
+    (WindowGroupLimit), up to ``k`` = 1000. With ``salts`` > 1, the default for larger ``k``, a hot
+    group is first cut to ``k`` rows in each of ``salts`` slices, so that the last task sees at most
+    ``salts * k`` rows of it.
     """
+    if salts is None:
+        salts = 1 if k <= 1000 else 64
     if salts > 1:
         spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in keys]), F.lit(salts))
         sliced = Window.partitionBy(*keys, "_salt").orderBy(*order)

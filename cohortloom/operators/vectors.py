@@ -14,26 +14,29 @@ from pyspark.sql import functions as F
 from cohortloom.operators import ranking
 
 
-def _elements(vector: str, dims: int) -> list[Column]:
-    return [F.col(vector)[i].cast("double") for i in range(dims)]
+def _per_element(function: str, vector: str, dims: int) -> Column:
+    """``array(function(v[0]), function(v[1]), ...)`` as one parsed expression."""
+    return F.expr("array(" + ", ".join(f"{function}(cast(`{vector}`[{i}] as double))" for i in range(dims)) + ")")
 
 
-def _weighted_sum(parts: Sequence[Column], weights: Sequence[float]) -> Column:
-    """Sum of part * weight as one generated-code expression."""
-    return reduce(lambda a, b: a + b, [p * F.lit(float(w)) for p, w in zip(parts, weights, strict=True)])
+def _literal(values: Sequence[float]) -> Column:
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def _dot(left: Column, right: Column) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
 def mean_vector(df: DataFrame, keys: Sequence[str], vector: str, dims: int, name: str = "mean") -> DataFrame:
     """True element-wise mean per key: one average per dimension, combined before the shuffle."""
-    means = [F.avg(e) for e in _elements(vector, dims)]
-    return df.groupBy(*keys).agg(F.array(*means).alias(name))
+    return df.groupBy(*keys).agg(_per_element("avg", vector, dims).alias(name))
 
 
 def standardise(df: DataFrame, vector: str, dims: int, name: str = "scaled") -> DataFrame:
     """(x - mean) / sample standard deviation per dimension, 0 where the deviation is 0. The statistics are
     one row, used as a scalar subquery."""
-    parts = _elements(vector, dims)
-    stats = df.agg(F.array(*[F.struct(F.avg(p).alias("m"), F.stddev_samp(p).alias("s")) for p in parts])).scalar()
+    means, spreads = _per_element("avg", vector, dims), _per_element("stddev_samp", vector, dims)
+    stats = df.agg(F.arrays_zip(means.alias("m"), spreads.alias("s"))).scalar()
     scaled = F.zip_with(
         F.col(vector),
         F.col("_stats"),
@@ -44,8 +47,7 @@ def standardise(df: DataFrame, vector: str, dims: int, name: str = "scaled") ->
 
 def project(df: DataFrame, vector: str, loadings: Sequence[Sequence[float]], name: str = "projected") -> DataFrame:
     """Product with a given loading matrix (one row of weights per component), three decimals."""
-    parts = _elements(vector, len(loadings[0]))
-    return df.withColumn(name, F.array(*[F.round(_weighted_sum(parts, row), 3) for row in loadings]))
+    return df.withColumn(name, F.array(*[F.round(_dot(F.col(vector), _literal(row)), 3) for row in loadings]))
 
 
 def rolling_store(
@@ -62,9 +64,9 @@ def lookalike(df: DataFrame, seeds: DataFrame, key: str, vector: str, dims: int,
     """Entities by euclidean distance to the centroid of the seeds' vectors, nearest first, ties by key. The
     centroid is one row, used as a scalar subquery."""
     known = df.join(seeds.select(key).distinct(), key, "left_semi")
-    centroid = known.agg(F.array(*[F.avg(e) for e in _elements(vector, dims)])).scalar()
-    squares = [F.pow(e - F.col("_c")[i], F.lit(2.0)) for i, e in enumerate(_elements(vector, dims))]
-    distance = F.sqrt(reduce(lambda a, b: a + b, squares))
+    centroid = known.agg(_per_element("avg", vector, dims)).scalar()
+    gaps = F.zip_with(vector, F.col("_c"), lambda x, m: x.cast("double") - m)
+    distance = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g))
     ranked = df.withColumn("_c", centroid).select(key, distance.alias("distance")).where(F.col("distance").isNotNull())
     return ranking.ordered_report(ranked, [F.asc("distance"), F.asc(key)], limit)
 
@@ -147,14 +149,23 @@ def latest_texts(df: DataFrame, name: str, text: str, day: str, newest, days: in
     return ranking.latest_per_key(recent, [name], [day, text])
 
 
-def text_embedding(df: DataFrame, text: str, stop_words: Sequence[str], size: int = 100, seed: int = 42, partitions: int = 1) -> DataFrame:
-    """Mean Word2Vec vector of the tokens of each row, as array<double>."""
+def text_embedding(
+    df: DataFrame, text: str, stop_words: Sequence[str], size: int = 100, seed: int = 42, minimum_count: int = 0
+) -> DataFrame:
+    """Mean Word2Vec vector of the tokens of each row, as array<double>. The text is trained on in as many
+    slices as the session runs tasks; ``minimum_count`` bounds the vocabulary, which Spark ML keeps on
+    the driver."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
     worded = df.withColumn("_tokens", tokens(F.col(text), stop_words))
     model = Word2Vec(
-        vectorSize=size, minCount=0, seed=seed, numPartitions=partitions, inputCol="_tokens", outputCol="_vector"
+        vectorSize=size,
+        minCount=minimum_count,
+        seed=seed,
+        numPartitions=df.sparkSession.sparkContext.defaultParallelism,
+        inputCol="_tokens",
+        outputCol="_vector",
     ).fit(worded)
     return model.transform(worded).withColumn("embedding", vector_to_array("_vector")).drop("_tokens", "_vector")
 

@@ -316,13 +316,12 @@ def sparse_text(t):
     )
     rows = t.orders.where("o_orderkey <> 0").select("o_orderkey", packed.alias("packed"))
     parsed = maps.parse_sparse(F.col("packed"))
-    by_name = F.map_from_entries(parsed)
-    return rows.select(
+    return rows.select("o_orderkey", "packed", parsed.alias("cells")).select(
         "o_orderkey",
         F.concat(F.substring_index("packed", "=", 1), F.lit("=")).alias("names"),
-        text.plain_number(by_name["key"].cast("double")).alias("key_text"),
-        by_name["price"].alias("price_text"),
-        F.size(parsed).cast("long").alias("n"),
+        text.plain_number(F.col("cells")[1]["value"].cast("double")).alias("key_text"),
+        F.element_at("cells", -1)["value"].alias("price_text"),
+        F.size("cells").cast("long").alias("n"),
     )
 
 

@@ -16,13 +16,28 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet", where: Column | N
 
 def latest_partition(df: DataFrame, partition: str, upto=None, pattern: str | None = None) -> DataFrame:
     """Rows of the greatest partition value, optionally at or before ``upto`` and matching a pattern;
-    no rows when there is none. The maximum is a scalar subquery over the partition column."""
+    no rows when there is none. The one value comes to the driver, because only a literal prunes the
+    file listing of the scan."""
     days = df.select(partition)
     if upto is not None:
         days = days.where(F.col(partition) <= F.lit(upto))
     if pattern is not None:
         days = days.where(F.col(partition).cast("string").rlike(pattern))
-    return df.where(F.col(partition) == days.agg(F.max(partition)).scalar())
+    newest = days.agg(F.max(partition)).first()[0]
+    return df.where(F.lit(False)) if newest is None else df.where(F.col(partition) == F.lit(newest))
+
+
+def latest_table_partition(spark: SparkSession, table: str, upto: str | None = None, pattern: str | None = None) -> DataFrame:
+    """As :func:`latest_partition` for a catalogue table with one partition column, from the catalogue's
+    partition list alone: no data file is opened to find the value."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "=", 1).alias("name"), F.substring_index("partition", "=", -1).alias("value"))
+    if upto is not None:
+        listed = listed.where(F.col("value") <= upto)
+    if pattern is not None:
+        listed = listed.where(F.col("value").rlike(pattern))
+    newest = listed.agg(F.max(F.struct("value", "name")).alias("m")).first()["m"]
+    df = spark.table(table)
+    return df.where(F.lit(False)) if newest is None else df.where(F.col(newest["name"]) == newest["value"])
 
 
 def period_partition(df: DataFrame, partition: str, day, period: str) -> DataFrame:
