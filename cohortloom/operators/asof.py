@@ -133,17 +133,19 @@ def source_and_flow(
         entity, F.col(start).alias("_st"), *[F.col(c).alias(f"source_{c}") for c in place]
     )
     flow = stays.select(entity, F.col(end).alias("_en"), *[F.col(c).alias(f"flow_{c}") for c in place])
-    out = asof_join(bounds, source, [entity], "last_visit", "_st", [f"source_{c}" for c in place], strict=True)
-    out = asof_join(
-        out, flow, [entity], "first_visit", "_en", [f"flow_{c}" for c in place], strict=True, forward=True
+    kept = list(bounds.columns)
+    before = asof_join(bounds, source, [entity], "last_visit", "_st", [f"source_{c}" for c in place], strict=True)
+    after = asof_join(
+        bounds, flow, [entity], "first_visit", "_en", [f"flow_{c}" for c in place], strict=True, forward=True
     )
+    # Joined, not chained: a chained match would evaluate the first one twice.
+    out = before.join(after, kept)
     fallback = frequent.select(entity, *[F.col(c).alias(f"_f_{c}") for c in place])
     out = out.join(fallback, entity, "left")
     missing = F.col(f"flow_{place[0]}").isNull()
     for c in place:
         out = out.withColumn(f"_n_{c}", F.when(missing, F.col(f"_f_{c}")).otherwise(F.col(f"flow_{c}")))
-    kept = [c for c in bounds.columns] + [f"source_{c}" for c in place]
-    return out.select(*kept, *[F.col(f"_n_{c}").alias(f"flow_{c}") for c in place])
+    return out.select(*kept, *[f"source_{c}" for c in place], *[F.col(f"_n_{c}").alias(f"flow_{c}") for c in place])
 
 
 def point_in_time(

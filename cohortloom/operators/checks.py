@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.distribution import with_total
+from cohortloom.operators.distribution import with_totals
 from cohortloom.operators.ranking import top_k_per_group
+from cohortloom.session import cut_lineage
 
 
 def normal_text(value: Column) -> Column:
@@ -40,8 +41,6 @@ def missing_partitions(expected: DataFrame, present: DataFrame, keys: Sequence[s
 def cumulative_counts(counts: DataFrame, order: Sequence[str], group: str, n: str) -> DataFrame:
     """(…, ``upto``): running sum of ``n`` in ``order`` (unique rows, led by ``group``) within each
     group, whatever its size: running sums inside sorted slices plus the total of earlier slices."""
-    from cohortloom.session import cut_lineage
-
     slices = cut_lineage(counts.orderBy(*order).withColumn("_part", F.spark_partition_id()))
     sizes = slices.groupBy(group, "_part").agg(F.sum(n).alias("_size"))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +58,7 @@ def exact_quantiles(counts: DataFrame, group: str, value: str, n: str, levels: S
     """(group, level, value): the smallest value whose cumulative count reaches ``level`` of the group.
     ``counts`` has one row per (group, value). Exact, and no task holds a whole group."""
     running = cumulative_counts(counts, [group, value], group, n)
-    total = with_total(running, [group], n, "_total")
+    total = with_totals(running, [group], {"_total": n})
     # Six decimals, so that 0.95 * 20 asks for 19 and not 19.000000000000004.
     wanted = F.array(*[F.struct(F.lit(p).alias("level"), F.greatest(F.ceil(F.round(F.col("_total") * p, 6)), F.lit(1)).alias("at")) for p in levels])
     crossed = total.select(group, value, "upto", n, F.explode(wanted).alias("w")).where(
@@ -77,15 +76,15 @@ def column_profile(df: DataFrame, ends: int = 5) -> DataFrame:
     population deviation, min, quantiles and max; for text the most frequent values ("top") and the
     least frequent ("bottom") as text.
 
-    Columns are unpivoted and reduced to (column, value, count) first. Everything after that works on
-    distinct values.
+    Columns are unpivoted and reduced to (column, value, count), which is checkpointed: the table is
+    scanned once and everything after that works on distinct values.
     """
     names = df.columns
     types = dict(df.dtypes)
     numeric = [c for c in names if types[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or types[c].startswith("decimal")]
     long = df.select([F.col(c).cast("string").alias(c) for c in names]).unpivot([], list(names), "column_name", "value")
     blank = F.col("value").isNull() | (F.trim("value") == "")
-    counts = long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    counts = cut_lineage(long.groupBy("column_name", "value").agg(F.count("*").alias("n")))
     basic = counts.groupBy("column_name").agg(
         F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("blank_cnt"),
         F.coalesce(F.sum(F.when(~blank, F.col("n"))), F.lit(0)).alias("valid_cnt"),

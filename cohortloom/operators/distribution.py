@@ -10,30 +10,37 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import ranking
 from cohortloom.operators.filters import drop_junk_shares
+from cohortloom.session import cut_lineage
 
 
 def label_pairs(df: DataFrame, key: str, labels: Sequence[str], tags: str = "tags") -> DataFrame:
     """(key, label, value): every requested label once per csv value, ``-1``, blank and missing
     values as ``unknown``. Values of one entity and label are distinct."""
-    wanted = [
-        F.struct(F.lit(name).alias("label"), F.try_element_at(F.col(tags), F.lit(name)).alias("csv"))
-        for name in labels
-    ]
-    value = F.when(F.trim(F.col("p.csv")).isin("", "-1") | F.col("p.csv").isNull(), "unknown").otherwise(
-        F.col("p.csv")
-    )
-    return (
-        df.select(key, F.explode(F.array(*wanted)).alias("p"))
-        .select(key, F.col("p.label").alias("label"), F.explode(F.array_distinct(F.split(value, ","))).alias("value"))
+    return _label_cells(df, key, [F.lit(name) for name in labels], tags)
+
+
+def _label_cells(df: DataFrame, key: str, labels: Sequence[Column], tags: str) -> DataFrame:
+    wanted = [F.struct(n.alias("label"), F.try_element_at(F.col(tags), n).alias("csv")) for n in labels]
+    csv = F.col("p.csv")
+    value = F.when(csv.isNull() | F.trim(csv).isin("", "-1"), "unknown").otherwise(csv)
+    return df.select(key, F.explode(F.array(*wanted)).alias("p")).select(
+        key, F.col("p.label").alias("label"), F.explode(F.array_distinct(F.split(value, ","))).alias("value")
     )
 
 
 def label_distribution(df: DataFrame, key: str, labels: Sequence[str], tags: str = "tags") -> DataFrame:
     """cnt and share of entities per (label, value). ``df`` has one row per entity. The denominator
-    is entities, so a multi-valued label may add up to more than 1."""
-    total = df.agg(F.count(key)).scalar()
-    counts = label_pairs(df, key, labels, tags).groupBy("label", "value").agg(F.count("*").alias("cnt"))
-    return counts.withColumn("percent", F.round(F.col("cnt") / total, 4).cast("decimal(5,4)"))
+    is entities, so a multi-valued label may add up to more than 1.
+
+    A null label rides along and counts the entities themselves, so the input is read once: the
+    scalar total and the rows share one shuffle of counts. The final test mentions ``cnt`` to stay
+    above the aggregate; pushed below, it would split the plan in two.
+    """
+    cells = _label_cells(df, key, [*[F.lit(n) for n in labels], F.lit(None).cast("string")], tags)
+    counts = cells.groupBy("label", "value").agg(F.count("*").alias("cnt"))
+    total = counts.agg(F.sum(F.when(F.col("label").isNull(), F.col("cnt")))).scalar()
+    shares = counts.withColumn("percent", F.round(F.col("cnt") / total, 4).cast("decimal(5,4)"))
+    return shares.where(F.when(F.col("label").isNotNull(), F.col("cnt")) > 0)
 
 
 def distinct_entities(df: DataFrame, groups: Sequence[str], key: str, name: str = "cnt") -> DataFrame:
@@ -78,23 +85,30 @@ def attribute_counts(df: DataFrame, groups: Sequence[str], attributes: Sequence[
     return long.groupBy(*groups, "label", "value").agg(F.count("*").alias("cnt"))
 
 
-def with_total(df: DataFrame, within: Sequence[str], measure: str, name: str) -> DataFrame:
-    """Sum of ``measure`` over the group as a column. Group totals are aggregated and joined back
-    (null-safe) rather than windowed, so a label with very many values never meets in one task."""
+def with_totals(df: DataFrame, within: Sequence[str], totals: Mapping[str, str]) -> DataFrame:
+    """Sums over the group as columns (new name -> measure). Totals are aggregated and joined back
+    (null-safe) rather than windowed, so a label with very many values never meets in one task.
+    ``df`` is read twice: pass a stored or checkpointed frame of counts, not the raw rows."""
+    sums = [F.sum(measure).alias(name) for name, measure in totals.items()]
     if not within:
-        return df.withColumn(name, df.agg(F.sum(measure)).scalar())
-    totals = df.groupBy(*[F.col(c).alias(f"_t_{c}") for c in within]).agg(F.sum(measure).alias(name))
+        for name, measure in totals.items():
+            df = df.withColumn(name, df.agg(F.sum(measure)).scalar())
+        return df
+    grouped = df.groupBy(*[F.col(c).alias(f"_t_{c}") for c in within]).agg(*sums)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in within])
-    return df.join(totals, same).drop(*[f"_t_{c}" for c in within])
+    return df.join(grouped, same).drop(*[f"_t_{c}" for c in within])
 
 
 def with_share(df: DataFrame, within: Sequence[str], measure: str, name: str = "share") -> DataFrame:
-    """``measure`` over its sum in the group."""
-    return with_total(df, within, measure, "_total").withColumn(name, F.col(measure) / F.col("_total")).drop("_total")
+    """``measure`` over its sum in the group; reads ``df`` as :func:`with_totals` does."""
+    summed = with_totals(df, within, {"_total": measure})
+    return summed.withColumn(name, F.col(measure) / F.col("_total")).drop("_total")
 
 
 def attribute_shares(df: DataFrame, groups: Sequence[str], attributes: Sequence[str]) -> DataFrame:
-    return with_share(attribute_counts(df, groups, attributes), [*groups, "label"], "cnt")
+    """Counts of :func:`attribute_counts` with their share inside (groups, label). The counts are
+    checkpointed, so the rows are scanned once."""
+    return with_share(cut_lineage(attribute_counts(df, groups, attributes)), [*groups, "label"], "cnt")
 
 
 def calibrate(
@@ -106,15 +120,19 @@ def calibrate(
     ``totals``: groups, total_b. index = share / ratio_a * ratio_b; weight = index / sum(index);
     cnt_b = weight * total_b; final = (cnt + cnt_b) / (sum cnt + sum cnt_b).
     """
-    label = [*groups, "label"]
     indexed = (
         observed.join(ratios, ["label", "value"])
         .join(totals, list(groups))
         .withColumn("index", F.col("share") / F.col("ratio_a") * F.col("ratio_b"))
     )
-    weighted = with_share(indexed, label, "index", "weight").withColumn("cnt_b", F.col("weight") * F.col("total_b"))
-    combined = weighted.withColumn("_both", F.col("cnt") + F.col("cnt_b"))
-    return with_share(combined, label, "_both", "final_share").drop("_both")
+    # The weights of a label add up to 1, hence sum(cnt_b) = total_b.
+    summed = with_totals(indexed, [*groups, "label"], {"_index": "index", "_cnt": "cnt"})
+    return (
+        summed.withColumn("weight", F.col("index") / F.col("_index"))
+        .withColumn("cnt_b", F.col("weight") * F.col("total_b"))
+        .withColumn("final_share", (F.col("cnt") + F.col("cnt_b")) / (F.col("_cnt") + F.col("total_b")))
+        .drop("_index", "_cnt")
+    )
 
 
 def counter_stack(df: DataFrame, groups: Sequence[str], counters: Mapping[str, Column]) -> DataFrame:
@@ -165,8 +183,14 @@ def value_index(
 ) -> DataFrame:
     """TGI per (segment, label, value): share inside the segment over share in total x 100, zero for
     listed (label, value) pairs a segment lacks."""
-    totals = with_total(counts, [segment, label], cnt, "_segment")
-    totals = with_total(with_total(totals, [label], cnt, "_label"), [label, value], cnt, "_value")
+    counts = cut_lineage(counts)
+    by_label = counts.groupBy(F.col(label).alias("_l")).agg(F.sum(cnt).alias("_label"))
+    by_value = counts.groupBy(F.col(label).alias("_vl"), F.col(value).alias("_v")).agg(F.sum(cnt).alias("_value"))
+    totals = (
+        with_totals(counts, [segment, label], {"_segment": cnt})
+        .join(by_label, F.col(label) == F.col("_l"))
+        .join(by_value, (F.col(label) == F.col("_vl")) & F.col(value).eqNullSafe(F.col("_v")))
+    )
     tgi = F.col(cnt) / F.col("_segment") / (F.col("_value") / F.col("_label")) * 100
     scored = totals.select(segment, label, value, tgi.alias("tgi"))
     # Every segment x the listed values of its labels: a join on the label, not a cross join.

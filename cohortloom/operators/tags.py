@@ -167,21 +167,26 @@ def resolve_entities(rows: DataFrame) -> DataFrame:
 def _merge_by(rows: DataFrame, form: str) -> DataFrame:
     keys = [form, "channel"]
     others = [f for f in ("plain", "md5", "sha256") if f != form]
-    # Types come from a fixed list, so the collected set is bounded however many rows share a digest.
-    forms = rows.select(*rows.columns, F.explode("types").alias("_type")).groupBy(*keys).agg(
+    # First one row per (digest, label), however many rows share the digest; then one row per digest.
+    # Types and labels come from fixed lists, so what is collected is bounded.
+    labelled = rows.select(*keys, "flag", *others, "types", F.explode_outer("label").alias("tag", "value"))
+    per_label = labelled.groupBy(*keys, "tag").agg(
         F.min("flag").alias("flag"),
         *[F.max(f).alias(f) for f in others],
-        F.sort_array(F.collect_set("_type")).alias("types"),
+        F.array_distinct(F.flatten(F.collect_set("types"))).alias("types"),
+        F.min(F.struct("flag", "value"))["value"].alias("value"),
     )
-    # One row per label before anything is collected.
-    labels = (
-        rows.select(*keys, "flag", F.explode("label").alias("tag", "value"))
-        .groupBy(*keys, "tag")
-        .agg(F.min(F.struct("flag", "value"))["value"].alias("value"))
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "value")))).alias("label"))
+    entry = F.when(F.col("tag").isNotNull(), F.struct("tag", "value"))
+    return (
+        per_label.groupBy(*keys)
+        .agg(
+            F.min("flag").alias("flag"),
+            *[F.max(f).alias(f) for f in others],
+            F.sort_array(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"),
+            F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("label"),
+        )
+        .select("flag", "plain", "md5", "sha256", "types", "label", "channel")
     )
-    return forms.join(labels, keys).select("flag", "plain", "md5", "sha256", "types", "label", "channel")
 
 
 def split_by_category(df: DataFrame, key: str, categories: Mapping[str, Sequence[str]], tags: str = "tags") -> DataFrame:

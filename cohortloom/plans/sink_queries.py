@@ -230,5 +230,5 @@ def code_derivation(t):
     "SELECT greatest(1, count(*) // 10000) AS files FROM lineitem",
 )
 def size_based_files(t):
-    rows = distribution.with_total(t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n")), [], "n", "rows")
+    rows = distribution.with_totals(t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n")), [], {"rows": "n"})
     return rows.select(F.greatest(F.lit(1), F.floor(F.col("rows") / 10000)).cast("long").alias("files")).distinct()
