@@ -148,6 +148,12 @@ def source_and_flow(
     return out.select(*kept, *[f"source_{c}" for c in place], *[F.col(f"_n_{c}").alias(f"flow_{c}") for c in place])
 
 
+def visit_report(visits: DataFrame, profile: DataFrame, places: DataFrame, entity: str) -> DataFrame:
+    """Visit rows with profile and source/flow columns. Both of these have one row per entity and are
+    joined first, so that the visits, where an entity may be hot, are joined only once."""
+    return visits.join(profile.join(places, entity), entity)
+
+
 def point_in_time(
     requests: DataFrame,
     history: DataFrame,

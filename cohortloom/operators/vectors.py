@@ -75,10 +75,13 @@ def _block_top(k: int):
     """Top-k partners of each left row inside one pair of blocks, by a matrix product."""
 
     def best(ids: np.ndarray, others: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
-        order = np.lexsort((np.broadcast_to(others, scores.shape), -scores), axis=1)[:, :k]
-        picked = np.take_along_axis(scores, order, axis=1).ravel()
-        out = pd.DataFrame({"id": np.repeat(ids, order.shape[1]), "other": others[order].ravel(), "score": picked})
-        return out[np.isfinite(out["score"].to_numpy())]
+        width = min(k, scores.shape[1])
+        # Everything at or above the k-th score of its row, ties included; only that is sorted.
+        floor = np.partition(scores, -width, axis=1)[:, -width]
+        row, column = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
+        found = pd.DataFrame({"id": ids[row], "other": others[column], "score": scores[row, column]})
+        found = found.sort_values(["id", "score", "other"], ascending=[True, False, True])
+        return found[found.groupby("id").cumcount() < k]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:

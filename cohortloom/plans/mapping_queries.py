@@ -292,7 +292,7 @@ FROM events e JOIN profile ON c_custkey = e.user_id JOIN sf ON sf.user_id = e.us
 def source_flow_assembly(t):
     hourly = t.events.where("event_type = 'purchase'").select("user_id", F.date_format("ts", "yyyy-MM-dd HH").alias("visit_hour"))
     people = fixtures.profile(t).select(F.col("c_custkey").alias("user_id"), "segment")
-    joined = hourly.join(people, "user_id").join(_source_flow(t).select("user_id", "source_place"), "user_id")
+    joined = asof.visit_report(hourly, people, _source_flow(t).select("user_id", "source_place"), "user_id")
     return joined.groupBy("visit_hour", "segment").agg(F.count("*").alias("visits"), F.sum("source_place").alias("source_sum"))
 
 
