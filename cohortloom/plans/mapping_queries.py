@@ -63,13 +63,19 @@ def mapping_inversion(t):
     return inverted.select("key", _text(F.col("ids")).alias("ids"), "update_time")
 
 
+# Either half keeps its 200 newest ids before the merge keeps 30 of both.
+MERGE_SQL = f"""{PURCHASES}, half AS (SELECT o_custkey, day <= DATE '1998-06-30' AS old, l_partkey AS id, min(day) AS f, max(day) AS l FROM purchases GROUP BY ALL),
+cut AS (SELECT * FROM half QUALIFY row_number() OVER (PARTITION BY o_custkey, old ORDER BY l DESC, id DESC) <= 200),
+both_halves AS (SELECT o_custkey, id, min(f) AS f, max(l) AS l FROM cut GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l DESC, id DESC) AS rn FROM both_halves)"""
+
+
 @query(
     "mapping_merge",
     "J8 J8m",
-    f"WITH {SEEN_SQL} SELECT o_custkey, {IDS_TEXT} AS ids, max(l) AS update_time FROM ranked WHERE rn <= 30 GROUP BY o_custkey",
+    f"WITH {MERGE_SQL} SELECT o_custkey, {IDS_TEXT} AS ids, max(l) AS update_time FROM ranked WHERE rn <= 30 GROUP BY o_custkey",
 )
 def mapping_merge(t):
-    # Uncut halves (an entity has far fewer than 200 parts per half) merged and cut to 30.
     cut = F.lit(date(1998, 6, 30))
     rows = fixtures.purchases(t)
     full, increment = _ids(t, 200, rows.where(F.col("day") <= cut)), _ids(t, 200, rows.where(F.col("day") > cut))

@@ -16,7 +16,11 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        # Kept, so that the footer is read once per table however often a query names it.
+        df = self.__dict__[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return df
 
 
 @dataclass(frozen=True)
