@@ -13,7 +13,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.folder = str(folder).rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
