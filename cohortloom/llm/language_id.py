@@ -1,6 +1,6 @@
 """Language identification by bit-sliced Bloom filters over byte n-grams.
 
-Texts are lower-cased in ASCII and everything but letters becomes a space; an n-gram is ``SIZE`` bytes
+Texts are lower-cased in Latin letters and everything but letters becomes a space; an n-gram is ``SIZE`` bytes
 with at least ``SIZE - 1`` bytes of letters. A language learns the n-grams that make up at least
 ``LEAST_SHARE`` of its own, so at most 1 / ``LEAST_SHARE`` of them, however large the corpus. All
 languages share one array of bit masks: slot by slot, bit i belongs to the filter of language i, and
@@ -10,7 +10,7 @@ languages an n-gram names; the language with the highest corrected rate wins and
 sum is the score.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; a text without any
-known n-gram takes the language with the most learned n-grams, score 1 / languages; ties go to the
+known n-gram takes the language with the most text, score 1 / languages; ties go to the
 first language in alphabetical order; a null language teaches nothing; without anything to learn
 from all texts are ``und``; repeated rows count each time; other columns are never read.
 """
@@ -41,6 +41,9 @@ NORMAL = np.where(LETTERS[LOWER], LOWER, 0x20).astype(np.uint8)
 def grams(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     """Positions and codes of the n-grams of a piece; none crosses a row."""
     data = NORMAL[piece.data]
+    # The capitals from 0xC0 to 0xDE are two bytes, of which the second lies 0x20 below that of their small letter.
+    capital = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    data[capital] += 0x20
     count = len(data) - SIZE + 1
     if count <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint32)
@@ -63,7 +66,7 @@ class Filters:
     languages: list[str]
     masks: np.ndarray
     false_rate: np.ndarray
-    sizes: np.ndarray
+    amounts: np.ndarray
 
     def lookup(self, codes: np.ndarray) -> np.ndarray:
         """The mask of the languages that contain each n-gram."""
@@ -137,11 +140,11 @@ def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
     np.maximum.at(most, back, shares)
     kept = shares >= LEAST_RELATIVE * most[back]
     of = np.array(table["lang"].to_pylist(), object)
-    return build({lang: np.sort(gram[kept & (of == lang)]).astype(np.uint32) for lang in languages})
+    return build({lang: np.sort(gram[kept & (of == lang)]).astype(np.uint32) for lang in languages}, totals)
 
 
-def build(known: dict[str, np.ndarray]) -> Filters:
-    """The shared array of masks for each language's n-grams."""
+def build(known: dict[str, np.ndarray], amounts: dict[str, int] | None = None) -> Filters:
+    """The shared array of masks for each language's n-grams; ``amounts`` of text decide where nothing is known."""
     languages = sorted(known)
     largest = max([1, *(len(x) for x in known.values())])
     size = 1 << max(12, int(largest * 8).bit_length())
@@ -154,7 +157,7 @@ def build(known: dict[str, np.ndarray]) -> Filters:
             own[slot] = True
         rates[i] = own.mean() ** PROBES
         masks[own] |= kind(1 << i)
-    return Filters(languages, masks, rates, np.array([len(known[x]) for x in languages]))
+    return Filters(languages, masks, rates, np.array([(amounts or {}).get(x, 0) for x in languages]))
 
 
 def _has_letter(piece: Piece) -> np.ndarray:
@@ -189,7 +192,7 @@ def classify(piece: Piece, filters: Filters) -> tuple[list[str], np.ndarray]:
     best = rates.argmax(1)
     known = sums > 0
     score = np.where(known, rates.max(1) / np.where(known, sums, 1), 1.0 / many)
-    best = np.where(known, best, int(filters.sizes.argmax()))
+    best = np.where(known, best, int(filters.amounts.argmax()))
     names = np.array([*filters.languages, "und"], object)
     return names[np.where(letters, best, many)].tolist(), np.where(letters, score, 0.0)
 

@@ -56,7 +56,29 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM d LEFT JOIN nw USING (r) LEFT JOIN nh USING (r) LEFT JOIN ni USING (r)
 """
 
+NGRAM_JOIN = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, regexp_extract_all({ASCII_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 OR ws IS NULL THEN [] ELSE
+    list_sort(list_distinct([array_to_string(ws[p + 1 : p + 5], ' ') for p in range(greatest(len(ws) - 4, 1))])) END AS sh,
+    text FROM w),
+k AS (SELECT doc_id, sh, CASE WHEN text IS NULL THEN 'null ' || doc_id WHEN len(sh) = 0 THEN 'text ' || text ELSE 'set ' || md5(array_to_string(sh, '|')) END AS k FROM s),
+c AS (SELECT k, min(doc_id) AS copy_of, count(*) AS n_copies, first(sh) AS sh FROM k GROUP BY k),
+g AS (SELECT k, len(sh) AS n, unnest(sh) AS g FROM c),
+p AS (
+  SELECT a.k AS a, b.k AS b FROM g a JOIN g b ON a.g = b.g AND a.k < b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT k AS a, k AS b FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+cl AS (SELECT reach.a AS k, min(c.copy_of) AS class_id FROM reach JOIN c ON c.k = reach.b GROUP BY reach.a),
+n AS (SELECT a AS k, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, copy_of, n_copies
+FROM k JOIN c USING (k) JOIN cl USING (k) LEFT JOIN n USING (k)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_ngram_join": NGRAM_JOIN,
     "op6_host_rules": HOST_RULES,
     "op7_decontamination": DECONTAMINATION,
 }

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import best_fit_packing, decontamination, language_id
+from cohortloom.llm import best_fit_packing, decontamination, language_id, ngram_join, toxicity
+from cohortloom.llm.folds import held_out
 from cohortloom.llm.queries import table
 from cohortloom.session import scratch_path
 
@@ -16,10 +17,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose toxicity score reaches the threshold; learns from two thirds of the labels."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1)))
+    rated = toxicity.score(docs, model, into="_toxicity")
+    return rated.where(F.col("_toxicity") < toxicity.PREDICT_AT).drop("_toxicity")
+
+
+#: A document whose own language tag another language contradicts with at least this score is rejected.
+SURE_LANGUAGE = 0.7
+
+
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of undetermined language: a null text, or one without a letter."""
-    found = language_id.predict(docs, language_id.learn(docs))
-    return found.where("language.lang <> 'und'").drop("language")
+    """Rejects documents of undetermined language (a null text, or one without a letter) or of clearly another one than they say."""
+    found = language_id.predict(docs, language_id.learn(docs), keep=list(docs.columns))
+    other = F.col("lang").isNotNull() & (F.col("lang") != F.col("language.lang")) & (F.col("language.score") >= SURE_LANGUAGE)
+    return found.where((F.col("language.lang") != "und") & ~other).drop("language")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, that of the smallest id, of each group that near-duplicate links connect."""
+    return ngram_join.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +52,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("language_id", keep_known_language),
+    ("ngram_join", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("best_fit_packing", pack_sequences),
 ]
