@@ -93,8 +93,11 @@ def signatures(shingle: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """MinHash values (uint32, one line per set); sets begin at ``starts`` and none is empty."""
     out = np.empty((len(starts), HASHES), np.uint32)
     if len(starts):
+        product = np.empty_like(shingle)
+        high = product.view(np.uint32)[1::2]  # the upper halves, on a little-endian machine
         for i, factor in enumerate(_FACTORS):
-            out[:, i] = np.minimum.reduceat(((shingle * factor) >> np.uint64(32)).astype(np.uint32), starts)
+            np.multiply(shingle, factor, out=product)
+            out[:, i] = np.minimum.reduceat(high, starts)
     return out
 
 

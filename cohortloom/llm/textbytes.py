@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -44,14 +43,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULTIPLIER))
 
 
-@cache
+_held: list[np.ndarray] = []
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_MULTIPLIER, _INVERSE):
-        steps = np.full(size + 1, base, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps))
-    return out[0], out[1]
+    """Powers of the multiplier and of its inverse, at least ``size`` of them; kept for the longest piece so far."""
+    if not _held or len(_held[0]) < size:
+        _held.clear()
+        for base in (_MULTIPLIER, _INVERSE):
+            steps = np.full(size + size // 8, base, np.uint64)
+            steps[0] = 1
+            _held.append(np.cumprod(steps, out=steps))
+    return _held[0], _held[1]
 
 
 @dataclass
@@ -88,11 +91,12 @@ class Piece:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte ranges, from one running sum."""
-        size = 1 << max(16, int(len(self.data)).bit_length())
-        power, inverse = _powers(size)
+        power, inverse = _powers(max(len(self.data), PIECE_BYTES) + 1)
         total = np.empty(len(self.data) + 1, np.uint64)
         total[0] = 0
-        np.cumsum(BYTE_VALUES[self.data] * power[: len(self.data)], out=total[1:])
+        np.take(BYTE_VALUES, self.data, out=total[1:])
+        total[1:] *= power[: len(self.data)]
+        np.cumsum(total[1:], out=total[1:])
         return mix((total[ends] - total[starts]) * inverse[starts])
 
     def per_row(self, flags: np.ndarray) -> np.ndarray:
