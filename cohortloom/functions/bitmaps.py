@@ -34,8 +34,10 @@ def month_mask(year: int, month: int) -> int:
 
 
 def interval_masks(start: date, end: date, current: date) -> list[int]:
-    """Thirteen masks with every day of ``[start, end]`` set."""
+    """Thirteen masks with every day of ``[start, end]`` set; none where the end is before the start."""
     masks = [0] * SLOTS
+    if end < start:
+        return masks
     year, month = start.year, start.month
     while (year, month) <= (end.year, end.month):
         first = start.day if (year, month) == (start.year, start.month) else 1

@@ -48,11 +48,16 @@ def day_text_to_epoch(text: Column) -> Column:
     return F.datediff(day_of(text), F.lit(date(1970, 1, 1))).cast("long") * 86400
 
 
-def clamp_interval(start: str, end: str, last_day: str) -> tuple[str, str]:
-    """Clip ``[start, end]`` to [first day of ``last_day``'s month one year before, end of
-    ``last_day``'s month]; ``yyyyMMdd`` in and out."""
-    last = datetime.strptime(last_day, "%Y%m%d").date()
+def clamp_days(start: date, end: date, last: date) -> tuple[date, date]:
+    """``[start, end]`` clipped to [first day of ``last``'s month one year before, end of ``last``'s month];
+    an interval outside comes out with its end before its start."""
     lowest = date(last.year - 1, last.month, 1)
     next_month = date(last.year + last.month // 12, last.month % 12 + 1, 1)
-    highest = next_month - timedelta(days=1)
-    return max(start, lowest.strftime("%Y%m%d")), min(end, highest.strftime("%Y%m%d"))
+    return max(start, lowest), min(end, next_month - timedelta(days=1))
+
+
+def clamp_interval(start: str, end: str, last_day: str) -> tuple[str, str]:
+    """:func:`clamp_days` with ``yyyyMMdd`` in and out."""
+    days = [datetime.strptime(d, "%Y%m%d").date() for d in (start, end, last_day)]
+    low, high = clamp_days(*days)
+    return low.strftime("%Y%m%d"), high.strftime("%Y%m%d")

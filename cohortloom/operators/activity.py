@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions import bitmaps
+from cohortloom.functions import bitmaps, dates
 
 STATUSES = ("installed", "active", "uninstall", "new_install")
 
@@ -23,10 +23,10 @@ MARKS = {
 
 
 def build_bitmaps(daily: DataFrame, entity: str, item: str, status: str, day: str, current: date) -> DataFrame:
-    """One row per (entity, item) with a 13-slot bitmap per status from one year of daily rows; a status
-    never seen has no bitmap. All slots are one partial aggregate of integers."""
+    """One row per (entity, item) with a 13-slot bitmap per status from the daily rows of one year up to
+    ``current``; a status never seen has no bitmap. All slots are one partial aggregate of integers."""
     start = date(current.year - 1, current.month, 1)
-    rows = daily.where(F.col(day) >= F.lit(start)).select(
+    rows = daily.where(F.col(day).between(F.lit(start), F.lit(current))).select(
         entity,
         item,
         F.col(status).alias("_s"),
@@ -86,7 +86,7 @@ class IntervalRule:
 
     ``restrict``: ``"0"`` at least one, ``"1"`` all listed items, ``"lo,hi"`` at least ``lo`` and fewer
     than ``hi``. Items compare without case. With ``include=False`` an entity stays when no listed item
-    hits the interval.
+    hits the interval. The interval is clipped to the days that the bitmaps hold; what lies outside hits nothing.
     """
 
     items: tuple[str, ...]
@@ -114,7 +114,7 @@ def interval_hits(
     name = F.lower(F.col(item).cast("string"))
     per_rule = []
     for rule in rules:
-        masks = bitmaps.interval_masks(rule.start, rule.end, current)
+        masks = bitmaps.interval_masks(*dates.clamp_days(rule.start, rule.end, current), current)
         listed = name.isin(*{i.lower() for i in rule.items})
         per_rule.append(listed & bitmaps.hits(F.col(rule.status), masks))
     columns = [f"h{i}" for i in range(len(rules))]
@@ -159,7 +159,7 @@ def activity_filter_by_list(
     restrict: str = "0",
 ) -> DataFrame:
     """As :func:`activity_filter` with the item list of each seed row taken from a text column."""
-    masks = bitmaps.interval_masks(start, end, current)
+    masks = bitmaps.interval_masks(*dates.clamp_days(start, end, current), current)
     hit = bitmaps_df.where(bitmaps.hits(F.col(status), masks)).select(
         entity, F.lower(F.col(item).cast("string")).alias("_item")
     ).distinct()

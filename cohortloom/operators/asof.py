@@ -23,7 +23,8 @@ def asof_join(
     """Left rows with the ``payload`` of the last right row at or before (``strict``: before)
     their time; ``forward`` takes the first one at or after. Equal right times are settled by
     the greatest payload. ``first_if_before`` gives left rows older than the whole history the
-    earliest right row instead of null.
+    earliest right row instead of null. A right row with a null key or time answers nothing, a left
+    row with one gets nulls; such rows take no part in the match.
 
     No pairs are formed. Right rows are first reduced to one carry row per (key, time bucket);
     those are chained along the key (one row per bucket, so bounded by the calendar). Then
@@ -39,11 +40,17 @@ def asof_join(
         return time if is_date else F.date_trunc(bucket, time)
 
     newest = F.min if forward else F.max
-    rows = right.select(
+    def known(time: str) -> Column:
+        out = F.col(time).isNotNull()
+        for key in keys:
+            out = out & F.col(key).isNotNull()
+        return out
+
+    rows = right.where(known(right_time)).select(
         *keys, F.col(right_time).alias("_t"), F.struct(*payload).alias("_p")
     ).withColumn("_b", cut(F.col("_t")))
     rows = rows.groupBy(*keys, "_b", "_t").agg(F.max("_p").alias("_p"))
-    asks = left.select(*keys, F.col(left_time).alias("_t"), F.struct(*kept).alias("_l")).withColumn(
+    asks = left.where(known(left_time)).select(*keys, F.col(left_time).alias("_t"), F.struct(*kept).alias("_l")).withColumn(
         "_b", cut(F.col("_t"))
     )
 
@@ -81,7 +88,9 @@ def asof_join(
     )
     inside = Window.partitionBy(*keys, "_b").orderBy("_late", F.desc("_t") if forward else F.asc("_t"), "_side")
     seen = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return parts.withColumn("_p", seen).where("_l is not null").select("_l.*", "_p.*")
+    matched = parts.withColumn("_p", seen).where("_l is not null").select("_l.*", "_p.*")
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload]
+    return matched.unionByName(left.where(~known(left_time)).select(*kept, *nothing))
 
 
 def owners_by_period(df: DataFrame, key: str, owner: str, period: str, flag: str, count: str) -> DataFrame:
@@ -128,24 +137,28 @@ def source_and_flow(
 ) -> DataFrame:
     """``bounds`` with ``source_*``: the last stay that starts strictly before the latest visit, and
     ``flow_*``: the first stay that ends strictly after the earliest visit, else the entity's frequent
-    place. ``frequent`` has one row per entity."""
-    source = stays.select(
-        entity, F.col(start).alias("_st"), *[F.col(c).alias(f"source_{c}") for c in place]
-    )
-    flow = stays.select(entity, F.col(end).alias("_en"), *[F.col(c).alias(f"flow_{c}") for c in place])
+    place. Stays at the same time are settled by the greatest place; a null time or entity never
+    answers. ``bounds`` and ``frequent`` have one row per entity.
+
+    The stays meet the bounds once and shrink in aggregates over (entity, end) and entity, which keep
+    the join's partitioning.
+    """
     kept = list(bounds.columns)
-    before = asof_join(bounds, source, [entity], "last_visit", "_st", [f"source_{c}" for c in place], strict=True)
-    after = asof_join(
-        bounds, flow, [entity], "first_visit", "_en", [f"flow_{c}" for c in place], strict=True, forward=True
+    met = bounds.join(stays.select(F.col(entity), F.col(start).alias("_st"), F.col(end).alias("_en"), F.struct(*place).alias("_p")), entity, "left")
+    per_end = met.groupBy(*kept, "_en").agg(
+        F.max(F.when(F.col("_st") < F.col("last_visit"), F.struct("_st", "_p"))).alias("_s"),
+        F.max(F.when(F.col("_en") > F.col("first_visit"), F.col("_p"))).alias("_f"),
+    )
+    first_end = F.min(F.when(F.col("_f").isNotNull(), F.struct("_en", "_f")))
+    found = per_end.groupBy(*kept).agg(F.max("_s").alias("_s"), first_end.alias("_f"))
+    fallback = frequent.select(entity, F.struct(*place).alias("_often"))
+    out = found.join(fallback, entity, "left")
+    missing = F.col(f"_f._f.{place[0]}").isNull()
+    return out.select(
+        *kept,
+        *[F.col(f"_s._p.{c}").alias(f"source_{c}") for c in place],
+        *[F.when(missing, F.col(f"_often.{c}")).otherwise(F.col(f"_f._f.{c}")).alias(f"flow_{c}") for c in place],
     )
-    # Joined, not chained: a chained match would evaluate the first one twice.
-    out = before.join(after, kept)
-    fallback = frequent.select(entity, *[F.col(c).alias(f"_f_{c}") for c in place])
-    out = out.join(fallback, entity, "left")
-    missing = F.col(f"flow_{place[0]}").isNull()
-    for c in place:
-        out = out.withColumn(f"_n_{c}", F.when(missing, F.col(f"_f_{c}")).otherwise(F.col(f"flow_{c}")))
-    return out.select(*kept, *[f"source_{c}" for c in place], *[F.col(f"_n_{c}").alias(f"flow_{c}") for c in place])
 
 
 def visit_report(visits: DataFrame, profile: DataFrame, places: DataFrame, entity: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed class codes.
@@ -14,7 +14,8 @@ NEW, ACTIVE, SILENT, LOST = 1, 2, 3, 4
 def lifecycle_inputs(daily: DataFrame, app: str, entity: str, day: str, status: str, duration: str, today) -> DataFrame:
     """Per (app, entity): active days in the last 90/30/7 days, whether the last install state is
     uninstalled, whether installed in the last 30 days, and the latest duration.
-    ``status``: active, install, uninstall; one aggregate over the daily rows."""
+    ``status``: active, install, uninstall; one aggregate over the daily rows up to ``today``."""
+    daily = daily.where(F.col(day) <= F.lit(today))
     age = F.datediff(F.lit(today), F.col(day))
     active = F.col(status) == "active"
 
@@ -51,63 +52,64 @@ def lifecycle_class(df: DataFrame) -> DataFrame:
     return df.withColumn("user_type", klass)
 
 
+# Fixed bounds of the sub-classes: days of activity, and milliseconds of use.
+OFTEN_IN_30, OFTEN_IN_90, SHORT_USE = 10, 30, 600000
+
+
 def lifecycle_counts(classes: DataFrame, app: str) -> DataFrame:
     """Class and sub-class counts per app in one partial aggregate."""
     kind = F.col("user_type")
-    new_potential = (kind == NEW) & (F.col("cnt_day_30") >= 10)
-    active_high = (kind == ACTIVE) & (F.col("cnt_day_90") >= 30)
-    silent_awake = (kind == SILENT) & (F.col("duration") < 600000)
-    return classes.groupBy(app).agg(
-        F.count_if(kind == NEW).alias("new_user_cnt"),
-        F.count_if(kind == ACTIVE).alias("active_user_cnt"),
-        F.count_if(kind == SILENT).alias("silence_user_cnt"),
-        F.count_if(kind == LOST).alias("lost_user_cnt"),
-        F.count_if(new_potential).alias("new_potential_user_cnt"),
-        F.count_if((kind == NEW) & ~new_potential).alias("new_lostrisk_user_cnt"),
-        F.count_if(active_high).alias("active_high_user_cnt"),
-        F.count_if((kind == ACTIVE) & ~active_high).alias("active_low_user_cnt"),
-        F.count_if((kind == ACTIVE) & (F.col("cnt_day_7") == 0)).alias("active_silence_user_cnt"),
-        F.count_if(silent_awake).alias("silence_awake_user_cnt"),
-        F.count_if((kind == SILENT) & ~silent_awake).alias("silence_lostrisk_user_cnt"),
-    )
+    often_new = (kind == NEW) & (F.col("cnt_day_30") >= OFTEN_IN_30)
+    often_active = (kind == ACTIVE) & (F.col("cnt_day_90") >= OFTEN_IN_90)
+    short_silent = (kind == SILENT) & (F.col("duration") < SHORT_USE)
+    counted = {
+        "new": kind == NEW,
+        "active": kind == ACTIVE,
+        "silent": kind == SILENT,
+        "lost": kind == LOST,
+        "new_often": often_new,
+        "new_seldom": (kind == NEW) & ~often_new,
+        "active_often": often_active,
+        "active_seldom": (kind == ACTIVE) & ~often_active,
+        "active_not_this_week": (kind == ACTIVE) & (F.col("cnt_day_7") == 0),
+        "silent_short": short_silent,
+        "silent_long": (kind == SILENT) & ~short_silent,
+    }
+    return classes.groupBy(app).agg(*[F.count_if(c).alias(n) for n, c in counted.items()])
 
 
 def _ratio_score(ratio: Column) -> Column:
     return F.when(ratio >= 1, 100.0).when(ratio < 0.5, 0.0).otherwise(100 - (1 - ratio) * 2)
 
 
-def health_score(today: DataFrame, yesterday: DataFrame, past_growth: DataFrame, app: str) -> DataFrame:
-    """Health per app from today's and yesterday's class counts and past daily growth rates."""
-    base = yesterday.select(
+# Fixed tolerance of the growth score, and days of its average.
+GROWTH_TOLERANCE, GROWTH_DAYS = 0.05, 90
+
+
+def growth_rates(counts: DataFrame, app: str, day: str) -> DataFrame:
+    """``counts`` of each day plus ``growth``: new entities against all of the day before; 0 without a day
+    before or without new ones. One row per (app, day)."""
+    everyone = F.col("new") + F.col("active") + F.col("silent") + F.col("lost")
+    before = counts.select(F.col(app), F.date_add(day, 1).alias(day), everyone.alias("_base"))
+    growth = F.when(F.col("_base").isNotNull() & (F.col("new") > 0), F.try_divide("new", "_base")).otherwise(F.lit(0.0))
+    return counts.join(before, [app, day], "left").withColumn("growth", growth).drop("_base")
+
+
+def health_score(rates: DataFrame, app: str, day: str, today) -> DataFrame:
+    """Health per app on ``today`` from the daily table of ``growth_rates``: how new compares with lost and
+    active with silent, and today's growth against its average over the ``GROWTH_DAYS`` days before."""
+    age = F.datediff(F.lit(today), F.col(day))
+    average = rates.where((age > 0) & (age <= GROWTH_DAYS)).groupBy(app).agg(F.avg("growth").alias("_avg"))
+    new_ratio = F.col("new") / F.when(F.col("lost") != 0, F.col("lost")).otherwise(1)
+    active_ratio = F.col("active") / F.when(F.col("silent") != 0, F.col("silent")).otherwise(1)
+    gap = F.coalesce("_avg", F.lit(0.0)) - F.col("growth")
+    scored = rates.where(age == 0).join(average, app, "left").select(
         app,
-        (
-            F.col("new_user_cnt") + F.col("active_user_cnt") + F.col("silence_user_cnt") + F.col("lost_user_cnt")
-        ).alias("_base"),
-    )
-    average = past_growth.groupBy(app).agg(F.avg("user_growth_rate").alias("_avg"))
-    new, lost = F.col("new_user_cnt"), F.col("lost_user_cnt")
-    active, silent = F.col("active_user_cnt"), F.col("silence_user_cnt")
-    growth = F.when(F.col("_base").isNotNull() & (new > 0), F.try_divide(new, F.col("_base"))).otherwise(0.0)
-    new_ratio = new / F.when(lost != 0, lost).otherwise(1)
-    active_ratio = active / F.when(silent != 0, silent).otherwise(1)
-    gap = F.coalesce("_avg", F.lit(0.0)) - F.col("user_growth_rate")
-    return (
-        today.join(base, app, "left")
-        .join(average, app, "left")
-        .withColumn("user_growth_rate", growth)
-        .withColumn("component_ratio_value", (_ratio_score(new_ratio) + _ratio_score(active_ratio)) / 2)
-        .withColumn(
-            "growth_rate_value",
-            F.when(gap <= 0.05, 100.0).otherwise(F.col("user_growth_rate") / (F.col("_avg") - 0.05)),
-        )
-        .select(
-            app,
-            "growth_rate_value",
-            "component_ratio_value",
-            ((F.col("growth_rate_value") + F.col("component_ratio_value")) / 2).alias("value"),
-            "user_growth_rate",
-        )
+        F.when(gap <= GROWTH_TOLERANCE, 100.0).otherwise(F.col("growth") / (F.col("_avg") - GROWTH_TOLERANCE)).alias("growth_score"),
+        ((_ratio_score(new_ratio) + _ratio_score(active_ratio)) / 2).alias("class_score"),
+        "growth",
     )
+    return scored.withColumn("score", (F.col("growth_score") + F.col("class_score")) / 2)
 
 
 def active_counts(daily: DataFrame, app: str, platform: str, entity: str, apps: DataFrame) -> DataFrame:
@@ -191,6 +193,17 @@ def band_maps(scores: DataFrame, entity: str, item: str, probability: str) -> Da
     return banded.groupBy(entity).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("flags"))
 
 
-def band_columns(stats: DataFrame, app: str, stat: str, levels: Mapping[str, str]) -> DataFrame:
-    """Map column to percent columns, absent levels null."""
-    return stats.select(app, *[F.try_element_at(stat, F.lit(k)).alias(n) for k, n in levels.items()])
+def band_percentages(scores: DataFrame, item: str, probability: str, run: str) -> DataFrame:
+    """(item, band, cnt, percent) over the scores of each item's latest run; scores below the lowest band
+    count in the total alone."""
+    newest = scores.groupBy(F.col(item).alias("_item")).agg(F.max(run).alias("_run"))
+    latest = scores.join(newest, (F.col(item) == F.col("_item")) & (F.col(run) == F.col("_run")))
+    counts = latest.groupBy(item, score_band(F.col(probability)).alias("band")).agg(F.count("*").alias("cnt"))
+    total = F.sum("cnt").over(Window.partitionBy(item))  # a row per band
+    return counts.select(item, "band", "cnt", F.round(F.col("cnt") * 100 / total, 4).alias("percent")).where("band is not null")
+
+
+def band_columns(shares: DataFrame, item: str, levels: Mapping[str, str]) -> DataFrame:
+    """One row per item with the percentage of each named band; a band without scores is null."""
+    columns = [F.max(F.when(F.col("band") == k, F.col("percent"))).alias(n) for k, n in levels.items()]
+    return shares.groupBy(item).agg(*columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import keys as K
 from cohortloom.functions import maps, text
 from cohortloom.operators.ranking import latest_per_key
+from cohortloom.session import scratch_path
 
 
 def match(
@@ -30,13 +31,25 @@ def latest_matches(matched: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return matched
 
 
+def match_rows(seeds: DataFrame, state: DataFrame, key: str, canonical_key: Column | None = None) -> DataFrame:
+    """All matches in long form: every seed row with each (id, first_seen, last_seen) of its key."""
+    looked = seeds.withColumn("_key", F.col(key) if canonical_key is None else canonical_key)
+    return looked.join(state.withColumnRenamed(key, "_key"), "_key").drop("_key")
+
+
 def best_candidate(seeds: DataFrame, ids: str, weights: DataFrame, row: Sequence[str], weight: str = "weight") -> DataFrame:
     """Per seed row the candidate id with the greatest weight (missing = 0), ties by greater id; seeds
-    without candidates stay with null. ``weights``: id, weight."""
-    candidates = seeds.select(*row, F.explode_outer(F.transform(ids, lambda s: s["id"])).alias("id"))
+    without candidates stay with null, and equal seed rows all stay. ``weights``: id, weight.
+
+    Equal seed rows (``row`` and ``ids``) have the same answer: they are counted, matched once, and
+    repeated by their count."""
+    counted = seeds.groupBy(*row, ids).agg(F.count("*").alias("_copies"))
+    candidates = counted.select(*row, ids, "_copies", F.explode_outer(F.transform(ids, lambda s: s["id"])).alias("id"))
     scored = candidates.join(weights, "id", "left")
     best = F.max(F.when(F.col("id").isNotNull(), F.struct(F.coalesce(F.col(weight), F.lit(0)).alias("w"), "id")))
-    return scored.groupBy(*row).agg(best.alias("b")).select(*row, F.col("b.id").alias("best_id"), F.col("b.w").alias("best_weight"))
+    chosen = scored.groupBy(*row, ids).agg(best.alias("b"), F.max("_copies").alias("_copies"))
+    again = chosen.select(*row, "b", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
+    return again.select(*row, F.col("b.id").alias("best_id"), F.col("b.w").alias("best_weight"))
 
 
 def hub_join(hub: DataFrame, results: DataFrame, key: str, order: Sequence[str], prefer: str) -> DataFrame:
@@ -143,17 +156,38 @@ def translate_map(df: DataFrame, key: str, tags: str, names: DataFrame) -> DataF
     return values.join(key_names, "k", "left").select(key, F.coalesce("_kn", "k").alias("tag"), "value")
 
 
-def parent_at_level(categories: DataFrame, id_: str, parent: str, level: str, target: int, depth: int = 4) -> DataFrame:
-    """(id, ancestor) at ``target`` level by at most ``depth`` self-joins of the catalogue; ids above
-    that level get null."""
-    out = categories.select(id_, F.col(id_).alias("_at"), F.col(level).alias("_level"), F.col(parent).alias("_up"))
-    above = categories.select(F.col(id_).alias("_pid"), F.col(level).alias("_plevel"), F.col(parent).alias("_pup"))
-    for _ in range(depth):
-        climbing = F.col("_level") > target
-        out = out.join(above, climbing & (F.col("_up") == F.col("_pid")), "left").select(
-            id_,
-            F.when(climbing, F.col("_pid")).otherwise(F.col("_at")).alias("_at"),
-            F.when(climbing, F.col("_plevel")).otherwise(F.col("_level")).alias("_level"),
-            F.when(climbing, F.col("_pup")).otherwise(F.col("_up")).alias("_up"),
-        )
-    return out.select(id_, F.when(F.col("_level") == target, F.col("_at")).alias("ancestor"))
+# Lines of up to two to this power levels; more can only be a cycle.
+MOST_DOUBLINGS = 24
+
+
+def parent_at_level(categories: DataFrame, id_: str, parent: str, level: str, target: int) -> DataFrame:
+    """(id, ancestor) at ``target`` level; ids above that level, or whose line ends below it, get null.
+
+    Each round doubles how far a row has climbed, until no row climbs further; a line that comes
+    back to itself is an error. ``categories`` has one row per id. The rounds are written tables: a
+    checkpoint would keep the size that Spark guesses for a join, and square it every round.
+    """
+    spark = categories.sparkSession
+    # A pointer that has reached its level, or whose parent is unknown, stays where it is.
+    base = categories.select(F.col(id_).alias("_id"), F.col(level).alias("_level"), F.col(parent).alias("_parent"))
+    known = base.select(F.col("_id").alias("_parent"), F.lit(True).alias("_known"))
+    climbs = (F.col("_level") > target) & F.col("_known").isNotNull()
+    steps = base.join(known, "_parent", "left").select("_id", "_level", F.when(climbs, F.col("_parent")).otherwise(F.col("_id")).alias("_to"))
+    moved, rounds, levels = None, 0, base.select(F.col("_id").alias("_to"), F.col("_level").alias("_at"))
+    while True:
+        path = scratch_path(spark, "climb")
+        steps.write.parquet(path)
+        steps = spark.read.parquet(path)
+        now = steps.agg(F.count_if(F.col("_to") != F.col("_id")), F.sum(F.xxhash64("_id", "_to").cast("decimal(38,0)"))).first()
+        if now == moved:
+            break
+        moved, rounds = now, rounds + 1
+        if rounds > MOST_DOUBLINGS:
+            raise ValueError("the parents form a cycle")
+        far = steps.select(F.col("_id").alias("_to"), F.col("_to").alias("_far"))
+        steps = steps.join(far, "_to").select("_id", "_level", F.col("_far").alias("_to"))
+    ends = steps.join(levels, "_to")
+    stuck = ends.join(base.select(F.col("_id").alias("_to"), F.col("_parent").alias("_next")).join(known.select(F.col("_parent").alias("_next"), "_known"), "_next"), "_to")
+    if not stuck.where(F.col("_at") > target).isEmpty():
+        raise ValueError("the parents form a cycle")
+    return ends.select(F.col("_id").alias(id_), F.when(F.col("_at") == target, F.col("_to")).alias("ancestor"))

@@ -1,37 +1,34 @@
 """Building and maintaining many-to-many entity mappings.
 
-A mapping row is ``key, ids array<struct<last_seen, id, first_seen>>, update_time``; the array is
-sorted newest first and holds at most ``limit`` ids, so no row grows with the data.
+The stored state is long: one row (key, id, first_seen, last_seen) per pair, merged by union and
+one associative aggregate, so it is never cut and no row grows with the data. Lists are a reader's
+form: ``newest_ids`` cuts them to a number of ids that the caller names; who wants all ids of a key
+reads the long rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.ranking import top_k_per_group
 
-# Fixed cap of the mapping tables: ids kept per key.
-LIST_LIMIT = 200
-
 
 def first_last_seen(df: DataFrame, key: str, id_: str, first: str, last: str) -> DataFrame:
-    """(key, id) with the earliest ``first`` and the latest ``last``; rows without key or id drop."""
+    """State of (key, id) with the earliest ``first`` and the latest ``last``; rows without key or id drop."""
     known = df.where(F.col(key).isNotNull() & F.col(id_).isNotNull())
     return known.groupBy(key, F.col(id_).alias("id")).agg(
         F.min(first).alias("first_seen"), F.max(last).alias("last_seen")
     )
 
 
-def aggregate_ids(
-    df: DataFrame, key: str, id_: str, first: str, last: str, limit: int = LIST_LIMIT
-) -> DataFrame:
-    """Mapping rows: per key the ``limit`` ids seen last, ties by greater id. The cut happens before
-    ids are collected; the newest id is never cut, so ``update_time`` is the overall maximum."""
-    seen = first_last_seen(df, key, id_, first, last)
-    top = top_k_per_group(seen, [key], [F.desc("last_seen"), F.desc("id")], limit, rank=None)
+def newest_ids(state: DataFrame, key: str, limit: int) -> DataFrame:
+    """``key, ids array<struct<last_seen, id, first_seen>>, update_time``: the ``limit`` ids seen last, ties
+    by greater id. The cut happens before ids are collected; the newest id is never cut, so
+    ``update_time`` is the overall maximum."""
+    top = top_k_per_group(state, [key], [F.desc("last_seen"), F.desc("id")], limit, rank=None)
     return top.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("last_seen", "id", "first_seen")), asc=False).alias("ids"),
         F.max("last_seen").alias("update_time"),
@@ -46,51 +43,18 @@ def explode_csv_ids(df: DataFrame, key: str, ids: str, first: str, last: str) ->
     return df.select(key, F.explode(zipped).alias("z")).select(key, "z.*").where(F.trim("id") != "")
 
 
-def invert(df: DataFrame, entity: str, ids: str, first: str, last: str, limit: int = LIST_LIMIT) -> DataFrame:
-    """Entity -> ids table (aligned csv) turned into id -> entities."""
+def invert(df: DataFrame, entity: str, ids: str, first: str, last: str) -> DataFrame:
+    """Entity -> ids table (aligned csv) turned into the state of id -> entities."""
     rows = explode_csv_ids(df, entity, ids, first, last).withColumnRenamed("id", "key")
-    return aggregate_ids(rows, "key", entity, "first_seen", "last_seen", limit)
-
-
-def merge_full_increment(full: DataFrame, increment: DataFrame, key: str, limit: int = LIST_LIMIT) -> DataFrame:
-    """Mapping after a day: keys of either side, same id in both keeps the earliest first and the
-    latest last sight, newest ``limit`` ids kept.
-
-    Both sides hold one row per key, so a full outer join is one shuffle of bounded rows (none when
-    both are bucketed by key) and the element merge stays inside the row.
-    """
+    return first_last_seen(rows, "key", entity, "first_seen", "last_seen")
 
-    def by_id(ids):
-        pairs = F.transform(
-            ids, lambda s: F.struct(s["id"].alias("id"), F.struct(s["first_seen"].alias("f"), s["last_seen"].alias("l")))
-        )
-        return F.map_from_entries(pairs)
 
-    old = full.select(key, by_id(F.col("ids")).alias("_o"), F.col("update_time").alias("_ou"))
-    new = increment.select(key, by_id(F.col("ids")).alias("_n"), F.col("update_time").alias("_nu"))
-    both = F.map_zip_with(
-        "_o",
-        "_n",
-        lambda _, a, b: F.struct(F.least(a["f"], b["f"]).alias("f"), F.greatest(a["l"], b["l"]).alias("l")),
+def merge_full_increment(full: DataFrame, increment: DataFrame, key: str) -> DataFrame:
+    """State after a day: pairs of either side, the same id in both keeps the earliest first and the
+    latest last sight. Equal to one build over all rows, in whatever portions they come."""
+    return full.unionByName(increment).groupBy(key, "id").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
     )
-    merged = F.map_entries(F.coalesce(both, F.col("_o"), F.col("_n")))
-    ordered = F.sort_array(
-        F.transform(
-            merged,
-            lambda e: F.struct(
-                e["value"]["l"].alias("last_seen"), e["key"].alias("id"), e["value"]["f"].alias("first_seen")
-            ),
-        ),
-        asc=False,
-    )
-    return old.join(new, key, "full").select(
-        key, F.slice(ordered, 1, limit).alias("ids"), F.greatest("_ou", "_nu").alias("update_time")
-    )
-
-
-def exploded(mapping: DataFrame, key: str) -> DataFrame:
-    """Mapping rows back to (key, id, first_seen, last_seen)."""
-    return mapping.select(key, F.explode("ids").alias("e")).select(key, "e.id", "e.first_seen", "e.last_seen")
 
 
 def pair_expansion(df: DataFrame, left: str, right: str, time: str) -> DataFrame:
@@ -108,19 +72,19 @@ def merge_pairs(history: DataFrame, pairs: DataFrame) -> DataFrame:
     return history.unionByName(pairs).groupBy("owner", "other").agg(F.min("first_seen").alias("first_seen"))
 
 
-def collected_pairs(pairs: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
+def collected_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     """Per owner the earliest ``limit`` others, ties by other."""
     top = top_k_per_group(pairs, ["owner"], [F.asc("first_seen"), F.asc("other")], limit, rank=None)
     return top.groupBy("owner").agg(F.sort_array(F.collect_list(F.struct("first_seen", "other"))).alias("others"))
 
 
-def latest_elements(df: DataFrame, keys: Sequence[str], element: str, time: str, limit: int = LIST_LIMIT) -> DataFrame:
+def latest_elements(df: DataFrame, keys: Sequence[str], element: str, time: str, limit: int) -> DataFrame:
     """Distinct (element, time) per composite key, newest ``limit`` first, ties by greater element."""
     pairs = df.select(*keys, element, time).distinct()
     top = top_k_per_group(pairs, keys, [F.desc(time), F.desc(element)], limit, rank=None)
     return top.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(time, element)), asc=False).alias("elements"))
 
 
-def recent_increment(mapping: DataFrame, since) -> DataFrame:
-    """Rows of a mapping updated on or after ``since``."""
-    return mapping.where(F.col("update_time") >= since)
+def recent_increment(state: DataFrame, key: str, since: Column) -> DataFrame:
+    """(key, update_time) of the keys of a state seen on or after ``since``."""
+    return state.groupBy(key).agg(F.max("last_seen").alias("update_time")).where(F.col("update_time") >= since)

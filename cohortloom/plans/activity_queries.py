@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import bitmaps
@@ -34,8 +36,8 @@ def _coded(t):
     return rows.select("user_id", "app", day.alias("day"), code.alias("code"))
 
 
-def _bitmaps(t, rows=None):
-    return activity.build_bitmaps(_coded(t) if rows is None else rows, "user_id", "app", "code", "day", CURRENT)
+def _bitmaps(t, rows=None, current=CURRENT):
+    return activity.build_bitmaps(_coded(t) if rows is None else rows, "user_id", "app", "code", "day", current)
 
 
 def _bits_sql(flag: str, where: str) -> str:
@@ -67,6 +69,15 @@ def activity_bitmaps(t):
     return _shown(_bitmaps(t))
 
 
+@query(
+    "bitmap_earlier_day",
+    "A26",
+    f"WITH {CODED_SQL} SELECT user_id, app, max(day) AS upper_time, {BITMAP_COLUMNS_SQL} FROM marks WHERE day <= DATE '2024-01-12' GROUP BY user_id, app",
+)
+def bitmap_earlier_day(t):
+    return _shown(_bitmaps(t, current=date(2024, 1, 12)))
+
+
 @query(
     "bitmap_increment",
     "A27",
@@ -192,6 +203,23 @@ def interval_filter_by_list(t):
     )
 
 
+OLD_SQL = f"""{CODED_SQL}, old AS (SELECT * REPLACE (day - CAST(user_id % 3 AS INTEGER) * 400 AS day) FROM marks)"""
+
+
+@query(
+    "interval_filter_clamped",
+    "F14 F16",
+    f"""WITH {OLD_SQL}, h AS (SELECT user_id, count(DISTINCT lower(app)) AS h FROM old WHERE active AND lower(app) IN ('app-1', 'app-2', 'app-5')
+  AND day BETWEEN DATE '2023-01-01' AND DATE '2024-01-31' GROUP BY user_id)
+SELECT o_custkey AS user_id, o_orderkey FROM orders JOIN h ON user_id = o_custkey""",
+)
+def interval_filter_clamped(t):
+    """A rule from 2021 to 2025: only the days of the thirteen months up to the current one count."""
+    rows = _coded(t).withColumn("day", F.date_sub("day", (F.col("user_id") % 3).cast("int") * 400))
+    rule = IntervalRule(ITEMS, "active", date(2021, 1, 1), date(2025, 12, 31))
+    return activity.activity_filter(_seeds(t), _bitmaps(t, rows), "user_id", "app", [rule], CURRENT)
+
+
 @query(
     "rule_conjunction",
     "J17",
@@ -217,44 +245,48 @@ def bitmap_day_counts(t):
     return seen.select("user_id", "app", bitmaps.set_bits(F.col("active")).cast("long").alias("active_days"))
 
 
-TODAY = date(2024, 1, 30)
-CLASSES_SQL = f"""{STATUS}, i AS (SELECT app, user_id,
-  count(DISTINCT day) FILTER (status = 'active' AND DATE '2024-01-30' - day < 90) AS cnt_day_90,
-  count(DISTINCT day) FILTER (status = 'active' AND DATE '2024-01-30' - day < 30) AS cnt_day_30,
-  count(DISTINCT day) FILTER (status = 'active' AND DATE '2024-01-30' - day < 7) AS cnt_day_7,
+# The days of three quarters of the users are moved back, so that the long windows have something to tell; the
+# last days of the data lie after ``TODAY``.
+TODAY = date(2024, 1, 25)
+DAYS = [TODAY - timedelta(days=i) for i in (4, 3, 2, 1, 0)]
+
+
+def _classes_sql(days):
+    listed = ", ".join(f"DATE '{d}'" for d in days)
+    return f"""{STATUS}, shifted AS (SELECT * REPLACE (day - CAST(user_id % 4 AS INTEGER) * 35 AS day) FROM daily), days AS (SELECT unnest([{listed}]) AS d),
+i AS (SELECT d, app, user_id,
+  count(DISTINCT day) FILTER (status = 'active' AND d - day < 90) AS cnt_day_90,
+  count(DISTINCT day) FILTER (status = 'active' AND d - day < 30) AS cnt_day_30,
+  count(DISTINCT day) FILTER (status = 'active' AND d - day < 7) AS cnt_day_7,
   CASE WHEN max(CASE WHEN status IN ('install', 'uninstall') THEN CAST(day AS VARCHAR) || status END) LIKE '%uninstall' THEN 1 ELSE 0 END AS uninstall_flag,
-  max(CASE WHEN status = 'install' AND DATE '2024-01-30' - day < 20 THEN 1 ELSE 0 END) AS install_flag,
+  max(CASE WHEN status = 'install' AND d - day < 30 THEN 1 ELSE 0 END) AS install_flag,
   arg_max(duration, CAST(day AS VARCHAR) || lpad(CAST(duration AS VARCHAR), 12, '0')) AS duration
-  FROM (SELECT * FROM daily WHERE status <> 'install' OR DATE '2024-01-30' - day < 20) GROUP BY ALL),
-classes AS (SELECT *, CASE WHEN cnt_day_90 = 0 OR uninstall_flag = 1 THEN 4 WHEN install_flag > 0 THEN 1 WHEN cnt_day_90 > 0 AND cnt_day_90 < 3 THEN 3 WHEN cnt_day_90 >= 3 THEN 2 ELSE 0 END AS user_type FROM i)"""
+  FROM shifted JOIN days ON day <= d GROUP BY ALL),
+classes AS (SELECT *, CASE WHEN cnt_day_90 = 0 OR uninstall_flag = 1 THEN 4 WHEN install_flag > 0 THEN 1 WHEN cnt_day_90 > 0 AND cnt_day_90 < 3 THEN 3 WHEN cnt_day_90 >= 3 THEN 2 ELSE 0 END AS user_type FROM i),
+counts AS (SELECT d, app, count(*) FILTER (user_type = 1) AS new, count(*) FILTER (user_type = 2) AS active,
+  count(*) FILTER (user_type = 3) AS silent, count(*) FILTER (user_type = 4) AS lost,
+  count(*) FILTER (user_type = 1 AND cnt_day_30 >= 10) AS new_often, count(*) FILTER (user_type = 1 AND cnt_day_30 < 10) AS new_seldom,
+  count(*) FILTER (user_type = 2 AND cnt_day_90 >= 30) AS active_often, count(*) FILTER (user_type = 2 AND cnt_day_90 < 30) AS active_seldom,
+  count(*) FILTER (user_type = 2 AND cnt_day_7 = 0) AS active_not_this_week,
+  count(*) FILTER (user_type = 3 AND duration < 600000) AS silent_short, count(*) FILTER (user_type = 3 AND duration >= 600000) AS silent_long
+  FROM classes GROUP BY d, app)"""
 
 
-def _classes(t):
-    # Old installs are left out, so that all classes occur within the 30 days of data.
-    rows = fixtures.daily(t).where((F.col("status") != "install") | (F.datediff(F.lit(TODAY), "day") < 20))
-    inputs = lifecycle.lifecycle_inputs(rows, "app", "user_id", "day", "status", "duration", TODAY)
-    return lifecycle.lifecycle_class(inputs)
+def _classes(t, today=TODAY):
+    rows = fixtures.daily(t).withColumn("day", F.date_sub("day", (F.col("user_id") % 4).cast("int") * 35))
+    return lifecycle.lifecycle_class(lifecycle.lifecycle_inputs(rows, "app", "user_id", "day", "status", "duration", today))
 
 
 @query(
     "lifecycle_classes",
     "A13",
-    f"WITH {CLASSES_SQL} SELECT app, user_id, cnt_day_90, cnt_day_30, cnt_day_7, uninstall_flag, install_flag, duration, user_type FROM classes",
+    f"WITH {_classes_sql([TODAY])} SELECT app, user_id, cnt_day_90, cnt_day_30, cnt_day_7, uninstall_flag, install_flag, duration, user_type FROM classes",
 )
 def lifecycle_classes(t):
     return _classes(t)
 
 
-COUNTS_SQL = f"""{CLASSES_SQL}, counts AS (SELECT app, count(*) FILTER (user_type = 1) AS new_user_cnt, count(*) FILTER (user_type = 2) AS active_user_cnt,
-  count(*) FILTER (user_type = 3) AS silence_user_cnt, count(*) FILTER (user_type = 4) AS lost_user_cnt,
-  count(*) FILTER (user_type = 1 AND cnt_day_30 >= 10) AS new_potential_user_cnt, count(*) FILTER (user_type = 1 AND cnt_day_30 < 10) AS new_lostrisk_user_cnt,
-  count(*) FILTER (user_type = 2 AND cnt_day_90 >= 30) AS active_high_user_cnt, count(*) FILTER (user_type = 2 AND cnt_day_90 < 30) AS active_low_user_cnt,
-  count(*) FILTER (user_type = 2 AND cnt_day_7 = 0) AS active_silence_user_cnt,
-  count(*) FILTER (user_type = 3 AND duration < 600000) AS silence_awake_user_cnt, count(*) FILTER (user_type = 3 AND duration >= 600000) AS silence_lostrisk_user_cnt
-  FROM classes GROUP BY app)"""
-
-
-@query("lifecycle_counts", "A14", f"WITH {COUNTS_SQL} SELECT * FROM counts")
+@query("lifecycle_counts", "A14", f"WITH {_classes_sql([TODAY])} SELECT * EXCLUDE (d) FROM counts")
 def lifecycle_counts(t):
     return lifecycle.lifecycle_counts(_classes(t), "app")
 
@@ -262,30 +294,30 @@ def lifecycle_counts(t):
 @query(
     "health_score",
     "A15",
-    f"""WITH {COUNTS_SQL}, y AS (SELECT app, new_user_cnt + active_user_cnt + silence_user_cnt + lost_user_cnt AS base FROM counts WHERE app <> 'App-7'),
-g AS (SELECT app, avg(CASE WHEN status = 'install' THEN 1.0 ELSE 0.0 END) AS a FROM daily GROUP BY app),
-r AS (SELECT counts.app, CASE WHEN base IS NOT NULL AND new_user_cnt > 0 THEN new_user_cnt / base ELSE 0 END AS growth,
-  new_user_cnt / CASE WHEN lost_user_cnt <> 0 THEN lost_user_cnt ELSE 1 END AS nr, active_user_cnt / CASE WHEN silence_user_cnt <> 0 THEN silence_user_cnt ELSE 1 END AS ar, a
-  FROM counts LEFT JOIN y USING (app) LEFT JOIN g USING (app)),
+    f"""WITH {_classes_sql(DAYS)}, r AS (SELECT c.*, CASE WHEN p.app IS NOT NULL AND c.new > 0 THEN c.new / (p.new + p.active + p.silent + p.lost) ELSE 0 END AS growth
+  FROM counts c LEFT JOIN counts p ON p.app = c.app AND p.d = c.d - 1),
+a AS (SELECT app, avg(growth) AS a FROM r WHERE d < DATE '{TODAY}' AND d >= DATE '{TODAY}' - 90 GROUP BY app),
+x AS (SELECT r.app, growth, a, new / CASE WHEN lost <> 0 THEN lost ELSE 1 END AS nr, active / CASE WHEN silent <> 0 THEN silent ELSE 1 END AS ar FROM r LEFT JOIN a USING (app) WHERE d = DATE '{TODAY}'),
 s AS (SELECT app, growth, ((CASE WHEN nr >= 1 THEN 100 WHEN nr < 0.5 THEN 0 ELSE 100 - (1 - nr) * 2 END) + (CASE WHEN ar >= 1 THEN 100 WHEN ar < 0.5 THEN 0 ELSE 100 - (1 - ar) * 2 END)) / 2 AS comp,
-  CASE WHEN coalesce(a, 0) - growth <= 0.05 THEN 100 ELSE growth / (a - 0.05) END AS gv FROM r)
-SELECT app, round(gv, 6) AS growth_rate_value, round(comp, 6) AS component_ratio_value, round((gv + comp) / 2, 6) AS value, round(growth, 6) AS user_growth_rate FROM s""",
+  CASE WHEN coalesce(a, 0) - growth <= 0.05 THEN 100 ELSE growth / (a - 0.05) END AS gv FROM x)
+SELECT app, round(gv, 6) AS growth_score, round(comp, 6) AS class_score, round((gv + comp) / 2, 6) AS score, round(growth, 6) AS growth FROM s""",
 )
 def health_score(t):
-    today = lifecycle.lifecycle_counts(_classes(t), "app")
-    past = fixtures.daily(t).select("app", F.when(F.col("status") == "install", 1.0).otherwise(0.0).alias("user_growth_rate"))
-    scored = lifecycle.health_score(today, today.where("app <> 'App-7'"), past, "app")
+    """The table of daily counts, here of five days, gives each day's growth and today's health."""
+    by_day = [lifecycle.lifecycle_counts(_classes(t, d), "app").withColumn("day", F.lit(d)) for d in DAYS]
+    table = reduce(DataFrame.unionByName, by_day)
+    scored = lifecycle.health_score(lifecycle.growth_rates(table, "app", "day"), "app", "day", TODAY)
     return scored.select("app", *[F.round(c, 6).alias(c) for c in scored.columns if c != "app"])
 
 
 @query(
     "active_device_counts",
     "A16",
-    f"""WITH {STATUS} SELECT app, user_id % 2 AS plat, count(DISTINCT user_id) AS device_cnt, lower(app) AS app_key FROM daily WHERE status = 'active' AND app <> 'App-0' GROUP BY ALL""",
+    f"""WITH {STATUS} SELECT app, user_id % 2 AS plat, count(DISTINCT user_id) AS device_cnt, lower(app) AS app_key FROM daily WHERE status = 'active' GROUP BY ALL""",
 )
 def active_device_counts(t):
     rows = fixtures.daily(t)
-    apps = rows.where("app <> 'App-0'").select("app", F.lower("app").alias("app_key")).distinct()
+    apps = rows.select("app", F.lower("app").alias("app_key")).distinct()
     active = rows.where("status = 'active'").withColumn("plat", F.col("user_id") % 2)
     return lifecycle.active_counts(active, "app", "plat", "user_id", apps)
 
@@ -350,11 +382,11 @@ def cumulative_churn(t):
 @query(
     "new_keys",
     "J9",
-    """SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')""",
+    """SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01')""",
 )
 def new_keys(t):
     recent = t.orders.where(F.col("o_orderdate") >= "2001-01-01")
-    return lifecycle.new_apps(recent, t.orders.where(F.col("o_orderdate") < "1999-01-01"), "o_custkey")
+    return lifecycle.new_apps(recent, t.orders.where(F.col("o_orderdate") < "2001-01-01"), "o_custkey")
 
 
 SCORES_SQL = "scores AS (SELECT user_id, event_type, (event_id % 1000) / 1000.0 AS p FROM events)"
@@ -375,12 +407,14 @@ def score_bands(t):
 @query(
     "score_band_columns",
     "A41 W1",
-    f"""WITH {SCORES_SQL}, b AS (SELECT event_type, {BAND_SQL} AS band FROM scores)
-SELECT event_type, count(*) FILTER (band = '0.9') AS percent_90, count(*) FILTER (band = '0.7') AS percent_70, NULL::BIGINT AS percent_20 FROM b GROUP BY event_type""",
+    f"""WITH scores AS (SELECT event_type, CAST(ts AS DATE) AS run, (event_id % 1000) / 1000.0 AS p FROM events),
+b AS (SELECT event_type, {BAND_SQL} AS band FROM scores QUALIFY run = max(run) OVER (PARTITION BY event_type)),
+n AS (SELECT event_type, band, count(*) AS cnt FROM b GROUP BY event_type, band),
+c AS (SELECT event_type, band, cnt * 100 / sum(cnt) OVER (PARTITION BY event_type) AS pc FROM n)
+SELECT event_type, round(max(pc) FILTER (band = '0.9'), 4) AS percent_90, round(max(pc) FILTER (band = '0.7'), 4) AS percent_70, round(max(pc) FILTER (band = '0.5'), 4) AS percent_50,
+  NULL::DOUBLE AS percent_20 FROM c WHERE band IS NOT NULL GROUP BY event_type""",
 )
 def score_band_columns(t):
-    from cohortloom.operators import distribution
-
-    banded = t.events.select("event_type", lifecycle.score_band((F.col("event_id") % 1000) / 1000.0).alias("band"))
-    stats = distribution.value_count_maps(banded, ["event_type"], ["band"])
-    return lifecycle.band_columns(stats, "event_type", "band", {"0.9": "percent_90", "0.7": "percent_70", "0.2": "percent_20"})
+    scores = t.events.select("event_type", F.to_date("ts").alias("run"), ((F.col("event_id") % 1000) / 1000.0).alias("p"))
+    shares = lifecycle.band_percentages(scores, "event_type", "p", "run")
+    return lifecycle.band_columns(shares, "event_type", {"0.9": "percent_90", "0.7": "percent_70", "0.5": "percent_50", "0.2": "percent_20"})

@@ -21,9 +21,13 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l DESC,
 IDS_TEXT = "string_agg(CAST(l AS VARCHAR) || ':' || CAST(id AS VARCHAR) || ':' || CAST(f AS VARCHAR), ';' ORDER BY l DESC, id DESC)"
 
 
-def _ids(t, limit=mapping.LIST_LIMIT, rows=None):
+def _state(t, rows=None):
     rows = fixtures.purchases(t) if rows is None else rows
-    return mapping.aggregate_ids(rows.select("o_custkey", "l_partkey", "day"), "o_custkey", "l_partkey", "day", "day", limit)
+    return mapping.first_last_seen(rows, "o_custkey", "l_partkey", "day", "day")
+
+
+def _ids(t, limit):
+    return mapping.newest_ids(_state(t), "o_custkey", limit)
 
 
 def _text(ids):
@@ -41,15 +45,13 @@ def mapping_build(t):
 
 INVERT_SQL = """wide AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d') AS tm FROM orders),
 r AS (SELECT CAST(unnest([o_custkey, o_custkey % 97]) AS VARCHAR) AS key, CAST(o_orderkey AS VARCHAR) AS id, tm FROM wide),
-s AS (SELECT key, id, min(tm) AS f, max(tm) AS l FROM r GROUP BY ALL),
-k AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY l DESC, id DESC) AS rn FROM s)"""
+s AS (SELECT key, id, min(tm) AS first_seen, max(tm) AS last_seen FROM r GROUP BY ALL)"""
 
 
 @query(
     "mapping_inversion",
     "A25",
-    f"""WITH {INVERT_SQL} SELECT key, string_agg(l || ':' || id || ':' || f, ';' ORDER BY l DESC, id DESC) AS ids, max(l) AS update_time
-FROM k WHERE rn <= 200 GROUP BY key""",
+    f"WITH {INVERT_SQL} SELECT key, id, first_seen, last_seen FROM s",
 )
 def mapping_inversion(t):
     tm = F.date_format("o_orderdate", "yyyyMMdd")
@@ -59,27 +61,19 @@ def mapping_inversion(t):
         F.concat_ws(",", tm, tm, tm).alias("x_tm"),
         F.concat_ws(",", tm, tm, tm).alias("x_ltm"),
     )
-    inverted = mapping.invert(wide, "entity", "x", "x_tm", "x_ltm")
-    return inverted.select("key", _text(F.col("ids")).alias("ids"), "update_time")
-
-
-# Either half keeps its 200 newest ids before the merge keeps 30 of both.
-MERGE_SQL = f"""{PURCHASES}, half AS (SELECT o_custkey, day <= DATE '1998-06-30' AS old, l_partkey AS id, min(day) AS f, max(day) AS l FROM purchases GROUP BY ALL),
-cut AS (SELECT * FROM half QUALIFY row_number() OVER (PARTITION BY o_custkey, old ORDER BY l DESC, id DESC) <= 200),
-both_halves AS (SELECT o_custkey, id, min(f) AS f, max(l) AS l FROM cut GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l DESC, id DESC) AS rn FROM both_halves)"""
+    return mapping.invert(wide, "entity", "x", "x_tm", "x_ltm")
 
 
 @query(
     "mapping_merge",
     "J8 J8m",
-    f"WITH {MERGE_SQL} SELECT o_custkey, {IDS_TEXT} AS ids, max(l) AS update_time FROM ranked WHERE rn <= 30 GROUP BY o_custkey",
+    f"WITH {SEEN_SQL} SELECT o_custkey, {IDS_TEXT} AS ids, max(l) AS update_time FROM ranked WHERE rn <= 30 GROUP BY o_custkey",
 )
 def mapping_merge(t):
     cut = F.lit(date(1998, 6, 30))
     rows = fixtures.purchases(t)
-    full, increment = _ids(t, 200, rows.where(F.col("day") <= cut)), _ids(t, 200, rows.where(F.col("day") > cut))
-    merged = mapping.merge_full_increment(full, increment, "o_custkey", 30)
+    full, increment = _state(t, rows.where(F.col("day") <= cut)), _state(t, rows.where(F.col("day") > cut))
+    merged = mapping.newest_ids(mapping.merge_full_increment(full, increment, "o_custkey"), "o_custkey", 30)
     return merged.select("o_custkey", _text(F.col("ids")).alias("ids"), "update_time")
 
 
@@ -130,16 +124,19 @@ def latest_elements(t):
     return listed.select("o_custkey", "kind", struct_list_text(F.col("elements"), "day", "l_partkey").alias("elements"))
 
 
-def _lookup(t, limit, keep=True):
-    """Seeds as plain names, looked up by the md5 of their canonical form."""
+def _lookup_sides(t, mapped):
+    """Seeds as plain names, and a mapping keyed by the md5 of their canonical form."""
     names = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name"))
-    keyed = _ids(t).join(names, "o_custkey").select(
-        K.canonical(F.col("c_name"), case="upper", kind="md5").alias("seed"), "ids"
-    )
+    rest = [c for c in mapped.columns if c != "o_custkey"]
+    keyed = mapped.join(names, "o_custkey").select(K.canonical(F.col("c_name"), case="upper", kind="md5").alias("seed"), *rest)
     sellers = t.supplier.select(F.col("s_name").alias("seed"))
     seeds = t.customer.select(F.concat(F.lit(" "), F.lower("c_name")).alias("seed")).unionByName(sellers)
-    matched = lookup.match(seeds, keyed, "seed", K.canonical(F.col("seed"), case="upper", kind="md5"), keep)
-    return lookup.latest_matches(matched, {"ids": limit})
+    return seeds, keyed, K.canonical(F.col("seed"), case="upper", kind="md5")
+
+
+def _lookup(t, limit):
+    seeds, keyed, canonical = _lookup_sides(t, _ids(t, limit).select("o_custkey", "ids"))
+    return lookup.latest_matches(lookup.match(seeds, keyed, "seed", canonical), {"ids": limit})
 
 
 LOOKUP_SQL = f"""{SEEN_SQL}, m AS (SELECT c_name, o_custkey FROM customer JOIN (SELECT DISTINCT o_custkey FROM purchases) ON c_custkey = o_custkey),
@@ -161,11 +158,12 @@ def key_lookup_latest(t):
     "key_lookup_all",
     "J1 J3 A38",
     f"""WITH {LOOKUP_SQL} SELECT seed, count(*) AS match_cnt, sum(id)::BIGINT AS id_sum FROM seeds JOIN m ON k = c_name
-JOIN (SELECT * FROM ranked WHERE rn <= 200) r ON r.o_custkey = m.o_custkey GROUP BY seed""",
+JOIN ranked r ON r.o_custkey = m.o_custkey GROUP BY seed""",
 )
 def key_lookup_all(t):
-    total = F.aggregate(F.transform("ids", lambda s: s["id"]), F.lit(0).cast("long"), lambda a, x: a + x)
-    return _lookup(t, -1, keep=False).select("seed", F.size("ids").cast("long").alias("match_cnt"), total.alias("id_sum"))
+    seeds, keyed, canonical = _lookup_sides(t, _state(t))
+    rows = lookup.match_rows(seeds, keyed, "seed", canonical)
+    return rows.groupBy("seed").agg(F.count("id").alias("match_cnt"), F.sum("id").alias("id_sum"))
 
 
 @query(
@@ -196,19 +194,43 @@ def best_candidate(t):
     "asof_match",
     "J5",
     """WITH h AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, max(o_orderkey) AS id FROM orders GROUP BY ALL),
-q AS (SELECT l_orderkey % 1500 AS o_custkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) - 1200 AS day FROM lineitem)
+q AS (SELECT DISTINCT o_custkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) - 1200 AS day FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
 SELECT q.o_custkey, q.l_linenumber, q.l_partkey, q.day, coalesce(arg_max(h.id, h.valid_from) FILTER (h.valid_from <= q.day), arg_min(h.id, h.valid_from)) AS id
 FROM q LEFT JOIN h ON h.o_custkey = q.o_custkey GROUP BY q.o_custkey, q.l_linenumber, q.l_partkey, q.day""",
 )
 def asof_match(t):
     history = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("valid_from"), F.col("o_orderkey").alias("id"))
-    asks = t.lineitem.select(
-        (F.col("l_orderkey") % 1500).alias("o_custkey"), "l_linenumber", "l_partkey",
-        F.date_sub(F.to_date("l_shipdate"), 1200).alias("day"),
+    asks = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_custkey", "l_linenumber", "l_partkey", F.date_sub(F.to_date("l_shipdate"), 1200).alias("day")
     ).distinct()
     return asof.asof_join(asks, history, ["o_custkey"], "day", "valid_from", ["id"], first_if_before=True)
 
 
+@query(
+    "asof_null_sides",
+    "J5",
+    """WITH h AS (SELECT CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts, value FROM events WHERE event_type = 'purchase'),
+q AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 13 <> 0 THEN ts END AS ts FROM events),
+b AS (SELECT event_id, arg_max(h.value, struct_pack(t := h.ts, v := h.value)) AS v FROM q JOIN h ON h.user_id = q.user_id AND h.ts <= q.ts GROUP BY event_id),
+n AS (SELECT event_id, min(h.ts) AS ts, q.user_id FROM q JOIN h ON h.user_id = q.user_id AND h.ts >= q.ts GROUP BY event_id, q.user_id),
+f AS (SELECT event_id, max(h.value) AS v FROM n JOIN h ON h.user_id = n.user_id AND h.ts = n.ts GROUP BY event_id)
+SELECT q.event_id, b.v AS value_before, f.v AS value_after FROM q LEFT JOIN b USING (event_id) LEFT JOIN f USING (event_id)""",
+)
+def asof_null_sides(t):
+    """Both sides hold null keys and null times."""
+
+    def sometimes(column, n):
+        return F.when(F.col("event_id") % n != 0, F.col(column)).alias(column)
+
+    bought = t.events.where("event_type = 'purchase'").select(sometimes("user_id", 11), sometimes("ts", 7), "value")
+    asks = t.events.select("event_id", sometimes("user_id", 5), sometimes("ts", 13))
+    before = bought.select("user_id", F.col("ts").alias("bt"), F.col("value").alias("value_before"))
+    after = bought.select("user_id", F.col("ts").alias("at"), F.col("value").alias("value_after"))
+    out = asof.asof_join(asks, before, ["user_id"], "ts", "bt", ["value_before"])
+    out = asof.asof_join(out, after, ["user_id"], "ts", "at", ["value_after"], forward=True)
+    return out.select("event_id", "value_before", "value_after")
+
+
 EVENT_ASOF = """WITH e AS (SELECT event_id, user_id, ts, event_type FROM events),
 p AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL)"""
 
@@ -372,10 +394,10 @@ def cleaned_name_lookup(t):
 @query(
     "digest_translation",
     "J20",
-    """SELECT sha256(CAST(o_custkey AS VARCHAR)) AS key, o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal > 0""",
+    """SELECT sha256(CAST(o_custkey AS VARCHAR)) AS key, o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey""",
 )
 def digest_translation(t):
-    dictionary = lookup.digest_dictionary(t.customer.where("c_acctbal > 0"), "c_custkey")
+    dictionary = lookup.digest_dictionary(t.customer, "c_custkey")
     held = t.orders.select(F.md5(F.col("o_custkey").cast("string")).alias("key"), "o_orderkey")
     return lookup.translate_digest(held, "key", dictionary, "md5", "sha256", "c_custkey")
 
@@ -429,12 +451,12 @@ def latest_profile_match(t):
 @query(
     "parent_lookup",
     "J23",
-    """WITH RECURSIVE cat AS (SELECT p_partkey AS id, p_partkey // 10 AS parent, length(CAST(p_partkey AS VARCHAR)) AS level FROM part WHERE p_partkey > 0),
+    """WITH RECURSIVE cat AS (SELECT p_partkey AS id, p_partkey // 10 AS parent, length(CAST(p_partkey AS VARCHAR)) AS level FROM part),
 up AS (SELECT id, id AS node, parent, level FROM cat UNION ALL SELECT up.id, c.id, c.parent, c.level FROM up JOIN cat c ON c.id = up.parent WHERE up.level > 2)
 SELECT id, max(CASE WHEN level = 2 THEN node END) AS ancestor FROM up GROUP BY id""",
 )
 def parent_lookup(t):
-    catalogue = t.part.where("p_partkey > 0").select(
+    catalogue = t.part.select(
         F.col("p_partkey").alias("id"),
         F.floor(F.col("p_partkey") / 10).alias("parent"),
         F.length(F.col("p_partkey").cast("string")).alias("level"),
@@ -448,7 +470,7 @@ def parent_lookup(t):
     f"WITH {SEEN_SQL} SELECT o_custkey, max(l) AS update_time FROM ranked GROUP BY o_custkey HAVING max(l) >= DATE '2001-06-01'",
 )
 def recent_increment(t):
-    return mapping.recent_increment(_ids(t), F.lit(date(2001, 6, 1))).select("o_custkey", "update_time")
+    return mapping.recent_increment(_state(t), "o_custkey", F.lit(date(2001, 6, 1)))
 
 
 @query(

@@ -36,7 +36,7 @@ SELECT o_custkey, update_time, 'full' AS kind FROM m UNION ALL SELECT o_custkey,
 )
 def full_and_increment_write(t):
     base = scratch_path(t.spark, "mapping")
-    built = mapping.aggregate_ids(fixtures.purchases(t), "o_custkey", "l_partkey", "day", "day", 50)
+    built = mapping.newest_ids(mapping.first_last_seen(fixtures.purchases(t), "o_custkey", "l_partkey", "day", "day"), "o_custkey", 50)
     sinks.full_and_increment(built, f"{base}/full", f"{base}/increment", F.col("update_time") >= F.lit(date(2001, 6, 1)))
     parts = [t.spark.read.parquet(f"{base}/{k}").select("o_custkey", "update_time", F.lit(k).alias("kind")) for k in ("full", "increment")]
     return parts[0].unionByName(parts[1])

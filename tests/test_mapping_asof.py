@@ -12,33 +12,37 @@ from cohortloom.operators import asof, lookup, mapping
 def test_first_last_seen_with_limit(spark):
     rows = [("k", "d1", "20200101", "20200105"), ("k", "d2", "20200102", "20200109"), ("k", "d1", "20191201", "20200103"), ("k", "d3", "20200101", "20200109"), (None, "d4", "1", "2")]
     df = spark.createDataFrame(rows, "key string, id string, f string, l string")
-    row = mapping.aggregate_ids(df, "key", "id", "f", "l", 2).first()
+    state = mapping.first_last_seen(df, "key", "id", "f", "l")
+    row = mapping.newest_ids(state, "key", 2).first()
     assert [tuple(x) for x in row.ids] == [("20200109", "d3", "20200101"), ("20200109", "d2", "20200102")]
-    full = mapping.aggregate_ids(df, "key", "id", "f", "l").collect()
+    full = mapping.newest_ids(state, "key", 9).collect()
     assert len(full) == 1 and tuple(full[0].ids[2]) == ("20200105", "d1", "20191201")
     assert full[0].update_time == "20200109"
 
 
 def test_same_id_twice_in_one_csv(spark):
     df = spark.createDataFrame([("e1", "a,a,", "1,2,3", "5,4,6")], "entity string, x string, f string, l string")
-    row = mapping.invert(df, "entity", "x", "f", "l").first()
-    assert row.key == "a" and [tuple(x) for x in row.ids] == [("5", "e1", "1")]
+    assert [tuple(r) for r in mapping.invert(df, "entity", "x", "f", "l").collect()] == [("a", "e1", "1", "5")]
 
 
-def test_merge_keeps_both_sides(spark):
-    schema = "key string, ids array<struct<last_seen string, id string, first_seen string>>, update_time string"
-    full = spark.createDataFrame([("a", [("5", "x", "1"), ("3", "y", "2")], "5"), ("b", [("1", "z", "1")], "1")], schema)
-    new = spark.createDataFrame([("a", [("9", "y", "4"), ("2", "w", "2")], "9"), ("c", [("2", "q", "2")], "2")], schema)
-    rows = {r.key: r for r in mapping.merge_full_increment(full, new, "key", 2).collect()}
-    assert [tuple(x) for x in rows["a"].ids] == [("9", "y", "2"), ("5", "x", "1")]
-    assert rows["a"].update_time == "9" and set(rows) == {"a", "b", "c"}
+def test_merge_equals_one_build_beyond_any_list(spark):
+    rows = [("k", i, date(2010, 1, 1) + timedelta(days=i)) for i in range(300)] + [("k", 0, date(2020, 1, 1)), ("j", 1, date(2000, 1, 1))]
+    schema = "key string, id int, day date"
+    old, new = spark.createDataFrame(rows[:300], schema), spark.createDataFrame(rows[300:], schema)
+    build = lambda df: mapping.first_last_seen(df, "key", "id", "day", "day")
+    merged = mapping.merge_full_increment(build(old), build(new), "key")
+    whole = build(spark.createDataFrame(rows, schema))
+    assert sorted(map(tuple, merged.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    newest = mapping.newest_ids(merged.where("key = 'k'"), "key", 1).first()
+    assert tuple(newest.ids[0]) == (date(2020, 1, 1), 0, date(2010, 1, 1))
+    seeds = spark.createDataFrame([("k",), ("k",), ("none",)], "key string")
+    assert lookup.match_rows(seeds, merged, "key").count() == 600
 
 
-def test_merge_is_one_join_without_explode(spark):
-    schema = "key string, ids array<struct<last_seen string, id string, first_seen string>>, update_time string"
-    empty = spark.createDataFrame([], schema)
+def test_merge_is_one_shuffle(spark):
+    empty = spark.createDataFrame([], "key string, id int, first_seen date, last_seen date")
     plan = mapping.merge_full_increment(empty, empty, "key")._jdf.queryExecution().executedPlan().toString()
-    assert "Generate" not in plan
+    assert "Join" not in plan and "Generate" not in plan
 
 
 @pytest.mark.parametrize(("limit", "expected"), [(1, ["m3"]), (2, ["m3", "m2"]), (-1, ["m3", "m2", "m1"])])
@@ -53,10 +57,10 @@ def test_match_limits_and_unmatched_seeds(spark, limit, expected):
 
 
 def test_best_candidate_ties(spark):
-    seeds = spark.createDataFrame([(1, [("t", "a"), ("t", "b")]), (2, None), (3, [("t", "c")])], "row int, ids array<struct<last_seen string, id string>>")
+    seeds = spark.createDataFrame([(1, [("t", "a"), ("t", "b")]), (2, None), (3, [("t", "c")]), (2, None)], "row int, ids array<struct<last_seen string, id string>>")
     weights = spark.createDataFrame([("a", 3), ("b", 3)], "id string, weight int")
-    rows = {r.row: (r.best_id, r.best_weight) for r in lookup.best_candidate(seeds, "ids", weights, ["row"]).collect()}
-    assert rows == {1: ("b", 3), 2: (None, None), 3: ("c", 0)}
+    rows = sorted((r.row, r.best_id, r.best_weight) for r in lookup.best_candidate(seeds, "ids", weights, ["row"]).collect())
+    assert rows == [(1, "b", 3), (2, None, None), (2, None, None), (3, "c", 0)]
 
 
 def _brute(left, right, strict, forward, first_if_before):
@@ -92,6 +96,25 @@ def test_asof_against_brute_force(spark, kind, strict, forward, first):
     assert sorted((r.i, r.v) for r in rows) == _brute(left, right, strict, forward, first)
 
 
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("first", [False, True])
+def test_asof_null_keys_and_times(spark, forward, first):
+    if forward and first:
+        return
+    left = spark.createDataFrame([(1, None, date(2024, 1, 5)), (2, 1, None), (3, 1, date(2024, 1, 5)), (4, None, None)], "i int, k int, t date")
+    right = spark.createDataFrame([(None, date(2024, 1, 5), 7), (1, None, 9), (1, date(2024, 1, 5), 5)], "k int, rt date, v int")
+    rows = asof.asof_join(left, right, ["k"], "t", "rt", ["v"], forward=forward, first_if_before=first).collect()
+    assert sorted((r.i, r.v) for r in rows) == [(1, None), (2, None), (3, 5), (4, None)]
+
+
+def test_source_ignores_stays_without_start(spark):
+    bounds = spark.createDataFrame([("d", date(2020, 1, 5), date(2020, 1, 5)), (None, date(2020, 1, 5), date(2020, 1, 5))], "device string, first_visit date, last_visit date")
+    stays = spark.createDataFrame([("d", None, date(2020, 1, 9), "p1"), ("d", date(2020, 1, 2), None, "p2"), (None, date(2020, 1, 1), date(2020, 1, 8), "p3")], "device string, st date, en date, place string")
+    frequent = spark.createDataFrame([("d", "home")], "device string, place string")
+    rows = asof.source_and_flow(bounds, stays, frequent, "device", "st", "en", ["place"]).collect()
+    assert sorted(((r.device or ""), r.source_place, r.flow_place) for r in rows) == [("", None, None), ("d", "p2", "p1")]
+
+
 def test_asof_forms_no_pairs(spark):
     left = spark.createDataFrame([(1, date(2024, 1, 1))], "k int, t date")
     right = spark.createDataFrame([(1, date(2024, 1, 1), 5)], "k int, rt date, v int")
@@ -115,7 +138,15 @@ def test_flow_falls_back_to_the_frequent_place(spark):
     assert (row.source_place, row.flow_place) == ("p2", "home")
 
 
-def test_parent_lookup_depth(spark):
-    df = spark.createDataFrame([(1, None, 1), (2, 1, 2), (3, 2, 3), (4, 3, 4)], "id int, parent int, level int")
+def test_parent_lookup_at_any_depth(spark):
+    chain = [(i, i - 1 if i > 1 else None, i) for i in range(1, 12)]
+    df = spark.createDataFrame([*chain, (50, 49, 7)], "id int, parent int, level int")
     rows = {r.id: r.ancestor for r in lookup.parent_at_level(df, "id", "parent", "level", 2).collect()}
-    assert rows == {1: None, 2: 2, 3: 2, 4: 2}
+    assert rows == {1: None, 50: None} | {i: 2 for i in range(2, 12)}
+
+
+@pytest.mark.parametrize("length", [2, 3])
+def test_parent_cycle_is_an_error(spark, length):
+    df = spark.createDataFrame([(i, i % length + 1, 5) for i in range(1, length + 1)], "id int, parent int, level int")
+    with pytest.raises(ValueError, match="cycle"):
+        lookup.parent_at_level(df, "id", "parent", "level", 2)

@@ -83,6 +83,42 @@ def test_interval_clamp():
     assert dates.clamp_interval("20200101", "20200201", "20201215") == ("20200101", "20200201")
 
 
+def test_rule_outside_the_window_hits_nothing(spark):
+    rows = [("a", "p", 3, date(2023, 3, 10)), ("b", "p", 3, date(2024, 3, 10)), ("c", "p", 3, date(2024, 1, 5))]
+    df = spark.createDataFrame(rows, "device string, pkg string, status int, day date")
+    current = date(2024, 1, 20)
+    bm = activity.build_bitmaps(df, "device", "pkg", "status", "day", current)
+    assert sorted(r.device for r in bm.collect()) == ["a", "c"]
+
+    def kept(start, end):
+        rule = IntervalRule(("p",), "active", start, end)
+        return sorted(r.device for r in activity.activity_filter(None, bm, "device", "pkg", [rule], current).collect())
+
+    assert kept(date(2021, 3, 1), date(2021, 3, 31)) == []
+    assert kept(date(2024, 3, 1), date(2024, 3, 31)) == []
+    assert kept(date(2021, 1, 1), date(2030, 1, 1)) == ["a", "c"]
+    lists = spark.createDataFrame([("a", "p"), ("c", "p")], "device string, list string")
+    by_list = lambda s, e: activity.activity_filter_by_list(lists, bm, "device", "pkg", "list", ",", "active", s, e, current).count()
+    assert (by_list(date(2021, 3, 1), date(2021, 3, 31)), by_list(date(2021, 1, 1), date(2030, 1, 1))) == (0, 2)
+
+
+def test_lifecycle_ignores_later_days(spark):
+    rows = [("x", "d", "active", date(2024, 1, 1), 5), ("x", "d", "uninstall", date(2024, 2, 1), 9), ("x", "late", "install", date(2024, 2, 1), 1)]
+    df = spark.createDataFrame(rows, "app string, device string, status string, day date, ms int")
+    out = lifecycle.lifecycle_inputs(df, "app", "device", "day", "status", "ms", date(2024, 1, 20)).collect()
+    assert [(r.device, r.cnt_day_30, r.uninstall_flag, r.duration) for r in out] == [("d", 1, 0, 5)]
+
+
+def test_growth_and_health(spark):
+    rows = [("a", date(2024, 1, 1), 5, 5, 0, 0), ("a", date(2024, 1, 2), 4, 2, 1, 8), ("b", date(2024, 1, 2), 3, 0, 0, 0), ("a", date(2023, 9, 1), 9, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "app string, day date, new int, active int, silent int, lost int")
+    rates = lifecycle.growth_rates(df, "app", "day")
+    growth = {(r.app, str(r.day)): r.growth for r in rates.collect()}
+    assert growth[("a", "2024-01-02")] == pytest.approx(0.4) and growth[("b", "2024-01-02")] == 0
+    out = {r.app: r for r in lifecycle.health_score(rates, "app", "day", date(2024, 1, 2)).collect()}
+    assert out["a"].class_score == pytest.approx((99 + 100) / 2) and out["a"].growth_score == 100 and set(out) == {"a", "b"}
+
+
 @pytest.fixture
 def status_rows(spark):
     rows = [
