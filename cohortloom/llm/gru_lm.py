@@ -50,27 +50,37 @@ BACKOFF = 4.0
 
 @dataclass
 class Tokens:
-    """Words of a piece with their hashes, last two bytes, and places."""
+    """Words of a piece: places and rows, and of the distinct ones an example, hash, last two bytes and number."""
 
     low: Piece
     starts: np.ndarray
     ends: np.ndarray
     rows: np.ndarray
+    distinct: np.ndarray  # of each word, which distinct word it is
+    example: np.ndarray
     hashes: np.ndarray
     pairs: np.ndarray
+    times: np.ndarray
 
 
 def tokens_of(piece: Piece) -> Tokens:
     low = piece.lowered()
     starts, ends, rows = low.spans(NOT_SPACE)
-    before = np.where(ends - starts > 1, low.data[np.maximum(ends - 2, 0)], BLANK).astype(np.int64)
-    pairs = before * 256 + low.data[ends - 1] if len(ends) else np.empty(0, np.int64)
-    return Tokens(low, starts, ends, rows, low.hashes(starts, ends), pairs)
+    hashes, example, distinct, times = np.unique(low.hashes(starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    if len(example):
+        first, last = starts[example], ends[example]
+        before = np.where(last - first > 1, low.data[np.maximum(last - 2, 0)], BLANK).astype(np.int64)
+        pairs = before * 256 + low.data[last - 1]
+    else:
+        pairs = np.empty(0, np.int64)
+    return Tokens(low, starts, ends, rows, distinct, example, hashes, pairs, times)
 
 
 def spelling_events(t: Tokens, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two cells of the spelling counts for each byte of the chosen words before their last two, and for the blank before it."""
+    """Two cells of the spelling counts for each byte of the chosen distinct words before their last two, and for
+    the blank before it."""
     data = t.low.data
+    which = t.example[which]
     n = t.ends[which] - t.starts[which]
     long = which[n > 1]
     size = n[n > 1] - 1  # bytes before the pair, and the blank
@@ -114,8 +124,7 @@ def word_counts(documents: DataFrame) -> DataFrame:
             ends += batch.num_rows
             for piece in pieces(batch.column("text")):
                 t = tokens_of(piece)
-                keys, first, n = np.unique(t.hashes, return_index=True, return_counts=True)
-                held.append((keys, t.pairs[first], n))
+                held.append((t.hashes, t.pairs, t.times))
                 if len(held) >= 8:
                     held = [merged()]
                     if len(held[0][0]) > 1 << 20:
@@ -150,14 +159,29 @@ class Vocabulary:
         return np.where(same, self.hot_counts[at], -1), np.where(same, self.hot_units[at], -1)
 
     def units(self, t: Tokens, words: np.ndarray) -> np.ndarray:
-        return np.where(words >= 0, words, self.pair_group[t.pairs] + 1).astype(np.int16)
+        """The unit of every word of a piece."""
+        return np.where(words >= 0, words, self.pair_group[t.pairs] + 1).astype(np.int16)[t.distinct]
+
+
+def _least_hot(counts: DataFrame) -> int:
+    """The least count that at most ``MOST_HOT`` words reach, from a histogram of few classes."""
+    rows = counts.where("pair >= 0").groupBy(F.floor(F.log2("n") * 16).alias("c")).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("words")).collect()
+    total, least = 0, 1 << 62
+    for r in sorted(rows, key=lambda r: -r["c"]):
+        total += r["words"]
+        if total > MOST_HOT:
+            break
+        least = r["least"]
+    return least
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """What the tasks know of the counts: bounded by ``MOST_HOT`` and the number of pairs."""
     totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.where("pair >= 0").orderBy(F.desc("n"), "h").limit(MOST_HOT).toArrow()
+    top = counts.where((F.col("pair") >= 0) & (F.col("n") >= _least_hot(counts))).select("h", "n").toArrow()
     h, n = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.lexsort((h, -n))
+    h, n = h[order], n[order]
     words = min(len(h), recurrent.UNITS - FIRST_WORD)
     own = counts.sparkSession.createDataFrame([(int(x),) for x in h[:words].view(np.int64)], "_h long")
     rest = counts.where("pair >= 0").join(F.broadcast(own), F.col("h") == F.col("_h"), "left_anti")
@@ -214,9 +238,10 @@ def train(documents: DataFrame, known: Vocabulary, part: Column, rounds: int = R
             events = np.zeros(SPELLINGS, np.int32)
 
             def note(batch, piece, t, counts, words, edge) -> None:
-                low, high = spelling_events(t, np.flatnonzero(words < 0))
-                events[:LOW_CELLS] += np.bincount(low, minlength=LOW_CELLS).astype(np.int32)
-                events[LOW_CELLS:] += np.bincount(high - LOW_CELLS, minlength=SPELLINGS - LOW_CELLS).astype(np.int32)
+                outside = np.flatnonzero(words < 0)
+                cells = spelling_events(t, outside)
+                n = np.maximum(t.ends[t.example[outside]] - t.starts[t.example[outside]] - 1, 0)
+                np.add.at(events, np.concatenate(cells), np.tile(np.repeat(t.times[outside], n), 2).astype(np.int32))
 
             for held in _batches(batches, shared.value, note):
                 trainer.learn(held)
@@ -246,7 +271,7 @@ class Model:
     def word_scores(self, t: Tokens, which: np.ndarray) -> np.ndarray:
         """Spelling probability (log10) of each chosen word within its group."""
         known = self.known
-        n = t.ends[which] - t.starts[which] - 1
+        n = t.ends[t.example[which]] - t.starts[t.example[which]] - 1
         low, high = spelling_events(t, which)
         total = np.concatenate([[0.0], np.cumsum(self.spelling[low] + self.spelling[high], dtype=float)])
         edge = np.concatenate([[0], np.cumsum(n)])
@@ -285,33 +310,31 @@ def _scored(documents: DataFrame, model: Model) -> DataFrame:
 
         def note(batch, piece, t, counts, words, edge) -> None:
             n = len(piece)
-            hot = counts >= 0
-            base = np.bincount(t.rows[hot], weights=np.log10(counts[hot] + 1.0), minlength=n)
-            inside = np.zeros(n)
-            spelled = np.zeros(len(t.rows))
-            outside = np.flatnonzero(words < 0)
-            spelled[outside] = model.word_scores(t, outside)
             groups = known.pair_group[t.pairs] if len(t.pairs) else np.empty(0, np.int64)
+            hot, outside = counts >= 0, np.flatnonzero(words < 0)
+            spelled = np.zeros(len(t.hashes))
+            spelled[outside] = model.word_scores(t, outside)
             middle = np.flatnonzero(hot & (words < 0))
-            inside += np.bincount(t.rows[middle], weights=model.mixed(spelled[middle], counts[middle], groups[middle]), minlength=n)
-            cold = np.flatnonzero(~hot)
-            order = cold[np.lexsort((t.hashes[cold], t.rows[cold]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (t.rows[order[1:]] != t.rows[order[:-1]]) | (t.hashes[order[1:]] != t.hashes[order[:-1]])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(order)))
-            lead = order[first]
+            within = np.zeros(len(t.hashes))
+            within[middle] = model.mixed(spelled[middle], counts[middle], groups[middle])
+            plain = np.where(hot, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
+            base = np.bincount(t.rows, weights=plain[t.distinct], minlength=n)
+            inside = np.bincount(t.rows, weights=within[t.distinct], minlength=n)
+            is_hot = hot[t.distinct]
+            cold = np.flatnonzero(~is_hot)
+            key, times = np.unique(t.rows[cold] * len(t.hashes) + t.distinct[cold], return_counts=True)
+            row, lead = np.divmod(key, max(1, len(t.hashes)))
             fields = [t.hashes[lead].view(np.int64), spelled[lead], groups[lead].astype(np.int32), times]
             values = pa.StructArray.from_arrays([pa.array(x) for x in fields], ["h", "spelled", "grp", "n"])
-            to = np.searchsorted(t.rows[lead], np.arange(n + 1)).astype(np.int32)
+            to = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
             rare.append(pa.ListArray.from_arrays(pa.array(to), values).cast(kind))
             ids.append(batch.column("doc_id").slice(piece.first, n))
-            parts.append((np.diff(edge) + 1, np.bincount(t.rows[hot], minlength=n), base, inside))
+            parts.append((np.diff(edge) + 1, np.bincount(t.rows[is_hot], minlength=n), base, inside))
 
         for held in _batches(batches, known, note):
             found = recurrent.score(weights, held) / np.log(10)
             n_tokens, n_hot, base, inside = (np.concatenate(x) for x in zip(*parts, strict=True))
-            columns = [pa.array(n_tokens), pa.array(n_hot.astype(np.int64)), pa.array(base), pa.array(found + inside)]
+            columns = [pa.array(n_tokens), pa.array(n_hot.astype(np.int64)), pa.array(base.astype(float)), pa.array(found + inside)]
             table = pa.Table.from_arrays([pa.chunked_array(ids), *(pa.chunked_array([c]) for c in columns), pa.chunked_array(rare)], ["doc_id", "n_tokens", "n_hot", "base", "inside", "rare"])
             yield from table.combine_chunks().to_batches(max_chunksize=2000)
             ids.clear(), parts.clear(), rare.clear()
