@@ -105,7 +105,7 @@ def learn(lines: DataFrame) -> Model:
     for r in now.join(after, ["conv", "position"]).groupBy("role", (F.col("lines") > 1).alias("long"), "next").agg(F.count(F.lit(1)).alias("n")).collect():
         inner[2 * r["role"] + int(r["long"]), 2 * r["next"]] += r["n"]
     first = np.zeros(STATES)
-    least = turns.groupBy("conv").agg(F.min_by("role", "position").alias("role"))
+    least = turns.groupBy("conv").agg(F.min_by("role", F.coalesce("position", F.lit(-(1 << 62)))).alias("role"))
     for r in least.groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect():
         first[2 * r["role"]] = r["n"]
     frequent = known.groupBy("marker").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "marker").limit(MOST_MARKERS)

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortloom.llm.textbytes import LOWER, Piece, byte_table, mix, pieces
 from cohortloom.session import scratch_path
@@ -197,9 +197,9 @@ def classify(piece: Piece, filters: Filters) -> tuple[list[str], np.ndarray]:
     return names[np.where(letters, best, many)].tolist(), np.where(letters, score, 0.0)
 
 
-def predict(documents: DataFrame, filters: Filters, text_col: str = "text", keep: list[str | Column] | None = None) -> DataFrame:
-    """The columns ``keep`` (all) plus a struct ``language`` of lang and score, for each document."""
-    columns = documents.columns if keep is None else keep
+def predict(documents: DataFrame, filters: Filters, text_col: str = "text", keep: list[str] | None = None, into: str = "language") -> DataFrame:
+    """The columns ``keep`` (all) plus a struct of lang and score, for each document."""
+    columns = [c for c in (documents.columns if keep is None else keep) if c != into]
     rows = documents.select(*columns, F.col(text_col).cast("string").alias("_text"))
     shared = documents.sparkSession.sparkContext.broadcast(filters)
 
@@ -210,7 +210,7 @@ def predict(documents: DataFrame, filters: Filters, text_col: str = "text", keep
                 own = batch.slice(piece.first, len(piece))
                 langs, scores = classify(piece, shared.value)
                 found = pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
-                yield pa.RecordBatch.from_arrays([*own.columns[:width], found], [*own.schema.names[:width], "language"])
+                yield pa.RecordBatch.from_arrays([*own.columns[:width], found], [*own.schema.names[:width], into])
 
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("language", T._parse_datatype_string("struct<lang:string,score:double>"))])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(into, T._parse_datatype_string("struct<lang:string,score:double>"))])
     return rows.mapInArrow(score, schema)

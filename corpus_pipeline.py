@@ -30,9 +30,9 @@ SURE_LANGUAGE = 0.7
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents of undetermined language (a null text, or one without a letter) or of clearly another one than they say."""
-    found = language_id.predict(docs, language_id.learn(docs), keep=list(docs.columns))
-    other = F.col("lang").isNotNull() & (F.col("lang") != F.col("language.lang")) & (F.col("language.score") >= SURE_LANGUAGE)
-    return found.where((F.col("language.lang") != "und") & ~other).drop("language")
+    found = language_id.predict(docs, language_id.learn(docs), into="_language")
+    other = F.col("lang").isNotNull() & (F.col("lang") != F.col("_language.lang")) & (F.col("_language.score") >= SURE_LANGUAGE)
+    return found.where((F.col("_language.lang") != "und") & ~other).drop("_language")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
