@@ -94,7 +94,8 @@ def ordered_report(df: DataFrame, order: Sequence[Column], limit: int | None = N
     return df if limit is None else df.limit(limit)
 
 
-def sorted_unique_partitions(df: DataFrame, keys: Sequence[str], tie: Sequence[str], partitions: int) -> DataFrame:
-    """Range-partitioned, sorted rows with one row (smallest ``tie``) per key."""
+def sorted_unique_partitions(df: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """Range-partitioned, sorted rows with one row (smallest ``tie``) per key; the session's shuffle
+    partitions say how many."""
     unique = latest_per_key(df, keys, tie, oldest=True)
-    return unique.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+    return unique.repartitionByRange(*keys).sortWithinPartitions(*keys)

@@ -71,6 +71,10 @@ def lookalike(df: DataFrame, seeds: DataFrame, key: str, vector: str, dims: int,
     return ranking.ordered_report(ranked, [F.asc("distance"), F.asc(key)], limit)
 
 
+#: Rows of a score matrix that a task holds at once.
+SLICE_ROWS = 512
+
+
 def _block_top(k: int):
     """Top-k partners of each left row inside one pair of blocks, by a matrix product."""
 
@@ -88,12 +92,17 @@ def _block_top(k: int):
             return pd.DataFrame({"id": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         a, b = np.stack(left["unit"].to_numpy()), np.stack(right["unit"].to_numpy())
         ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        # Six decimals before ranking, so that ties do not depend on the order of additions.
-        scores = np.round(a @ b.T, 6)
-        scores[ids[:, None] == others[None, :]] = -np.inf
-        out = [best(ids, others, scores)]
+        sides = [(ids, a, others, b)]
         if left["block"].iloc[0] != right["block"].iloc[0]:
-            out.append(best(others, ids, np.ascontiguousarray(scores.T)))
+            sides.append((others, b, ids, a))
+        out = []
+        for own, x, partners, y in sides:
+            for at in range(0, len(own), SLICE_ROWS):
+                rows = slice(at, at + SLICE_ROWS)
+                # Six decimals before ranking, so that ties do not depend on the order of additions.
+                scores = np.round(x[rows] @ y.T, 6)
+                scores[own[rows, None] == partners[None, :]] = -np.inf
+                out.append(best(own[rows], partners, scores))
         return pd.concat(out)
 
     return run
@@ -108,16 +117,18 @@ def unit_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def cosine_top_k(df: DataFrame, key: str, vector: str, k: int = 30, block_rows: int = 4096) -> DataFrame:
+def cosine_top_k(df: DataFrame, key: str, vector: str, k: int = 30, side: int | None = None) -> DataFrame:
     """(id, other, score, rn): the exact ``k`` most similar others of every vector, self left out.
 
-    Vectors are hashed into blocks of about ``block_rows``. Each unordered pair of blocks meets in one
-    task, which multiplies the two matrices and hands on at most ``k`` partners per row in either
+    Vectors are hashed into ``side`` blocks; each unordered pair of blocks meets in one task, which
+    multiplies slices of the two matrices and hands on at most ``k`` partners per row in either
     direction, never the pairs themselves. The partial lists are cut again to ``k``. The work is
-    quadratic, but it is spread evenly: blocks come from a hash of a unique id, so no group can be hot.
+    quadratic, but spread evenly: blocks come from a hash of a unique id, so no group can be hot. Each
+    vector is copied ``side`` times. By default there are two pairs of blocks for each task slot of the
+    cluster; a task holds two blocks, so give more where n / ``side`` vectors are too many for one.
     """
     units = unit_vectors(df, key, vector)
-    blocks = max(1, math.ceil(df.count() / block_rows))
+    blocks = side or max(4, math.ceil(math.sqrt(4 * df.sparkSession.sparkContext.defaultParallelism)))
     placed = units.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = placed.withColumn("pair", F.explode(F.filter(all_blocks, lambda b: b >= F.col("block"))))

@@ -329,7 +329,7 @@ def global_numbering(t):
     "SELECT l_orderkey, min(l_partkey) AS l_partkey FROM lineitem GROUP BY l_orderkey",
 )
 def sorted_unique_rows(t):
-    return ranking.sorted_unique_partitions(t.lineitem.select("l_orderkey", "l_partkey"), ["l_orderkey"], ["l_partkey"], 8)
+    return ranking.sorted_unique_partitions(t.lineitem.select("l_orderkey", "l_partkey"), ["l_orderkey"], ["l_partkey"])
 
 
 @query(

@@ -102,20 +102,24 @@ def cosine_top_30(t):
     return vectors.cosine_top_k(t.embeddings, "vec_id", "embedding", 30).select("id", "other", F.round("score", 6).alias("score"))
 
 
+def _half_sql(name, first, last):
+    return f"""{name} AS (SELECT a.vec_id AS id, b.vec_id AS other, round(list_cosine_similarity(a.v[{first}:{last}], b.v[{first}:{last}]), 6) AS s
+  FROM u a JOIN u b ON a.vec_id <> b.vec_id QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY s DESC, b.vec_id) <= 10)"""
+
+
 @query(
     "fused_similarity",
     "M7",
-    """WITH p AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS other FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-a AS (SELECT id, other, (id * 7 + other) % 11 / 10.0 AS s FROM p), b AS (SELECT id, other, (id + other * 3) % 7 / 10.0 AS s FROM p WHERE (id + other) % 2 = 0), c AS (SELECT id, other, (id * other) % 5 / 10.0 AS s FROM p WHERE id % 3 = 0),
-u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
-SELECT id, other, round(coalesce(count(*) FILTER (s <> 0) / sum(1 / s) FILTER (s <> 0), 0), 8) AS score FROM u GROUP BY id, other""",
+    f"""WITH {UNIT_SQL}, {_half_sql("a", 1, DIMS // 2)}, {_half_sql("b", DIMS // 2 + 1, DIMS)}, c AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT id, other, round(coalesce(count(*) FILTER (s <> 0) / sum(1 / s) FILTER (s <> 0), 0), 6) AS score FROM c GROUP BY id, other""",
 )
 def fused_similarity(t):
-    pairs = fixtures.purchases(t).select(F.col("o_custkey").alias("id"), F.col("l_suppkey").alias("other")).distinct()
-    a = pairs.withColumn("score", (F.col("id") * 7 + F.col("other")) % 11 / 10.0)
-    b = pairs.where((F.col("id") + F.col("other")) % 2 == 0).withColumn("score", (F.col("id") + F.col("other") * 3) % 7 / 10.0)
-    c = pairs.where(F.col("id") % 3 == 0).withColumn("score", (F.col("id") * F.col("other")) % 5 / 10.0)
-    return vectors.fuse_scores([a, b, c]).select("id", "other", F.round("score", 8).alias("score"))
+    """The most similar vectors in each half of the dimensions, fused."""
+    halves = [
+        vectors.cosine_top_k(t.embeddings.select("vec_id", F.slice("embedding", start, DIMS // 2).alias("half")), "vec_id", "half", 10)
+        for start in (1, DIMS // 2 + 1)
+    ]
+    return vectors.fuse_scores(halves).select("id", "other", F.round("score", 6).alias("score"))
 
 
 # Fixed short stop-word list of the text queries.

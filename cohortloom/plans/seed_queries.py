@@ -86,12 +86,15 @@ def delimited_seed_read(t):
 @query(
     "latest_partition_read",
     "S7 S10",
-    """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders
-WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1999-06-30')""",
+    """SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders WHERE strftime(o_orderdate, '%Y-%m') <= '1999-06')""",
 )
 def latest_partition_read(t):
-    dated = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    return tables.latest_partition(dated, "day", upto=date(1999, 6, 30))
+    """From a table partitioned by month on disk."""
+    path = scratch_path(t.spark, "by-month")
+    dated = t.orders.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    dated.repartition("month").write.partitionBy("month").parquet(path)
+    return tables.latest_listed_partition(t.spark.read.parquet(path), "month", upto="1999-06").withColumn("month", F.col("month").cast("string"))
 
 
 @query(

@@ -168,12 +168,16 @@ def missing_partitions(t):
     return checks.missing_partitions(expected, present, ["source", "day"])
 
 
-PROFILED = ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+PROFILED = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+
+# The profile has no form for timestamps; the order's day is text.
+ORDERS_TEXT = "(SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders)"
 
 
 def _profile_sql():
     parts = []
-    for i, (name, kind) in enumerate(zip(PROFILED, ("bigint", "double", "string", "string"), strict=True)):
+    for i, (name, kind) in enumerate(zip(PROFILED, ("bigint", "bigint", "double", "string", "string", "string"), strict=True)):
         blank = f"{name} IS NULL OR trim(CAST({name} AS VARCHAR)) = ''"
         head = (
             f"SELECT {i + 1} AS column_index, '{name}' AS column_name, '{kind}' AS column_type, count(*) FILTER ({blank}) AS blank_cnt,"
@@ -181,23 +185,23 @@ def _profile_sql():
         )
         if kind == "string":
             ends = [
-                f"(SELECT string_agg(v || ':' || CAST(n AS VARCHAR), ',' ORDER BY n {o}, v) FROM (SELECT {name} AS v, count(*) AS n FROM orders GROUP BY 1 ORDER BY n {o}, v LIMIT 5))"
+                f"(SELECT string_agg(v || ':' || CAST(n AS VARCHAR), ',' ORDER BY n {o}, v) FROM (SELECT {name} AS v, count(*) AS n FROM {ORDERS_TEXT} GROUP BY 1 ORDER BY n {o}, v LIMIT 5))"
                 for o in ("DESC", "ASC")
             ]
             numbers = ", ".join(["NULL::DOUBLE"] * 11)
-            parts.append(f"{head}, {numbers}, {ends[0]}, {ends[1]} FROM orders")
+            parts.append(f"{head}, {numbers}, {ends[0]}, {ends[1]} FROM {ORDERS_TEXT}")
         else:
             levels = ", ".join(f"CAST(quantile_disc({name}, {p}) AS DOUBLE) AS p{round(p * 100)}" for p in checks.PROFILE_LEVELS)
             parts.append(
                 f"{head}, round(avg({name}), 6) AS mean, CAST(min({name}) AS DOUBLE) AS min, CAST(max({name}) AS DOUBLE) AS max, round(stddev_pop({name}), 6) AS stddev, {levels},"
-                f" NULL::VARCHAR AS top_values, NULL::VARCHAR AS bottom_values FROM orders"
+                f" NULL::VARCHAR AS top_values, NULL::VARCHAR AS bottom_values FROM {ORDERS_TEXT}"
             )
     return " UNION ALL ".join(parts)
 
 
 @query("column_profile", "A47", _profile_sql())
 def column_profile(t):
-    report = checks.column_profile(t.orders.select(*PROFILED))
+    report = checks.column_profile(t.orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).select(*PROFILED))
     return report.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
 
 

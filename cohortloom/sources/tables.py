@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.functions import dates
 
+# Fixed folder name of a null partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet", where: Column | None = None) -> DataFrame:
     """Columnar scan (parquet or orc) with an optional partition predicate."""
@@ -27,6 +32,14 @@ def latest_partition(df: DataFrame, partition: str, upto=None, pattern: str | No
     return df.where(F.lit(False)) if newest is None else df.where(F.col(partition) == F.lit(newest))
 
 
+def latest_listed_partition(df: DataFrame, partition: str, upto: str | None = None) -> DataFrame:
+    """As :func:`latest_partition` for a table partitioned on disk, from the names of its folders alone: no
+    data file is opened to find the value, and the scan lists one partition. The value is text."""
+    folders = {unquote(f).rsplit("/", 1)[0].rsplit(f"/{partition}=", 1)[-1].split("/")[0] for f in df.inputFiles() if f"/{partition}=" in f}
+    found = [f for f in folders if f != HIVE_NULL and (upto is None or f <= upto)]
+    return df.where(F.col(partition) == F.lit(max(found))) if found else df.where(F.lit(False))
+
+
 def latest_table_partition(spark: SparkSession, table: str, upto: str | None = None, pattern: str | None = None) -> DataFrame:
     """As :func:`latest_partition` for a catalogue table with one partition column, from the catalogue's
     partition list alone: no data file is opened to find the value."""

@@ -16,12 +16,12 @@ def _haversine(a, b, c, d):
     return round(2 * math.asin(math.sqrt(x)) * 6367000.0, 6)
 
 
-@pytest.mark.parametrize(("centre_lat", "centre_lon", "metres"), [(20.0, 100.0, 800), (-64.0, 179.99, 3000), (0.0, -180.0, 1500), (70.0, -179.995, 5000)])
+@pytest.mark.parametrize(("centre_lat", "centre_lon", "metres"), [(20.0, 100.0, 800), (-64.0, 179.99, 3000), (0.0, -180.0, 1500), (70.0, -179.995, 5000), (89.93, 30.0, 13000), (-89.95, 179.0, 9000), (10.0, 0.0, 9_000_000)])
 def test_grid_join_against_brute_force(spark, centre_lat, centre_lon, metres):
     rng = random.Random(3)
 
     def near():
-        lon = centre_lon + rng.uniform(-0.15, 0.15)
+        lon = centre_lon + rng.uniform(-0.15, 0.15) * (1 if abs(centre_lat) < 80 else 1200)
         return centre_lat + rng.uniform(-0.08, 0.08), (lon + 180) % 360 - 180
 
     points = [(i, *near()) for i in range(150)]
@@ -75,8 +75,8 @@ def test_cosine_blocks_against_numpy(spark):
     for i in range(90):
         ranked = sorted((-scores[i, j], j) for j in range(90) if j != i)[:7]
         expected |= {(i, j, -s) for s, j in ranked}
-    for block in (1000, 20):
-        rows = vectors.cosine_top_k(df, "id", "v", 7, block_rows=block).collect()
+    for side in (1, 5, None):
+        rows = vectors.cosine_top_k(df, "id", "v", 7, side=side).collect()
         assert {(r.id, r.other, r.score) for r in rows} == expected and len(rows) == 90 * 7
 
 
