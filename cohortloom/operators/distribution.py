@@ -56,10 +56,18 @@ def penetration(df: DataFrame, item: str, key: str) -> DataFrame:
     return pairs.groupBy(item).agg(F.count(key).alias("cnt")).withColumn("penetration", F.col("cnt") / total)
 
 
-def population_index(sample: DataFrame, population: DataFrame, item: str, key: str) -> DataFrame:
-    """TGI against a computed population: sample penetration over population penetration x 100."""
-    base = penetration(population, item, key).select(item, F.col("penetration").alias("population_share"))
-    return index_against(penetration(sample, item, key), base, item)
+def population_index(population: DataFrame, seeds: DataFrame, item: str, key: str) -> DataFrame:
+    """TGI of the items of the population's entities among ``seeds`` (column ``key``): sample penetration over
+    population penetration x 100. The population is reduced once to distinct (item, key) with a sample
+    mark; both counts and both totals come from that."""
+    chosen = seeds.select(key).distinct().withColumn("_in", F.lit(True))
+    pairs = cut_lineage(population.select(item, key).distinct().join(chosen, key, "left"))
+    entities = pairs.select(key, "_in").distinct().agg(F.count(key).alias("everyone"), F.count(F.when(F.col(key).isNotNull(), F.col("_in"))).alias("sample")).first()
+    counts = pairs.groupBy(item).agg(F.count(key).alias("_population"), F.count("_in").alias("cnt")).where("cnt > 0")
+    shares = counts.select(
+        item, "cnt", (F.col("cnt") / F.lit(entities["sample"])).alias("penetration"), (F.col("_population") / F.lit(entities["everyone"])).alias("population_share")
+    )
+    return shares.withColumn("tgi", F.col("penetration") / F.col("population_share") * 100)
 
 
 def index_against(shares: DataFrame, base: DataFrame, item: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators import ranking
+from cohortloom.session import scratch_path
 
 
 def _per_element(function: str, vector: str, dims: int) -> Column:
@@ -163,25 +164,16 @@ def latest_texts(df: DataFrame, name: str, text: str, day: str, newest, days: in
     return ranking.latest_per_key(recent, [name], [day, text])
 
 
-def text_embedding(
-    df: DataFrame, text: str, stop_words: Sequence[str], size: int = 100, seed: int = 42, minimum_count: int = 0
-) -> DataFrame:
-    """Mean Word2Vec vector of the tokens of each row, as array<double>. The text is trained on in as many
-    slices as the session runs tasks; ``minimum_count`` bounds the vocabulary, which Spark ML keeps on
-    the driver."""
+def text_embedding(df: DataFrame, text: str, stop_words: Sequence[str], minimum_count: int, size: int = 100, seed: int = 42, slices: int = 8) -> DataFrame:
+    """Mean Word2Vec vector of the tokens of each row, as array<double>, and the tokens. ``minimum_count``
+    bounds the vocabulary, which Spark ML keeps on the driver; the text is trained on in ``slices``, so that
+    the result does not depend on the cluster."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    worded = df.withColumn("_tokens", tokens(F.col(text), stop_words))
-    model = Word2Vec(
-        vectorSize=size,
-        minCount=minimum_count,
-        seed=seed,
-        numPartitions=df.sparkSession.sparkContext.defaultParallelism,
-        inputCol="_tokens",
-        outputCol="_vector",
-    ).fit(worded)
-    return model.transform(worded).withColumn("embedding", vector_to_array("_vector")).drop("_tokens", "_vector")
+    worded = df.withColumn("tokens", tokens(F.col(text), stop_words))
+    model = Word2Vec(vectorSize=size, minCount=minimum_count, seed=seed, numPartitions=slices, inputCol="tokens", outputCol="_vector").fit(worded)
+    return model.transform(worded).withColumn("embedding", vector_to_array("_vector")).drop("_vector")
 
 
 def parse_vector(text: Column, separator: str = ",") -> Column:
@@ -216,10 +208,16 @@ def one_hot_names(df: DataFrame, entity: str, columns: dict[str, Sequence[str] |
 
 def sparse_features(long: DataFrame, entity: str) -> DataFrame:
     """(entity, indices csv, values csv) from (entity, space, feature, value) rows. Indexes follow each
-    other space after space; inside a space the more frequent feature comes first, ties by name."""
-    used = long.groupBy("space", "feature").agg((-F.count("*")).alias("_rank"))
+    other space after space; inside a space the more frequent feature comes first, ties by name.
+
+    The rows are reduced once to one per (entity, space, feature) with their number, in a written table;
+    the dictionary is made from those numbers. An entity's features are bounded by the dictionary.
+    """
+    path = scratch_path(long.sparkSession, "features")
+    long.groupBy(entity, "space", "feature").agg(F.sum("value").alias("value"), F.count("*").alias("_n")).write.parquet(path)
+    cells = long.sparkSession.read.parquet(path)
+    used = cells.groupBy("space", "feature").agg((-F.sum("_n")).alias("_rank"))
     dictionary = ranking.global_index(used, ["space", "_rank", "feature"], "index", start=0).drop("_rank")
-    cells = long.groupBy(entity, "space", "feature").agg(F.sum("value").alias("value"))
     indexed = cells.join(dictionary, ["space", "feature"])
     parts = F.sort_array(F.collect_list(F.struct("index", "value")))
     return indexed.groupBy(entity).agg(

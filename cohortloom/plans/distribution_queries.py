@@ -93,8 +93,8 @@ SELECT l_partkey, cnt, round(pen / share * 100, 5) AS tgi FROM s JOIN p USING (l
 )
 def index_computed_population(t):
     population = fixtures.purchases(t).select("o_custkey", "l_partkey")
-    sample = population.join(_seeds(t).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left_semi")
-    return D.population_index(sample, population, "l_partkey", "o_custkey").select(
+    seeds = _seeds(t).withColumnRenamed("c_custkey", "o_custkey")
+    return D.population_index(population, seeds, "l_partkey", "o_custkey").select(
         "l_partkey", "cnt", F.round("tgi", 5).alias("tgi")
     )
 

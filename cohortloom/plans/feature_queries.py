@@ -126,15 +126,23 @@ def fused_similarity(t):
 STOP_WORDS = ("the", "and", "of", "de", "la", "le", "der", "die", "und", "el", "en", "que")
 
 
-@query("text_embedding", "M8")
-def text_embedding(t):
-    from cohortloom.plans.fixtures import date as day
+# One name per source and language, a day per document: most texts are older than the window or not the latest.
+NAMED_TEXT_SQL = """t AS (SELECT source || '-' || lang AS name, text, DATE '2024-01-01' + CAST(doc_id * 7 % 300 AS INTEGER) AS day FROM documents)"""
+
 
-    texts = t.documents.select(F.col("source").alias("name"), "text", F.lit(day(2024, 1, 1)).alias("day"), "doc_id")
-    texts = texts.withColumn("name", F.concat_ws("-", "name", "doc_id"))
-    latest = vectors.latest_texts(texts, "name", "text", "day", day(2024, 1, 30))
-    embedded = vectors.text_embedding(latest, "text", STOP_WORDS, size=100)
-    return embedded.select("name", F.size("embedding").alias("dims"), F.col("embedding")[0].alias("first"))
+@query(
+    "text_embedding",
+    "M8",
+    f"""WITH {NAMED_TEXT_SQL}, l AS (SELECT * FROM t WHERE day > DATE '2024-10-26' - 180 QUALIFY row_number() OVER (PARTITION BY name ORDER BY day DESC, text DESC) = 1)
+SELECT name, day, len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '' AND w NOT IN ('the', 'and', 'of', 'de', 'la', 'le', 'der', 'die', 'und', 'el', 'en', 'que'))) AS words, 100 AS dims FROM l""",
+)
+def text_embedding(t):
+    texts = t.documents.select(
+        F.concat_ws("-", "source", "lang").alias("name"), "text", F.date_add(F.lit(date(2024, 1, 1)), (F.col("doc_id") * 7 % 300).cast("int")).alias("day")
+    )
+    latest = vectors.latest_texts(texts, "name", "text", "day", date(2024, 10, 26))
+    embedded = vectors.text_embedding(latest, "text", STOP_WORDS, minimum_count=2)
+    return embedded.select("name", "day", F.size("tokens").alias("words"), F.size("embedding").alias("dims"))
 
 
 @query(

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from cohortloom.operators import checks, distribution, mapping
+from cohortloom.operators import checks, mapping
 from cohortloom.plans import fixtures
 from cohortloom.plans.registry import query
 from cohortloom.session import scratch_path
@@ -234,5 +234,7 @@ def code_derivation(t):
     "SELECT greatest(1, count(*) // 10000) AS files FROM lineitem",
 )
 def size_based_files(t):
-    rows = distribution.with_totals(t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n")), [], {"rows": "n"})
-    return rows.select(F.greatest(F.lit(1), F.floor(F.col("rows") / 10000)).cast("long").alias("files")).distinct()
+    path = scratch_path(t.spark, "sized")
+    sinks.write_sized(t.lineitem.select("l_orderkey", "l_linenumber"), path, 10000)
+    files = t.spark.read.parquet(path).select(F.input_file_name().alias("file")).distinct()
+    return files.agg(F.count("*").alias("files"))

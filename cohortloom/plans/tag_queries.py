@@ -11,6 +11,8 @@ from cohortloom.operators import lookup, sets, tags
 from cohortloom.plans import fixtures
 from cohortloom.plans.fixtures import map_text
 from cohortloom.plans.registry import query
+from cohortloom.session import scratch_path
+from cohortloom.sources import sinks
 
 HISTORY = fixtures.HISTORY_SQL
 PROFILE = fixtures.PROFILE_SQL
@@ -298,7 +300,9 @@ UNION ALL SELECT c_custkey, 'interest', 'codes=' || codes FROM profile WHERE cod
 )
 def category_slices(t):
     slices = tags.split_by_category(fixtures.tagged(t), "c_custkey", {"place": ["nation", "region"], "interest": ["codes"], "none": ["x"]})
-    return slices.select("c_custkey", "category", map_text(F.col("tags")).alias("tags"))
+    path = scratch_path(t.spark, "categories")
+    sinks.category_slices(slices, path)
+    return t.spark.read.parquet(path).select("c_custkey", "category", map_text(F.col("tags")).alias("tags"))
 
 
 @query(

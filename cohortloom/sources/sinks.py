@@ -56,6 +56,12 @@ def size_based_partitions(rows: int, per_partition: int = ROWS_PER_FILE) -> int:
     return max(1, rows // per_partition)
 
 
+def write_sized(df: DataFrame, path: str, per_partition: int = ROWS_PER_FILE) -> None:
+    """As many files as the number of rows asks for. The rows are counted first, so ``df`` should be cheap
+    to read or stored."""
+    df.repartition(size_based_partitions(df.count(), per_partition)).write.mode("overwrite").parquet(path)
+
+
 def publish_version(spark: SparkSession, df: DataFrame, view: str, version: str, value: str) -> DataFrame:
     """Point a view at one version of a table, version column left out."""
     current = df.where(F.col(version) == value).drop(version)

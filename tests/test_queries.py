@@ -29,4 +29,4 @@ def test_entry_has_rows(spark):
 
 
 def test_queries_without_sql_are_few():
-    assert sorted(set(catalogue.QUERIES) - set(ORACLES)) == ["random_sample", "text_embedding"]
+    assert sorted(set(catalogue.QUERIES) - set(ORACLES)) == ["random_sample"]
