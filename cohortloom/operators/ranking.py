@@ -57,8 +57,8 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "index", start
 
     A range sort numbers the rows inside each partition; partition sizes then become
     offsets. The sorted frame is checkpointed in between: both passes must see the same
-    partitions, even after an executor is lost. Only the offsets (one row per partition)
-    are broadcast.
+    partitions, even after an executor is lost. The offsets are one row per partition; their
+    running sum is the one window without a key.
     """
     from cohortloom.session import cut_lineage
 
@@ -70,7 +70,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "index", start
     within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         numbered.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn(name, F.col("_offset") + within + start)
         .drop("_at", "_part", "_offset")
     )
