@@ -217,6 +217,7 @@ def token_pieces(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
                 if with_ids:
                     fields.append(pa.array([x.astype(np.int32) for x in raws], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(fields, ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
+        encode.clear()
 
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -141,11 +141,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = _lines(batch.column("signature")).astype(np.uint64)
         k = np.array(batch.column("k"))
+        totals = []
         for band in range(BANDS):
             total = np.full(len(k), band + 1, np.uint64)
             for i in range(band * BAND_HASHES, (band + 1) * BAND_HASHES):
                 total = mix(total * np.uint64(0x100000001B3) + lines[:, i])
-            yield pa.RecordBatch.from_arrays([pa.array(total.view(np.int64)), pa.array(k)], ["bucket", "k"])
+            totals.append(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(totals).view(np.int64)), pa.array(np.tile(k, BANDS))], ["bucket", "k"])
 
 
 def _pairs(starts: np.ndarray, side: np.ndarray, across: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:

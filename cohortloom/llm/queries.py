@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import best_fit_packing, chat_roles, decontamination, gru_lm, host_rules, language_id, ngram_join, token_counts, toxicity, vector_sharding
+from cohortloom.llm.batches import bounded_batches
 from cohortloom.llm.folds import held_out
 from cohortloom.llm.oracles import ORACLES
 
@@ -19,6 +20,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 

@@ -73,6 +73,7 @@ def _counted(rows: DataFrame, rule: str, tokenizer: str) -> DataFrame:
             ids, given = batch.column("doc_id"), batch.column("ends").to_pylist()
             for piece in pieces(batch.column("text")):
                 yield _piece_counts(piece, ids, given, encode, rule)
+        encode.clear()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(count, f"doc_id {kind}, section int, start long, end long, n_tokens double, n_crossing long")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -18,7 +18,7 @@ from cohortloom.llm.textbytes import NOT_SPACE, Piece
 
 LONG_CHUNK = 2000
 #: Chunks that a Python worker keeps; it begins anew when they are reached.
-MOST_KEPT = 400_000
+MOST_KEPT = 200_000
 DEFAULT_FILE = "byte_bpe_50k.json"
 
 
@@ -39,29 +39,34 @@ class Encoder:
     def __init__(self, file: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        path = file if "/" in file else public_tokenizers.path(file)
-        with open(path, encoding="utf-8") as f:
+        self.path = file if "/" in file else public_tokenizers.path(file)
+        with open(self.path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = _byte_letters()
         self.special = [t["content"] for t in spec["added_tokens"]]
         known = {t: i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         ranks = {bytes(letters[c] for c in t): i for t, i in known.items()}
         self.fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_file(path)
         self.widths = np.zeros(max(spec["model"]["vocab"].values()) + len(self.special) + 1, np.int64)
         for raw, i in ranks.items():
             self.widths[i] = len(raw)
         for token in spec["added_tokens"]:
             self.widths[token["id"]] = len(token["content"].encode())
 
-        self.kept: dict[bytes, int] = {}
-        self._clear()
+        self.clear()
+
+    @cached_property
+    def exact(self):
+        """The tokenizer itself; few workers ever need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
-    def _clear(self) -> None:
-        self.kept.clear()
-        self.store = np.empty(1 << 20, np.uint32)
+    def clear(self) -> None:
+        """Forgets the chunks, as at the end of a task: the worker may go on with other work."""
+        self.kept: dict[bytes, int] = {}
+        self.store = np.empty(1 << 18, np.uint32)
         self.edges = np.zeros(MOST_KEPT + 1, np.int64)
 
     def ids(self, text: str) -> np.ndarray:
@@ -103,7 +108,7 @@ class Encoder:
         starts, ends = chunks(piece)
         _, first, back = np.unique(piece.hashes(starts, ends), return_index=True, return_inverse=True)
         if len(self.kept) + len(first) > MOST_KEPT:
-            self._clear()
+            self.clear()
         if len(first) > MOST_KEPT:  # a text alone that has more distinct chunks than are kept
             for r in range(len(piece)):
                 yield self.ids(piece.text(r).decode())

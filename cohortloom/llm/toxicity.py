@@ -45,6 +45,8 @@ LEAST_LIFT = 20.0
 STEM_LENGTHS = range(4, 10)
 WINDOW_WORDS = 8
 FEATURES = 7
+#: Rows that a task gathers before it hands them on.
+MOST_HELD = 200_000
 PREDICT_AT = 0.7
 #: What a match is worth after so many edits.
 EDIT_WORTH = (1.0, 0.6, 0.4)
@@ -291,22 +293,29 @@ def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, n): texts that hold the term; partial sums."""
     counts: Counter = Counter()
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update({t for w in set(_WORD.findall((text or "").lower())) for t in _terms_of(w)})
-            if len(counts) > 1_000_000:
+        for text in batch.column("text"):
+            counts.update({t for w in set(_WORD.findall((text.as_py() or "").lower())) for t in _terms_of(w)})
+            if len(counts) > MOST_HELD:
                 yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
                 counts = Counter()
     yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
 
 
+def _evidence_rows(found: list[tuple[str, int | None]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64())], ["term", "context"])
+
+
 def _evidence(known) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(term, context) of toxic texts; (term, null) for each clean text that holds the term."""
         terms = known.value
         for batch in batches:
             out: list[tuple[str, int | None]] = []
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                words = _WORD.findall((text or "").lower())
+            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                if len(out) > MOST_HELD:
+                    yield _evidence_rows(out)
+                    out = []
+                words = _WORD.findall((text.as_py() or "").lower())
                 if not toxic:
                     out += [(t, None) for t in {t for w in set(words) for t in _terms_of(w) if t in terms}]
                     continue
@@ -314,7 +323,7 @@ def _evidence(known) -> Callable:
                 seen = {(t, (around[i], w, around[i + 2])) for i, w in enumerate(words) for t in _terms_of(w) if t in terms}
                 out += [(t, _stable(c)) for t, c in seen]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in out], pa.string()), pa.array([c for _, c in out], pa.int64())], ["term", "context"])
+                yield _evidence_rows(out)
 
     return find
 
@@ -383,7 +392,12 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     spark = documents.sparkSession
     named = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).where("_id is not null and toxic is not null")
     named = named.groupBy("_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    taken = named.orderBy(F.xxhash64("_id"), "_id").limit(most_labelled)
+    # The smallest hashes: a bound on the hash first, so that no task sees many more than are taken.
+    drawn = F.pmod(F.xxhash64("_id"), F.lit(1 << 40))
+    total = named.count()
+    if total > most_labelled:
+        named = named.where(drawn < int((1 << 40) * min(1.0, 1.1 * most_labelled / total + 100 / total)))
+    taken = named.orderBy(drawn, "_id").limit(most_labelled)
     path = scratch_path(spark, "labelled")
     joined = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(taken), F.col("doc_id") == F.col("_id"))
     joined.select("text", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0).alias("chooses")).repartition(16).write.parquet(path)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import best_fit_packing, decontamination, language_id, ngram_join, toxicity
+from cohortloom.llm.batches import bounded_batches
 from cohortloom.llm.folds import held_out
 from cohortloom.llm.queries import table
 from cohortloom.session import scratch_path
@@ -19,6 +20,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose toxicity score reaches the threshold; learns from two thirds of the labels."""
+    bounded_batches(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1)))
     rated = toxicity.score(docs, model, into="_toxicity")
     return rated.where(F.col("_toxicity") < toxicity.PREDICT_AT).drop("_toxicity")
@@ -30,6 +32,7 @@ SURE_LANGUAGE = 0.7
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents of undetermined language (a null text, or one without a letter) or of clearly another one than they say."""
+    bounded_batches(spark)
     found = language_id.predict(docs, language_id.learn(docs), into="_language")
     other = F.col("lang").isNotNull() & (F.col("lang") != F.col("_language.lang")) & (F.col("_language.score") >= SURE_LANGUAGE)
     return found.where((F.col("_language.lang") != "und") & ~other).drop("_language")
@@ -37,17 +40,20 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that of the smallest id, of each group that near-duplicate links connect."""
+    bounded_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a window of a benchmark item."""
+    bounded_batches(spark)
     windows = decontamination.benchmark_windows(table(spark, sf_dir, "benchmark"))
     return decontamination.decontaminate(docs, windows)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes: sequence_id and offset."""
+    bounded_batches(spark)
     return best_fit_packing.pack(best_fit_packing.token_pieces(docs, with_ids=False))
 
 
