@@ -145,9 +145,8 @@ def annotate(documents: DataFrame, windows: DataFrame, text_col: str = "text", i
     """
     spark = documents.sparkSession
     keep = [c for c in documents.columns if c != into] if keep is None else keep
-    parts = list(_slices(windows, slice_windows)) if slice_windows >= windows.count() else _slices(windows, slice_windows)
     out, first = documents, True
-    for known in parts:
+    for known in _slices(windows, slice_windows):
         if not first:
             path = scratch_path(spark, "contamination")
             out.write.parquet(path)
