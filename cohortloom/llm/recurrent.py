@@ -223,22 +223,27 @@ def gradient(w: Weights, window: Window, state: np.ndarray) -> tuple[np.ndarray,
         dh[own] += d @ w["unit_out"][c].T
 
     dh = dh.reshape(steps, live, WIDTH)
+    # What does not depend on later steps is worked out for the whole window at once.
+    z, r = np.ascontiguousarray(gates[:, :, :WIDTH]), np.ascontiguousarray(gates[:, :, WIDTH:])
+    to_z = (before - fresh) * z * (1 - z)
+    to_fresh = (1 - z) * (1 - fresh * fresh)
+    to_r = recall * r * (1 - r)
     dentry = np.empty((steps, live, 3 * WIDTH), np.float32)
     dback = np.empty((steps, live, 3 * WIDTH), np.float32)
     back_t = np.ascontiguousarray(w["back"].T)
     after = np.zeros((live, WIDTH), np.float32)
     for t in range(steps - 1, -1, -1):
         after += dh[t]
-        z, r = gates[t, :, :WIDTH], gates[t, :, WIDTH:]
-        n = fresh[t]
-        dn = after * (1 - z) * (1 - n * n)
-        own = dentry[t]
-        own[:, :WIDTH] = after * (before[t] - n) * z * (1 - z)
-        own[:, WIDTH : 2 * WIDTH] = dn * recall[t] * r * (1 - r)
+        own, back = dentry[t], dback[t]
+        dn = after * to_fresh[t]
+        np.multiply(after, to_z[t], out=back[:, :WIDTH])
+        np.multiply(dn, to_r[t], out=back[:, WIDTH : 2 * WIDTH])
+        np.multiply(dn, r[t], out=back[:, 2 * WIDTH :])
         own[:, 2 * WIDTH :] = dn
-        dback[t, :, : 2 * WIDTH] = own[:, : 2 * WIDTH]
-        dback[t, :, 2 * WIDTH :] = dn * r
-        after = (after * z + dback[t] @ back_t) * keep[t]
+        after *= z[t]
+        after += back @ back_t
+        after *= keep[t]
+    dentry[:, :, : 2 * WIDTH] = dback[:, :, : 2 * WIDTH]
     g["back"][...] = before.reshape(-1, WIDTH).T @ dback.reshape(-1, 3 * WIDTH)
     dentry = dentry.reshape(-1, 3 * WIDTH)
     given = window.given.reshape(-1)
