@@ -22,7 +22,7 @@ def test_grid_join_against_brute_force(spark, centre_lat, centre_lon, metres):
 
     def near():
         lon = centre_lon + rng.uniform(-0.15, 0.15) * (1 if abs(centre_lat) < 80 else 1200)
-        return centre_lat + rng.uniform(-0.08, 0.08), (lon + 180) % 360 - 180
+        return max(-90.0, min(90.0, centre_lat + rng.uniform(-0.08, 0.08))), (lon + 180) % 360 - 180
 
     points = [(i, *near()) for i in range(150)]
     pois = [(f"p{i}", *near()) for i in range(120)]
