@@ -16,8 +16,8 @@ At similarity 0.8 a pair misses all bands with probability 3e-7.
 
 Defined results: a text without words links to nothing and its copies are the texts equal to it; a
 null text stands alone (rows of one id together); repeated rows are copies; an empty table gives an
-empty result; columns besides the id and the text are never read. Classes are told apart by 64
-bits of hash: n classes collide with probability n * n / 2**65.
+empty result; columns besides the id and the text are never read. Classes, and texts, are told apart
+by 64 bits of hash: n of them collide with probability n * n / 2**65.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.llm.components import components
 from cohortloom.llm.sorted_groups import whole_groups
@@ -106,7 +106,7 @@ def set_keys(shingle: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, k, n, signature) of each text; without words the key is that of the text, or of the id."""
+    """(doc_id, h, k, n, signature) of each text; without words the key is that of the text, or of the id."""
     for batch in batches:
         lone = batch.column("lone").to_numpy(zero_copy_only=False)
         null = np.array(batch.column("text").is_null())
@@ -127,8 +127,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r, line in zip(full.tolist(), lines, strict=True):
                 raw[r] = line.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(piece.first, n), pa.array(key.view(np.int64)), pa.array(count.astype(np.int64)), pa.array(raw, pa.binary())],
-                ["doc_id", "k", "n", "signature"],
+                [batch.column("doc_id").slice(piece.first, n), batch.column("h").slice(piece.first, n), pa.array(key.view(np.int64)), pa.array(count.astype(np.int64)), pa.array(raw, pa.binary())],
+                ["doc_id", "h", "k", "n", "signature"],
             )
 
 
@@ -216,8 +216,14 @@ def _bucket_edges(need: dict[int, int]) -> Callable:
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tree, parts, k, signature, shingles) for the texts whose key is the expected one."""
+    """(tree, parts, k, signature, shingles) for the texts whose key is the expected one, once in a task."""
+    seen: set[int] = set()
     for batch in batches:
+        keys = batch.column("k").to_pylist()
+        fresh = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+        if not fresh:
+            continue
+        batch = batch if len(fresh) == len(keys) else batch.take(pa.array(fresh))
         expected = np.array(batch.column("k"))
         for piece in pieces(batch.column("text")):
             n = len(piece)
@@ -293,13 +299,14 @@ def _in_blocks(members: DataFrame, group: str) -> DataFrame:
     return dealt.drop("_own", "_other", "parts").repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", "k")
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, copy_of, n_copies.
+def _text_key(id_col: str, text_col: str) -> Column:
+    """Tells texts apart; a null text by the id."""
+    text = F.col(text_col).cast("string")
+    return F.when(text.isNull(), F.xxhash64(id_col, F.lit(11))).otherwise(F.xxhash64(text))
 
-    ``copy_of`` is the smallest id among the copies and ``n_copies`` their number; ``n_links`` counts the
-    other classes of copies at or above the threshold; ``class_id`` is the smallest id of all that
-    links connect.
-    """
+
+def _classes(documents: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, h, k) of all documents, their classes k, and the classes with links (k, root, n_links)."""
     spark = documents.sparkSession
     need = least_matches(threshold, tolerance)
 
@@ -309,9 +316,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         return spark.read.parquet(path)
 
     text = F.col(text_col).cast("string")
-    docs = documents.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    docs = documents.select(F.col(id_col).alias("doc_id"), _text_key(id_col, text_col).alias("h"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    base = written(docs.withColumn("lone", F.xxhash64("doc_id")).mapInArrow(_signed, f"doc_id {kind}, k long, n long, signature binary"), "signed")
+    base = written(docs.withColumn("lone", F.xxhash64("doc_id")).mapInArrow(_signed, f"doc_id {kind}, h long, k long, n long, signature binary"), "signed")
     nodes = written(base.where("signature is not null").groupBy("k").agg(F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
 
     bands = nodes.select("k", "signature").mapInArrow(_bands, "bucket long, k long")
@@ -322,18 +329,34 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     trees = written(trees.join(nodes.select(F.col("k").alias("node"), "n"), "node"), "trees")
     size = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long")
-    classes = base.groupBy("k").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("n_copies"))
+    # The first row of a class: that of the smallest id, a row without an id only where none has one.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h")).alias("first")
+    classes = base.groupBy("k").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("n_copies"), first)
     targets = trees.join(trees.groupBy("root").agg(size.alias("parts")), "root").withColumnRenamed("node", "k")
-    targets = written(targets.join(classes, "k").select("k", F.col("root").alias("tree"), "parts", F.col("copy_of").alias("_id")), "targets")
+    targets = targets.join(classes, "k").select("k", F.col("root").alias("tree"), "parts", F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h"))
+    targets = written(targets, "targets")
     few = targets.count() <= BROADCAST_ROWS
-    met = docs.join(F.broadcast(targets) if few else targets, F.col("doc_id") == F.col("_id")).select("tree", "parts", "k", "text")
+    same = (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    met = docs.join(F.broadcast(targets) if few else targets, same).select("tree", "parts", "k", "text")
     # A row that repeats an id and its text would verify itself again: one set per class.
     sets = met.mapInArrow(_with_sets, "tree long, parts long, k long, signature binary, shingles binary").dropDuplicates(["tree", "k"])
     found = written(_in_blocks(sets, "tree").mapInArrow(_tree_links(need, threshold), "a long, b long, n long"), "links")
 
     links = found.where("n is not null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("n_links"))
     roots = components(found.where("n is null").select("a", "b")).withColumnRenamed("node", "k")
-    linked = written(classes.join(roots, "k").join(links, "k", "left"), "linked")
+    return base, classes, written(roots.join(links, "k", "left"), "linked")
+
+
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, copy_of, n_copies.
+
+    ``copy_of`` is the smallest id among the copies and ``n_copies`` their number; ``n_links`` counts the
+    other classes of copies at or above the threshold; ``class_id`` is the smallest id of all that
+    links connect. Rows without an id are compared like all others; an id is null only where no row has one.
+    """
+    base, classes, linked = _classes(documents, id_col, text_col, threshold, tolerance)
+    classes = classes.drop("first")
+    linked = linked.join(classes.select("k", "copy_of"), "k")
     least = linked.groupBy("root").agg(F.min("copy_of").alias("class_id"))
     linked = linked.join(least, "root").select("k", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     told = classes.join(linked, "k", "left")
@@ -346,17 +369,31 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
 
-def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: float) -> DataFrame:
-    """The documents without those whose class has a smaller id. All columns stay; null ids stay.
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row of each group of texts that links connect, whatever ids repeat or are null. All columns stay.
 
-    Rows that share an id are one document: it stays, once, if any of its texts is the first of its class.
+    The row of the smallest id stays (one without an id only where none has one), of several with that id
+    the one of the smallest text hash, and of equal texts the one whose columns come first as JSON.
     """
-    path = scratch_path(documents.sparkSession, "one-of-each")
-    found = near_duplicates(documents, id_col, text_col, **limits).where("doc_id is not null")
-    found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("class_id")).alias("first"), F.count(F.lit(1)).alias("rows")).where("not first or rows > 1").write.parquet(path)
-    odd = documents.sparkSession.read.parquet(path).withColumnRenamed("doc_id", "_id")
-    if odd.count() <= BROADCAST_ROWS:
-        odd = F.broadcast(odd)
-    same = F.col(id_col) == F.col("_id")
-    again = documents.join(odd.where("first"), same, "left_semi").dropDuplicates([id_col])
-    return documents.join(odd, same, "left_anti").unionByName(again)
+    spark = documents.sparkSession
+    base, classes, linked = _classes(documents, id_col, text_col, threshold, tolerance)
+
+    def few(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        found = spark.read.parquet(path)
+        return F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+
+    rooted = classes.join(linked.select("k", "root"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n_copies").alias("rows")).where("rows > 1")
+    firsts = few(groups.select(F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h")), "firsts")
+    grouped = rooted.select("k", "root").join(groups.select("root"), "root")
+    texts = few(base.select("k", "h").distinct().join(grouped, "k").select(F.col("h").alias("_h")).distinct(), "one-of-each")
+    own = _text_key(id_col, text_col)
+    met = documents.join(firsts, (own == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    order = Window.partitionBy(own, id_col).orderBy(F.to_json(F.struct(*documents.columns)))
+    place = "_place"
+    while place in documents.columns:
+        place += "_"
+    again = met.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return documents.join(texts, own == F.col("_h"), "left_anti").unionByName(again)

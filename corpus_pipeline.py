@@ -39,7 +39,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each group that near-duplicate links connect."""
+    """Keeps one row, that of the smallest id, of each group of texts that near-duplicate links connect."""
     bounded_batches(spark)
     return ngram_join.one_of_each(docs)
 

@@ -31,6 +31,15 @@ def test_ids_that_repeat_with_other_texts_stay_once(spark):
     assert frames.ids(ngram_join.one_of_each(df)) == [1, 2]
 
 
+def test_each_text_stays_once_whatever_ids_repeat(spark):
+    one, two = "one two three four five six seven eight nine ten", "quite another text than the first one here"
+    rows = [(1, one, "b"), (2, one, "b"), (2, two, "b"), (2, two, "a"), (3, two, "b")]
+    rows += [(9, f"text number {i} of the id nine, with words of its own: {i * 7919} {i * 104729}", "c") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _place string")
+    kept = [tuple(r) for r in ngram_join.one_of_each(df).collect()]
+    assert sorted(kept) == sorted([(1, one, "b"), (2, two, "a"), *rows[5:]])
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(spark, docs, rule):
     rows = token_counts.line_counts(docs, rule=rule).collect()
