@@ -283,7 +283,9 @@ class Model:
         """log10 probability of words within their groups, by spelling and corpus count."""
         size = np.bincount(self.known.pair_group, weights=self.known.pair_counts, minlength=PAIR_GROUPS + 1)[groups]
         novel = np.where(size > 0, self.known.novel, 1.0)
-        return np.log10(novel * 10.0 ** np.maximum(spelled, -290) + (1 - novel) * counts / np.maximum(size, 1))
+        with np.errstate(divide="ignore"):
+            counted = np.log(np.where(size > 0, (1 - novel) * counts / np.maximum(size, 1), 0.0))
+        return np.logaddexp(np.log(novel) + spelled * np.log(10), counted) / np.log(10)
 
 
 def fit(documents: DataFrame, counts: DataFrame, part: Column) -> Model:
@@ -355,7 +357,11 @@ def score(documents: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     size = np.bincount(known.pair_group, weights=known.pair_counts, minlength=PAIR_GROUPS + 1)
     group_size = F.element_at(F.array(*(F.lit(float(x)) for x in size)), F.col("grp") + 1)
     novel = F.when(group_size > 0, F.lit(known.novel)).otherwise(F.lit(1.0))
-    word = F.log10(novel * F.pow(F.lit(10.0), F.greatest("spelled", F.lit(-290.0))) + (1 - novel) * count / F.greatest(group_size, F.lit(1.0)))
+    # In logarithms: the probability of a long word's spelling is below the smallest double.
+    spelled = F.log10(novel) + F.col("spelled")
+    counted = F.log10((1 - novel) * count / group_size)
+    both = F.greatest(spelled, counted) + F.log10(1 + F.pow(F.lit(10.0), -F.abs(spelled - counted)))
+    word = F.when((count > 0) & (group_size > 0), both).otherwise(spelled)
     sums = met.groupBy("_row").agg(
         F.sum(times * F.log10(count + F.lit(1.0))).alias("rare_base"),
         F.sum(times * word).alias("rare_inside"),

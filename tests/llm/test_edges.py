@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.llm import best_fit_packing, chat_roles, decontamination, gru_lm, host_rules, language_id, ngram_join, token_counts, toxicity, vector_sharding
+from cohortloom.llm.textbytes import pieces
 from tests.llm import frames
 
 
@@ -62,6 +67,26 @@ def test_language_model(spark, docs):
     assert gru_lm.fit_and_score(frames.empty(spark), F.lit(True)).count() == 0
 
 
+def test_a_long_word_costs_its_whole_spelling(spark):
+    words = ["".join(chr(97 + (i * i + 3 * i) % 23) for i in range(size)) + "zq" for size in (10, 100, 10_000)]
+    common = " ".join(f"{chr(97 + i % 26)}{i}" for i in range(400))
+    taught = spark.createDataFrame([(1, f"{common} {common}"), (2, "y" * 5000 + "zq izq")], "doc_id long, text string")
+    counts = gru_lm.word_counts(taught).cache()
+    model = gru_lm.fit(taught, counts, F.xxhash64("doc_id"))
+    t = gru_lm.tokens_of(next(iter(pieces(pa.array([" ".join(words)])))))
+    spelled = dict(zip((t.ends - t.starts)[t.example].tolist(), model.word_scores(t, np.arange(3)).tolist(), strict=True))
+    assert spelled[10_002] < -1000
+    asked = spark.createDataFrame([*enumerate(words), (3, "y" * 5000 + "zq"), (4, common)], "doc_id long, text string")
+    by = {r.doc_id: r.score for r in gru_lm.score(asked, counts, model).collect()}
+    for i, size in ((1, 102), (2, 10_002)):
+        assert by[i] - by[0] == pytest.approx(spelled[size] - spelled[12], rel=1e-4, abs=1e-3)
+    # Counts that are joined give the scores of counts that the tasks know.
+    known, own = model.known, model.known.hot_units >= 0
+    cold = replace(model, known=replace(known, hot=known.hot[own], hot_counts=known.hot_counts[own], hot_units=known.hot_units[own]))
+    assert not own.all() and by[3] > -20
+    assert {r.doc_id: r.score for r in gru_lm.score(asked, counts, cold).collect()} == pytest.approx(by, rel=1e-6)
+
+
 def test_chat_roles(spark):
     rows = [(1, 0, "user", "User: hi"), (1, 0, "user", "User: hi"), (1, 1, "assistant", None), (None, 0, "user", "x"), (2, None, "system", ""), (2, 3, None, "a\n\nb"), (3, 0, "robot", "y")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS chunk", "2 AS conv", "'z' AS marker", "4 AS state")
