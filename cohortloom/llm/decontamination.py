@@ -5,8 +5,8 @@ Words are lower-cased runs of digits, letters a-z and characters outside ASCII.
 words has none. Windows are looked up by hash and each hit is then verified word by word.
 
 Defined results: a null or empty text has no words and no hits; a repeated row is answered each
-time; an empty benchmark hits nothing; an item whose id is null cannot be named and is left out;
-columns of the caller's tables besides the id and the text are never read, so names cannot clash.
+time; an empty benchmark hits nothing; an item whose id is null cannot be named: its windows are hits
+and remove documents, but are not among the items, nor cut out as spans; columns of the caller's tables besides the id and the text are never read, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def _joined(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> bytes:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Distinct (item, window, n_words); the window is its words joined by a space."""
+    """Distinct (item, window, n_words); the window is its words joined by a space. The item may be null."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,10 +54,11 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS, id_col: st
                     for at in range(first, last - long + 1):
                         out.append((ids[piece.first + row], _joined(low, starts[at : at + long], ends[at : at + long]), long))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["item", "window", "n_words"])
+                    kinds = (pa.string(), pa.binary(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["item", "window", "n_words"])
 
     rows = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    return rows.where("item is not null").mapInArrow(windows, "item string, window binary, n_words long").distinct()
+    return rows.mapInArrow(windows, "item string, window binary, n_words long").distinct()
 
 
 def _slices(windows: DataFrame, most: int) -> Iterator[Known]:
@@ -105,7 +106,7 @@ class Scanner:
                 named = self.known[size][key].get(_joined(low, starts[start : start + size], ends[start : start + size]))
                 if named is not None:
                     sure.append(start)
-                    items.setdefault(int(rows[start]), set()).update(named)
+                    items.setdefault(int(rows[start]), set()).update(x for x in named if x is not None)
             if sure:
                 hit |= covered(np.array(sure), size, len(words))
         return starts, ends, rows, hit, items
@@ -123,12 +124,12 @@ def _notes(piece: Piece, scanner: Scanner, earlier: list[dict] | None) -> pa.Arr
     for r, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
         named, flags = items.get(r, set()), hit[a:b]
         at, to = starts[a:b] - piece.bounds[r], ends[a:b] - piece.bounds[r]
-        if earlier is not None and earlier[r]["items"]:
+        if earlier is not None and earlier[r]["n_hit"]:
             named = named | set(earlier[r]["items"])
             for span in earlier[r]["spans"]:
                 flags = flags | ((at >= span["start"]) & (to <= span["end"]))
         spans = []
-        if named:
+        if flags.any():
             turn = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
             spans = [{"start": int(at[x]), "end": int(to[y - 1])} for x, y in zip(turn[::2], turn[1::2], strict=True)]
         out.append({"n_words": b - a, "n_hit": int(flags.sum()), "items": sorted(named), "spans": spans})
@@ -199,7 +200,7 @@ def _without(text: str | None, spans: list[dict]) -> str | None:
 
 
 def decontaminate(documents: DataFrame, windows: DataFrame, remove: str = "documents", text_col: str = "text", slice_windows: int = SLICE_WINDOWS) -> DataFrame:
-    """The documents without those that hold a window, or (``remove="spans"``) without the hit words.
+    """The documents without those that hold a window, or (``remove="spans"``) without the words that named items hit.
 
     All columns stay as they are; a null text stays null.
     """
@@ -208,9 +209,11 @@ def decontaminate(documents: DataFrame, windows: DataFrame, remove: str = "docum
     into = "contamination"
     while into in documents.columns:
         into += "_"
+    if remove == "spans":
+        windows = windows.where("item is not null")
     found = annotate(documents, windows, text_col, into, slice_windows)
     if remove == "documents":
-        return found.where(F.size(f"{into}.items") == 0).select(*documents.columns)
+        return found.where(F.col(f"{into}.n_hit") == 0).select(*documents.columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

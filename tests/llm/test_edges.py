@@ -45,6 +45,15 @@ def test_each_text_stays_once_whatever_ids_repeat(spark):
     assert sorted(kept) == sorted([(1, one, "b"), (2, two, "a"), *rows[5:]])
 
 
+def test_rows_without_an_id_are_compared(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words))
+    df = spark.createDataFrame([(None, one), (None, one), (4, near), (None, other), (None, other)], "doc_id long, text string")
+    found = sorted((r.doc_id is None, r.class_id or 0, r.n_links, r.copy_of or 0, r.n_copies) for r in ngram_join.near_duplicates(df).collect())
+    assert found == [(False, 4, 1, 4, 1), (True, 0, 0, 0, 2), (True, 0, 0, 0, 2), (True, 4, 1, 0, 2), (True, 4, 1, 0, 2)]
+    assert sorted(r.text for r in ngram_join.one_of_each(df).collect()) == sorted([near, other])
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(spark, docs, rule):
     rows = token_counts.line_counts(docs, rule=rule).collect()
@@ -130,6 +139,15 @@ def test_decontamination(spark, docs):
         decontamination.decontaminate(docs, windows, remove="words")
 
 
+@pytest.mark.parametrize("slice_windows", [1_000_000, 2])
+def test_benchmark_items_without_an_id_hit(spark, slice_windows):
+    docs = spark.createDataFrame([(1, "the lazy dog sleeps here"), (2, "a quick brown fox"), (3, "nothing at all")], "doc_id long, text string")
+    windows = decontamination.benchmark_windows(spark.createDataFrame([(None, "lazy dog"), (None, "fox"), (7, "quick brown"), (8, "none of these")], "item_id long, text string"))
+    found = decontamination.digest(decontamination.find_contamination(docs, windows, slice_windows=slice_windows))
+    assert sorted((r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in found.collect()) == [(1, 2, 0, True), (2, 3, 1, True), (3, 0, 0, False)]
+    assert frames.ids(decontamination.decontaminate(docs, windows, slice_windows=slice_windows)) == [3]
+
+
 def test_packing(spark, docs):
     rows = best_fit_packing.pack(best_fit_packing.token_pieces(docs)).collect()
     assert [r.ids for r in rows if r.doc_id in (1, 2)] == [[2], [2]]
