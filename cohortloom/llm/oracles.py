@@ -77,8 +77,75 @@ SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, copy_of, n_copies
 FROM k JOIN c USING (k) JOIN cl USING (k) LEFT JOIN n USING (k)
 """
 
+def _leaf(columns: dict[str, str]) -> str:
+    parts = [f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR END" for v in columns.values()]
+    return f"sha256({' || '.join(parts)})"
+
+
+_FIELDS = {c: c for c in ("doc_id", "source", "lang", "n_chars", "text")}
+# Unsigned CRC-32 of the decimal digits of doc_id, a bit at a time (reflected polynomial 0xEDB88320).
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(8 * length(doc_id::VARCHAR)),
+  lambda i: ((ascii((doc_id::VARCHAR)[(i // 8 + 1)::INT]) >> (i % 8)::INT) & 1)::BIGINT)),
+  lambda c, b: xor(c >> 1, CASE WHEN (xor(c, b) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+
+MERKLE_MANIFEST = rf"""
+WITH RECURSIVE l AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf(_FIELDS)} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND n_chars IS NOT NULL AND {_CRC} % 7 = 0 THEN {_leaf(_FIELDS | {"n_chars": "n_chars::HUGEINT + 1"})} END AS claim FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS total FROM l),
+up AS (
+  SELECT lang, 0 AS lev, pos, total, leaf AS h FROM p
+  UNION ALL
+  SELECT lang, lev + 1, pos // 2, (total + 1) // 2, sha256(h || coalesce(nxt, ''))
+  FROM (SELECT *, lead(h) OVER (PARTITION BY lang ORDER BY pos) AS nxt FROM up WHERE total > 1) WHERE pos % 2 = 0),
+subs AS (SELECT lang, lev, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS total FROM up WHERE total = 1),
+top AS (
+  SELECT 0 AS lev, pos, total, h FROM subs
+  UNION ALL
+  SELECT lev + 1, pos // 2, (total + 1) // 2, sha256(h || coalesce(nxt, ''))
+  FROM (SELECT *, lead(h) OVER (ORDER BY pos) AS nxt FROM top WHERE total > 1) WHERE pos % 2 = 0),
+root AS (SELECT h AS root FROM top WHERE total = 1),
+one AS (
+  SELECT r, lang, 0 AS lev, pos, total, coalesce(claim, leaf) AS f, '' AS proof FROM p
+  UNION ALL
+  SELECT o.r, o.lang, o.lev + 1, o.pos // 2, (o.total + 1) // 2,
+    sha256(CASE WHEN o.pos % 2 = 1 THEN u.h || f ELSE f || coalesce(u.h, '') END), proof || coalesce(u.h, '')
+  FROM one o LEFT JOIN up u ON u.lang IS NOT DISTINCT FROM o.lang AND u.lev = o.lev AND u.pos = xor(o.pos, 1) WHERE o.total > 1),
+two AS (
+  SELECT o.r, 0 AS lev, s.pos, s.total, s.h AS subroot, f, proof FROM one o JOIN subs s ON s.lang IS NOT DISTINCT FROM o.lang WHERE o.total = 1
+  UNION ALL
+  SELECT o.r, o.lev + 1, o.pos // 2, (o.total + 1) // 2, subroot,
+    sha256(CASE WHEN o.pos % 2 = 1 THEN t.h || f ELSE f || coalesce(t.h, '') END), proof || coalesce(t.h, '')
+  FROM two o LEFT JOIN top t ON t.lev = o.lev AND t.pos = xor(o.pos, 1) WHERE o.total > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM two JOIN l USING (r), root WHERE two.total = 1
+"""
+
+_P = "1 + (1000000000::HUGEINT * ({c} + 1)) // ({n} + v)"
+
+GROUP_DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, {ASCII_LOWER.format("coalesce(text, '')")} AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(term) AS v, coalesce(sum(total), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN cells USING (lang, source) GROUP BY lang, source),
+dense AS (SELECT g.lang, g.source, term, kept.total, coalesce(c, 0) AS c, v, {_P.format(c="coalesce(c, 0)", n="g.n")} AS p, {_P.format(c="kept.total", n="langs.n")} AS q
+  FROM g JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN cells USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+allpairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM allpairs
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM dense WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_join": NGRAM_JOIN,
     "op6_host_rules": HOST_RULES,
     "op7_decontamination": DECONTAMINATION,
+    "op12_group_divergence": GROUP_DIVERGENCE,
+    "op13_merkle_manifest": MERKLE_MANIFEST,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import best_fit_packing, chat_roles, decontamination, gru_lm, host_rules, language_id, ngram_join, token_counts, toxicity, vector_sharding
+from cohortloom.llm import best_fit_packing, chat_roles, decontamination, gru_lm, host_rules, language_id, merkle_manifest, ngram_join, token_counts, toxicity, vector_sharding
 from cohortloom.llm.batches import bounded_batches
 from cohortloom.llm.folds import held_out
 from cohortloom.llm.oracles import ORACLES
@@ -101,3 +101,9 @@ def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scored = gru_lm.fit_and_score(documents, ~held_out("doc_id", 7, 2))
     return scored.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle_manifest.leaves(table(spark, sf_dir, "documents"), claim=merkle_manifest.n_chars_tampered())
+    return merkle_manifest.Manifest(leaves).verify().withColumnRenamed("id", "doc_id")
