@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import best_fit_packing, chat_roles, decontamination, gru_lm, host_rules, language_id, merkle_manifest, ngram_join, token_counts, toxicity, vector_sharding
+from cohortloom.llm import arrow_sequences, best_fit_packing, chat_roles, decontamination, group_divergence, gru_lm, host_rules, language_id, merkle_manifest, ngram_join, token_counts, toxicity, vector_sharding
 from cohortloom.llm.batches import bounded_batches
 from cohortloom.llm.folds import held_out
 from cohortloom.llm.oracles import ORACLES
@@ -103,6 +103,16 @@ def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op11_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_sequences.write_sequences(table(spark, sf_dir, "documents")).documents()
+
+
+@query
+def op12_group_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_divergence.Divergence(table(spark, sf_dir, "documents")).report()
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = merkle_manifest.leaves(table(spark, sf_dir, "documents"), claim=merkle_manifest.n_chars_tampered())
