@@ -2,8 +2,9 @@
 
 The ids of the documents, each followed by an end id, run on in ascending order of the document id. They are dealt
 over shards by ranges of the id; a shard's ids are cut into sequences of ``length``, the last one filled up with
-zeros. A shard is one Arrow IPC file with the columns ``ids`` (fixed-size list of uint32) and ``mask`` (fixed-size list
-of uint8: 1 for an id, 0 for filling), ``BATCH_ROWS`` sequences a record batch, and one with the documents' places.
+zeros. A shard is one Arrow IPC file with the columns ``ids`` (fixed-size list of uint16, or of uint32 where the
+vocabulary is larger) and ``mask`` (fixed-size list of booleans: false for filling), ``BATCH_ROWS`` sequences a record
+batch, and one with the documents' places.
 The footer of the format says where each batch lies, so that sequence i is found without reading others, and a mapped
 file hands out its numbers as they lie on the disk.
 
@@ -37,12 +38,17 @@ BATCH_ROWS = 64
 #: Bytes of text that a shard is meant to hold, and the least for which another task is worth its while.
 SHARD_BYTES = 64 << 20
 LEAST_BYTES = 1 << 20
+#: Bytes of text that are encoded at once: the more, the fewer words are new.
+ENCODED_BYTES = 2 << 20
 
 MANIFEST = "shard int, file string, places string, n_documents long, n_ids long, n_sequences long"
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, largest: int) -> pa.Schema:
+    """``largest`` is the largest id. A sequence's mask fills whole bytes."""
+    if length <= 0 or length % 8:
+        raise ValueError("the length is a multiple of 8")
+    return pa.schema([("ids", pa.list_(pa.uint16() if largest < 1 << 16 else pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def _opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -52,16 +58,17 @@ def _opened(path: str) -> tuple[pafs.FileSystem, str]:
 class SequenceWriter:
     """Cuts a stream of ids into sequences and writes them as they fill."""
 
-    def __init__(self, path: str, length: int):
+    def __init__(self, path: str, length: int, largest: int):
+        self.length, self.schema = length, sequence_schema(length, largest)
+        self.kind = self.schema.field("ids").type.value_type.to_pandas_dtype()
         system, place = _opened(path)
-        self.length, self.schema = length, sequence_schema(length)
         self.sink = system.open_output_stream(place)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
         self.held: list[np.ndarray] = []
         self.n_held = self.n_ids = self.n_sequences = 0
 
     def add(self, ids: np.ndarray) -> None:
-        self.held.append(ids)
+        self.held.append(ids.astype(self.kind))
         self.n_held += len(ids)
         self.n_ids += len(ids)
         if self.n_held >= self.length * BATCH_ROWS:
@@ -72,16 +79,14 @@ class SequenceWriter:
             self.held, self.n_held = [flat[whole:]], len(flat) - whole
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:real] = 1
-        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
+        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, np.arange(len(ids)) < real)]
         self.writer.write_batch(pa.RecordBatch.from_arrays(arrays, schema=self.schema))
         self.n_sequences += len(ids) // self.length
 
     def close(self) -> None:
         if self.n_held:
             flat = np.concatenate(self.held)
-            filled = np.zeros(-(-len(flat) // self.length) * self.length, np.uint32)
+            filled = np.zeros(-(-len(flat) // self.length) * self.length, self.kind)
             filled[: len(flat)] = flat
             self._write(filled, len(flat))
         self.writer.close()
@@ -89,7 +94,10 @@ class SequenceWriter:
 
 
 class SequenceFile:
-    """A written file: ``file[i]`` is the pair (ids, mask) of sequence i, as views of the file where it can be mapped."""
+    """A written file: ``file[i]`` is the pair (ids, mask) of sequence i, as views of the file where it can be mapped.
+
+    The mask comes as it lies there, eight places a byte, the first in the lowest bit: ``unpacked`` spreads it.
+    """
 
     def __init__(self, path: str):
         system, place = _opened(path)
@@ -105,7 +113,8 @@ class SequenceFile:
     def batch(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids and masks of batch ``i``, a row per sequence."""
         found = self.reader.get_batch(i)
-        return tuple(found.column(c).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length) for c in ("ids", "mask"))
+        bits = np.frombuffer(found.column("mask").flatten().buffers()[1], np.uint8)[: found.num_rows * self.length // 8]
+        return found.column("ids").flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length), bits.reshape(-1, self.length // 8)
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         if not 0 <= i < self.n:
@@ -126,6 +135,11 @@ class SequenceFile:
         self.source.close()
 
 
+def unpacked(mask: np.ndarray) -> np.ndarray:
+    """The mask of a sequence as booleans, one per place."""
+    return np.unpackbits(mask, bitorder="little").astype(bool)
+
+
 _PLACES = pa.schema([("doc_id", pa.string()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -134,28 +148,25 @@ def _writer(folder: str, length: int, file: str, end_id: int):
         shard, name = TaskContext.get().partitionId(), uuid.uuid4().hex
         encoder, out, sink, places, n_documents = word_encoder(file), None, None, None, 0
         paths = [f"{folder}/{shard:07d}-{name}.{kind}.arrow" for kind in ("sequences", "places")]
-        try:
-            for batch in batches:
-                if out is None and batch.num_rows:
-                    out = SequenceWriter(paths[0], length)
-                    system, place = _opened(paths[1])
-                    sink = system.open_output_stream(place)
-                    places = pa.ipc.new_file(sink, _PLACES)
-                for piece in pieces(batch.column("text")):
-                    ids, edges = encoder.encode(piece)
-                    sizes = np.diff(edges) + 1
-                    starts = out.n_ids + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                    out.add(np.insert(ids, edges[1:], end_id))
-                    own = batch.column("id").slice(piece.first, len(piece))
-                    places.write_batch(pa.RecordBatch.from_arrays([own, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=_PLACES))
-                    n_documents += len(piece)
-            if out is None:
-                return
-            out.close()
-            places.close()
-            sink.close()
-        finally:
-            encoder.clear()
+        for batch in batches:
+            if out is None and batch.num_rows:
+                out = SequenceWriter(paths[0], length, max(encoder.largest, end_id))
+                system, place = _opened(paths[1])
+                sink = system.open_output_stream(place)
+                places = pa.ipc.new_file(sink, _PLACES)
+            for piece in pieces(batch.column("text"), ENCODED_BYTES):
+                ids, edges = encoder.encode(piece)
+                sizes = np.diff(edges) + 1
+                starts = out.n_ids + np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                out.add(np.insert(ids, edges[1:], end_id))
+                own = batch.column("id").slice(piece.first, len(piece))
+                places.write_batch(pa.RecordBatch.from_arrays([own, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=_PLACES))
+                n_documents += len(piece)
+        if out is None:
+            return
+        out.close()
+        places.close()
+        sink.close()
         row = [pa.array([v], k) for v, k in zip((shard, *paths, n_documents, out.n_ids, out.n_sequences), (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
         yield pa.RecordBatch.from_arrays(row, ["shard", "file", "places", "n_documents", "n_ids", "n_sequences"])
 
@@ -198,7 +209,7 @@ class SequenceFiles:
                             for start, n in zip(own.column("start").to_pylist(), own.column("n_tokens").to_pylist(), strict=True):
                                 crc = 0
                                 for part in file.run(start, n):
-                                    crc = zlib.crc32(part.astype("<u4", copy=False), crc)
+                                    crc = zlib.crc32(part.astype("<u4"), crc)
                                 sums.append(crc)
                             starts = pa.array(own.column("start").to_numpy() + row["start"], pa.int64())
                             yield pa.RecordBatch.from_arrays([own.column("doc_id"), starts, own.column("n_tokens"), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -218,11 +229,11 @@ class SequenceFiles:
                         found = file.reader.get_batch(i)
                         n = found.num_rows
                         columns = [pa.array([row["shard"]] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int64) + i * BATCH_ROWS)]
-                        columns += [found.column("ids").cast(pa.list_(pa.int64())), found.column("mask").cast(pa.list_(pa.int16()))]
+                        columns += [found.column("ids").cast(pa.list_(pa.int64())), found.column("mask").cast(pa.list_(pa.bool_()))]
                         yield pa.RecordBatch.from_arrays(columns, ["shard", "sequence", "ids", "mask"])
                     file.close()
 
-        return self._tasks().mapInArrow(read, "shard int, sequence long, ids array<long>, mask array<short>")
+        return self._tasks().mapInArrow(read, "shard int, sequence long, ids array<long>, mask array<boolean>")
 
 
 def write_sequences(documents: DataFrame, folder: str | None = None, length: int = LENGTH, file: str = DEFAULT_FILE, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> SequenceFiles:
