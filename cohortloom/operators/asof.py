@@ -7,6 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import scratch_path
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def ranged(df: DataFrame, order: Sequence[Column], parts: int | None = None, name: str = "ranged") -> DataFrame:
+    """``df`` dealt over ranges of ``order`` and stored, with the range's number as ``_part``.
+
+    Ranges hold about equally many rows whatever the keys are, and ranges of the same key follow each other.
+    """
+    dealt = df.repartitionByRange(*order) if parts is None else df.repartitionByRange(parts, *order)
+    return _stored(dealt.withColumn("_part", F.spark_partition_id()), name)
+
 
 def asof_join(
     left: DataFrame,
@@ -18,7 +35,7 @@ def asof_join(
     strict: bool = False,
     forward: bool = False,
     first_if_before: bool = False,
-    bucket: str = "hour",
+    parts: int | None = None,
 ) -> DataFrame:
     """Left rows with the ``payload`` of the last right row at or before (``strict``: before)
     their time; ``forward`` takes the first one at or after. Equal right times are settled by
@@ -26,69 +43,53 @@ def asof_join(
     earliest right row instead of null. A right row with a null key or time answers nothing, a left
     row with one gets nulls; such rows take no part in the match.
 
-    No pairs are formed. Right rows are first reduced to one carry row per (key, time bucket);
-    those are chained along the key (one row per bucket, so bounded by the calendar). Then
-    left, right and carry rows meet in a window over (key, bucket). A hot key is thus spread
-    over its buckets: days for dates, ``bucket`` units for timestamps.
+    No pairs are formed. Both sides are dealt together over ranges of (key, time), so that a hot key, an
+    hour of it, or a moment that many rows ask for, spreads over as many tasks as its rows need. Inside a
+    range the last right row seen answers. Each range hands its last right row of a key on: these carry
+    rows, one per (key, range), are chained along the key and begin the next range. ``parts`` is the number of
+    ranges, by default the session's shuffle partitions.
     """
     if forward and first_if_before:
         raise ValueError("first_if_before goes with a backward match")
     kept = list(left.columns)
-    is_date = right.schema[right_time].dataType.typeName() == "date"
 
-    def cut(time: Column) -> Column:
-        return time if is_date else F.date_trunc(bucket, time)
-
-    newest = F.min if forward else F.max
     def known(time: str) -> Column:
         out = F.col(time).isNotNull()
         for key in keys:
             out = out & F.col(key).isNotNull()
         return out
 
-    rows = right.where(known(right_time)).select(
-        *keys, F.col(right_time).alias("_t"), F.struct(*payload).alias("_p")
-    ).withColumn("_b", cut(F.col("_t")))
-    rows = rows.groupBy(*keys, "_b", "_t").agg(F.max("_p").alias("_p"))
-    asks = left.where(known(left_time)).select(*keys, F.col(left_time).alias("_t"), F.struct(*kept).alias("_l")).withColumn(
-        "_b", cut(F.col("_t"))
+    # At equal times a right row comes before the asking row unless the match is strict.
+    side_right, side_left = (1, 0) if strict else (0, 1)
+    rows = right.where(known(right_time)).groupBy(*keys, F.col(right_time).alias("_t")).agg(F.max(F.struct(*payload)).alias("_p"))
+    rows = rows.withColumn("_side", F.lit(side_right)).withColumn("_tie", F.lit(0).cast("long"))
+    # The tie lets rows that ask at the same moment part; equal rows may answer for each other.
+    tie = F.xxhash64(F.struct(*kept), F.monotonically_increasing_id())
+    asks = left.where(known(left_time)).select(
+        *keys, F.col(left_time).alias("_t"), F.struct(*kept).alias("_l"), F.lit(side_left).alias("_side"), tie.alias("_tie")
     )
+    both = rows.unionByName(asks, allowMissingColumns=True)
+    time = F.desc("_t") if forward else F.asc("_t")
+    placed = ranged(both, [*[F.asc(k) for k in keys], time, F.asc("_side"), F.asc("_tie")], parts, "asof")
 
-    # One row per (key, bucket): what the bucket hands on, and whether someone asks there.
-    ends = rows.groupBy(*keys, "_b").agg(
-        newest(F.struct("_t", "_p")).alias("_end"), F.min(F.struct("_t", "_p")).alias("_start")
-    )
-    wanted = asks.select(*keys, "_b", F.lit(True).alias("_asked")).distinct()
-    chain = wanted.unionByName(ends, allowMissingColumns=True)
-    chain = chain.groupBy(*keys, "_b").agg(
-        F.bool_or("_asked").alias("_asked"),
-        F.first("_end", ignorenulls=True).alias("_end"),
-        F.first("_start", ignorenulls=True).alias("_start"),
+    # One row per (key, range): what the range hands on, and whether someone asks there.
+    newest = F.min if forward else F.max
+    answer = F.when(F.col("_p").isNotNull(), F.struct("_t", "_p"))
+    chain = placed.groupBy(*keys, "_part").agg(
+        newest(answer).alias("_end"), F.min(answer).alias("_start"), F.count("_l").alias("_asked")
     )
-    along = Window.partitionBy(*keys).orderBy(F.desc("_b") if forward else F.asc("_b"))
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.last("_end", ignorenulls=True).over(earlier)
+    along = Window.partitionBy(*keys).orderBy("_part")
+    carried = F.last("_end", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
     if first_if_before:
         carried = F.coalesce(carried, F.min("_start").over(Window.partitionBy(*keys)))
-    chain = chain.withColumn("_carry", carried).where(F.col("_asked") & F.col("_carry").isNotNull())
+    chain = chain.withColumn("_carry", carried).where((F.col("_asked") > 0) & F.col("_carry").isNotNull())
 
-    # Order inside a bucket: the carry row, then by time; at equal times a right row counts
-    # before the asking row unless the match is strict.
-    side_right, side_left = (1, 0) if strict else (0, 1)
-    parts = (
-        rows.select(*keys, "_b", F.lit(1).alias("_late"), "_t", F.lit(side_right).alias("_side"), "_p")
-        .unionByName(
-            chain.select(*keys, "_b", F.lit(0).alias("_late"), F.lit(0).alias("_side"), F.col("_carry._p").alias("_p")),
-            allowMissingColumns=True,
-        )
-        .unionByName(
-            asks.select(*keys, "_b", F.lit(1).alias("_late"), "_t", F.lit(side_left).alias("_side"), "_l"),
-            allowMissingColumns=True,
-        )
+    begun = placed.withColumn("_late", F.lit(1)).unionByName(
+        chain.select(*keys, "_part", F.lit(0).alias("_late"), F.col("_carry._p").alias("_p")), allowMissingColumns=True
     )
-    inside = Window.partitionBy(*keys, "_b").orderBy("_late", F.desc("_t") if forward else F.asc("_t"), "_side")
+    inside = Window.partitionBy(*keys, "_part").orderBy("_late", time, "_side")
     seen = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    matched = parts.withColumn("_p", seen).where("_l is not null").select("_l.*", "_p.*")
+    matched = begun.withColumn("_p", seen).where("_l is not null").select("_l.*", "_p.*")
     nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload]
     return matched.unionByName(left.where(~known(left_time)).select(*kept, *nothing))
 

@@ -76,8 +76,12 @@ def lookalike(df: DataFrame, seeds: DataFrame, key: str, vector: str, dims: int,
 SLICE_ROWS = 512
 
 
-def _block_top(k: int):
-    """Top-k partners of each left row inside one pair of blocks, by a matrix product."""
+#: Vectors of a block of the all-pairs product; a task holds two blocks.
+BLOCK_ROWS = 65_536
+
+
+def block_top(k: int, sides: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """(id, other, score): the top ``k`` partners of each left row, for (ids, matrix, other ids, other matrix) sides."""
 
     def best(ids: np.ndarray, others: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
         width = min(k, scores.shape[1])
@@ -88,23 +92,29 @@ def _block_top(k: int):
         found = found.sort_values(["id", "score", "other"], ascending=[True, False, True])
         return found[found.groupby("id").cumcount() < k]
 
+    out = [pd.DataFrame({"id": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})]
+    for own, x, partners, y in sides:
+        for at in range(0, len(own), SLICE_ROWS):
+            rows = slice(at, at + SLICE_ROWS)
+            # Six decimals before ranking, so that ties do not depend on the order of additions.
+            scores = np.round(x[rows] @ y.T, 6)
+            scores[own[rows, None] == partners[None, :]] = -np.inf
+            out.append(best(own[rows], partners, scores))
+    return pd.concat(out[1:] or out)
+
+
+def _block_pair(k: int):
+    """Top-k partners inside one pair of blocks, in both directions, by matrix products."""
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+            return block_top(k, [])
         a, b = np.stack(left["unit"].to_numpy()), np.stack(right["unit"].to_numpy())
         ids, others = left["id"].to_numpy(), right["id"].to_numpy()
         sides = [(ids, a, others, b)]
         if left["block"].iloc[0] != right["block"].iloc[0]:
             sides.append((others, b, ids, a))
-        out = []
-        for own, x, partners, y in sides:
-            for at in range(0, len(own), SLICE_ROWS):
-                rows = slice(at, at + SLICE_ROWS)
-                # Six decimals before ranking, so that ties do not depend on the order of additions.
-                scores = np.round(x[rows] @ y.T, 6)
-                scores[own[rows, None] == partners[None, :]] = -np.inf
-                out.append(best(own[rows], partners, scores))
-        return pd.concat(out)
+        return block_top(k, sides)
 
     return run
 
@@ -125,11 +135,12 @@ def cosine_top_k(df: DataFrame, key: str, vector: str, k: int = 30, side: int |
     multiplies slices of the two matrices and hands on at most ``k`` partners per row in either
     direction, never the pairs themselves. The partial lists are cut again to ``k``. The work is
     quadratic, but spread evenly: blocks come from a hash of a unique id, so no group can be hot. Each
-    vector is copied ``side`` times. By default there are two pairs of blocks for each task slot of the
-    cluster; a task holds two blocks, so give more where n / ``side`` vectors are too many for one.
+    vector is copied ``side`` times. By default a block has at most ``BLOCK_ROWS`` vectors, as a task holds two,
+    and there are two pairs of blocks for each task slot of the cluster. ``vector_index`` has a search that is not quadratic.
     """
     units = unit_vectors(df, key, vector)
-    blocks = side or max(4, math.ceil(math.sqrt(4 * df.sparkSession.sparkContext.defaultParallelism)))
+    slots = math.ceil(math.sqrt(4 * df.sparkSession.sparkContext.defaultParallelism))
+    blocks = side or max(4, slots, math.ceil(df.count() / BLOCK_ROWS))
     placed = units.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = placed.withColumn("pair", F.explode(F.filter(all_blocks, lambda b: b >= F.col("block"))))
@@ -139,7 +150,7 @@ def cosine_top_k(df: DataFrame, key: str, vector: str, k: int = 30, side: int |
     partial = (
         left.groupBy("i", "j")
         .cogroup(right.groupBy("i", "j"))
-        .applyInPandas(_block_top(k), schema="id long, other long, score double")
+        .applyInPandas(_block_pair(k), schema="id long, other long, score double")
     )
     return ranking.top_k_per_group(partial, ["id"], [F.desc("score"), F.asc("other")], k)
 

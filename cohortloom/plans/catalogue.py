@@ -14,6 +14,7 @@ FAMILIES = (
     "place",
     "web",
     "feature",
+    "matrix",
     "sink",
 )
 

@@ -231,6 +231,38 @@ def asof_null_sides(t):
     return out.select("event_id", "value_before", "value_after")
 
 
+# Every third event belongs to user 0 and to one hour, in which many events share a second.
+HOT_SQL = """e AS (SELECT event_id, value, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+  CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15 12:00:00' + to_seconds(event_id * 7919 % 3600) ELSE date_trunc('second', ts) END AS ts FROM events)"""
+
+
+@query(
+    "asof_hot_key",
+    "J5",
+    f"""WITH {HOT_SQL}, p AS (SELECT user_id, ts, max(value) AS value FROM e WHERE event_type = 'purchase' GROUP BY ALL)
+SELECT event_id, b.value AS value_before, n.value AS value_after FROM e
+ASOF LEFT JOIN p b ON e.user_id = b.user_id AND e.ts >= b.ts ASOF LEFT JOIN p n ON e.user_id = n.user_id AND e.ts <= n.ts""",
+)
+def asof_hot_key(t):
+    """One key holds a third of the rows within an hour."""
+    events = hot_events(t)
+    bought = events.where("event_type = 'purchase'")
+    before = bought.select("user_id", F.col("ts").alias("bt"), F.col("value").alias("value_before"))
+    after = bought.select("user_id", F.col("ts").alias("at"), F.col("value").alias("value_after"))
+    out = asof.asof_join(events.select("event_id", "user_id", "ts"), before, ["user_id"], "ts", "bt", ["value_before"])
+    out = asof.asof_join(out, after, ["user_id"], "ts", "at", ["value_after"], forward=True)
+    return out.select("event_id", "value_before", "value_after")
+
+
+def hot_events(t):
+    hot = F.col("event_id") % 3 == 0
+    second = F.timestamp_add("SECOND", F.col("event_id") * 7919 % 3600, F.lit("2024-01-15 12:00:00").cast(t.events.schema["ts"].dataType))
+    return t.events.select(
+        "event_id", "value", "event_type", F.when(hot, 0).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(hot, second).otherwise(F.date_trunc("second", "ts")).alias("ts"),
+    )
+
+
 EVENT_ASOF = """WITH e AS (SELECT event_id, user_id, ts, event_type FROM events),
 p AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL)"""
 

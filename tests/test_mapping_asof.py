@@ -92,10 +92,23 @@ def test_asof_against_brute_force(spark, kind, strict, forward, first):
     right = [(rng.choice([0, 0, 1, 2, 3, 4]), when(), rng.randrange(5)) for _ in range(120)]
     ldf = spark.createDataFrame(left, f"i int, k int, t {kind}")
     rdf = spark.createDataFrame(right, f"k int, rt {kind}, v int").repartition(5)
-    rows = asof.asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], strict=strict, forward=forward, first_if_before=first).collect()
+    rows = asof.asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], strict=strict, forward=forward, first_if_before=first, parts=7).collect()
     assert sorted((r.i, r.v) for r in rows) == _brute(left, right, strict, forward, first)
 
 
+def test_asof_splits_a_hot_hour_and_a_hot_moment(spark):
+    hour = datetime(2024, 1, 1, 12)
+    left = [(i, 0, hour + timedelta(seconds=7 * i % 3600 if i % 2 else 0)) for i in range(600)] + [(1000 + i, i, hour) for i in range(300)]
+    right = [(0, hour + timedelta(seconds=i), i % 13) for i in range(0, 3600, 5)]
+    ldf, rdf = spark.createDataFrame(left, "i int, k int, t timestamp"), spark.createDataFrame(right, "k int, rt timestamp, v int")
+    rows = asof.asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], parts=16).collect()
+    assert sorted((r.i, r.v) for r in rows) == _brute(left, right, False, False, False)
+    placed = asof.ranged(ldf, [F.asc("k"), F.asc("t"), F.xxhash64("i")], 16)
+    sizes = sorted(r["count"] for r in placed.groupBy("_part", "k").count().groupBy("_part").agg(F.max("count").alias("count")).collect())
+    tasks = sorted(r["count"] for r in placed.groupBy("_part").count().collect())
+    assert sizes[-1] <= tasks[-1] < 2.5 * tasks[len(tasks) // 2]
+
+
 @pytest.mark.parametrize("forward", [False, True])
 @pytest.mark.parametrize("first", [False, True])
 def test_asof_null_keys_and_times(spark, forward, first):
