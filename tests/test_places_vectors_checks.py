@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions import geo
-from cohortloom.operators import checks, places, vectors, web
+from cohortloom.operators import checks, nearest, places, vectors, web
 
 
 def _haversine(a, b, c, d):
@@ -33,10 +33,44 @@ def test_grid_join_against_brute_force(spark, centre_lat, centre_lon, metres):
     assert len(rows) == len(expected) and {(r.id, r.poi_name) for r in rows} == expected
 
 
+@pytest.mark.parametrize("cell_points", [None, 9])
+def test_a_crowded_cell_is_dealt_over_tasks(spark, cell_points):
+    points = spark.createDataFrame([(i, 10.0 + i % 7 / 1e5, 20.0) for i in range(60)], "id int, lat double, lon double")
+    pois = spark.createDataFrame([(f"p{i}", 10.0, 20.0 + i / 1000) for i in range(20)], "poi_name string, poi_lat double, poi_lon double")
+    rows = places.within_distance(points, pois, 1000, cell_points).collect()
+    assert len(rows) == sum(_haversine(10.0 + i % 7 / 1e5, 20.0, 10.0, 20.0 + j / 1000) < 1000 for i in range(60) for j in range(20))
+
+
+@pytest.mark.parametrize(("lat", "lon", "metres"), [(20.0, 100.0, 3000), (-65.0, 179.995, 4000), (89.9, 0.0, 20000), (0.0, 0.0, 500_000)])
+def test_nearest_in_crowds_against_brute_force(spark, lat, lon, metres):
+    rng = random.Random(11)
+
+    def near(size):
+        x = lon + rng.uniform(-size, size) * (1 if abs(lat) < 80 else 500)
+        return max(-90.0, min(90.0, lat + rng.uniform(-size, size))), (x + 180) % 360 - 180
+
+    wide = 2 * metres / 111_000
+    spots = [near(wide) for _ in range(120)] + [near(1e-4) for _ in range(40)]
+    spread = [near(wide) for _ in range(60)] + [near(1e-3) for _ in range(200)] + [near(1e-5) for _ in range(200)] + [spots[3]] * 3
+    pois = [(rng.choice([1, 1, 1, 2, 3]), f"p{i % 50}", *p) for i, p in enumerate(spread)]
+    pdf = spark.createDataFrame([*spots, (None, 1.0)], "lat double, lon double")
+    qdf = spark.createDataFrame([*pois, (None, "x", lat, lon), (1, "y", None, lon)], "poi_type int, poi_name string, poi_lat double, poi_lon double")
+    expected = {}
+    for a, b in spots:
+        for kind, name, c, d in pois:
+            far = _haversine(a, b, c, d)
+            if far < metres:
+                expected[a, b, kind] = max(expected.get((a, b, kind), (-1e18, "")), (-far, name))
+    rows = nearest.nearest_per_type(pdf, qdf, metres, leaf=4).collect()
+    found = {(r.lat, r.lon, r.poi_type): (r.distance, r.poi_name) for r in rows}
+    assert len(rows) == len(found) and set(found) == set(expected)
+    assert all(found[k][1] == v[1] and abs(found[k][0] + v[0]) < 1e-5 for k, v in expected.items())
+
+
 def test_nearest_ties_by_greater_name(spark):
     points = spark.createDataFrame([(1, 10.0, 10.0), (2, 10.0, 10.0), (3, 50.0, 50.0)], "id int, lat double, lon double")
     pois = spark.createDataFrame([(1, "a", 10.001, 10.0), (1, "b", 10.001, 10.0), (2, "z", 10.0, 10.0005)], "poi_type int, poi_name string, poi_lat double, poi_lon double")
-    best = places.nearest_per_type(points, pois, 500)
+    best = nearest.nearest_per_type(points, pois, 500)
     assert sorted((r.poi_type, r.poi_name) for r in best.collect()) == [(1, "b"), (2, "z")]
     wide = {r.id: r for r in places.typed_columns(points, best, [1, 2, 3]).collect()}
     assert wide[1].type_1.poi_name == wide[2].type_1.poi_name == "b" and wide[1].type_3 is None
