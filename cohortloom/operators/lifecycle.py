@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortloom.sources.sinks import overwrite_with
+
 # Fixed class codes.
 NEW, ACTIVE, SILENT, LOST = 1, 2, 3, 4
 
@@ -89,10 +93,23 @@ GROWTH_TOLERANCE, GROWTH_DAYS = 0.05, 90
 def growth_rates(counts: DataFrame, app: str, day: str) -> DataFrame:
     """``counts`` of each day plus ``growth``: new entities against all of the day before; 0 without a day
     before or without new ones. One row per (app, day)."""
-    everyone = F.col("new") + F.col("active") + F.col("silent") + F.col("lost")
-    before = counts.select(F.col(app), F.date_add(day, 1).alias(day), everyone.alias("_base"))
-    growth = F.when(F.col("_base").isNotNull() & (F.col("new") > 0), F.try_divide("new", "_base")).otherwise(F.lit(0.0))
-    return counts.join(before, [app, day], "left").withColumn("growth", growth).drop("_base")
+    before = counts.select(F.col(app), F.date_add(day, 1).alias(day), _everyone().alias("_base"))
+    return counts.join(before, [app, day], "left").withColumn("growth", _growth()).drop("_base")
+
+
+def _everyone() -> Column:
+    return F.col("new") + F.col("active") + F.col("silent") + F.col("lost")
+
+
+def _growth() -> Column:
+    return F.when(F.col("_base").isNotNull() & (F.col("new") > 0), F.try_divide("new", "_base")).otherwise(F.lit(0.0))
+
+
+def _with_growth(counts: DataFrame, yesterday: DataFrame | None, app: str) -> DataFrame:
+    if yesterday is None:
+        return counts.withColumn("growth", F.lit(0.0))
+    before = yesterday.select(F.col(app), _everyone().alias("_base"))
+    return counts.join(before, app, "left").withColumn("growth", _growth()).drop("_base")
 
 
 def health_score(rates: DataFrame, app: str, day: str, today) -> DataFrame:
@@ -112,6 +129,27 @@ def health_score(rates: DataFrame, app: str, day: str, today) -> DataFrame:
     return scored.withColumn("score", (F.col("growth_score") + F.col("class_score")) / 2)
 
 
+def store_day(spark: SparkSession, path: str, counts: DataFrame, app: str, today: date) -> None:
+    """Writes a day's ``lifecycle_counts`` with their ``growth`` as partition ``day`` of the stored table, which is
+    read for the day before only. Running a day again replaces its partition."""
+    rates = _with_growth(counts, _stored_days(spark, path, today - timedelta(days=1), today - timedelta(days=1)), app)
+    overwrite_with(rates, path, {"day": today.isoformat()})
+
+
+def stored_health(spark: SparkSession, path: str, app: str, today: date) -> DataFrame:
+    """``health_score`` of a day from the stored table: its own partition and the ``GROWTH_DAYS`` before it."""
+    return health_score(_stored_days(spark, path, today - timedelta(days=GROWTH_DAYS), today), app, "day", today)
+
+
+def _stored_days(spark: SparkSession, path: str, first: date, last: date) -> DataFrame | None:
+    """The rows of the days from ``first`` to ``last``; other partitions are not listed. None before the first write."""
+    try:
+        table = spark.read.option("basePath", path).parquet(path)
+    except AnalysisException:
+        return None
+    return table.where(F.col("day").between(F.lit(first), F.lit(last)))
+
+
 def active_counts(daily: DataFrame, app: str, platform: str, entity: str, apps: DataFrame) -> DataFrame:
     """Distinct active entities per (app, platform) for the apps of a key table (app, app_key)."""
     pairs = daily.select(app, platform, entity).distinct().groupBy(app, platform)

@@ -158,14 +158,14 @@ def resolve_entities(rows: DataFrame) -> DataFrame:
     md5 (rows that have one), pass 2 by sha256; rows known by md5 alone only take part in pass 1.
     Labels of the lower flag win. Two passes, not a transitive closure.
     """
-    by_md5 = _merge_by(rows.where("md5 is not null"), "md5")
-    only_md5 = by_md5.where("sha256 is null")
-    rest = by_md5.where("sha256 is not null").unionByName(rows.where("md5 is null"))
-    return _merge_by(rest, "sha256").unionByName(only_md5)
+    # Rows without the form of a pass go through it alone, so that either pass is one aggregate over all rows.
+    alone = F.when(F.col("md5").isNull(), F.monotonically_increasing_id()).cast("string")
+    by_md5 = _merge_by(rows.withColumn("_alone", alone), "md5")
+    return _merge_by(by_md5.withColumn("_alone", F.when(F.col("sha256").isNull(), F.col("md5"))), "sha256")
 
 
 def _merge_by(rows: DataFrame, form: str) -> DataFrame:
-    keys = [form, "channel"]
+    keys = [form, "channel", "_alone"]
     others = [f for f in ("plain", "md5", "sha256") if f != form]
     # First one row per (digest, label), however many rows share the digest; then one row per digest.
     # Types and labels come from fixed lists, so what is collected is bounded.

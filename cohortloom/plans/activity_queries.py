@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
-from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import bitmaps
-from cohortloom.operators import activity, lifecycle
+from cohortloom.operators import activity, distinct, lifecycle
 from cohortloom.operators.activity import IntervalRule
 from cohortloom.plans import fixtures
 from cohortloom.plans.registry import query
+from cohortloom.session import scratch_path
+from cohortloom.sources import sinks
 
 CURRENT = fixtures.CURRENT
 STATUS = fixtures.STATUS_SQL
@@ -303,10 +303,11 @@ s AS (SELECT app, growth, ((CASE WHEN nr >= 1 THEN 100 WHEN nr < 0.5 THEN 0 ELSE
 SELECT app, round(gv, 6) AS growth_score, round(comp, 6) AS class_score, round((gv + comp) / 2, 6) AS score, round(growth, 6) AS growth FROM s""",
 )
 def health_score(t):
-    """The table of daily counts, here of five days, gives each day's growth and today's health."""
-    by_day = [lifecycle.lifecycle_counts(_classes(t, d), "app").withColumn("day", F.lit(d)) for d in DAYS]
-    table = reduce(DataFrame.unionByName, by_day)
-    scored = lifecycle.health_score(lifecycle.growth_rates(table, "app", "day"), "app", "day", TODAY)
+    """Five daily runs: each counts its own day, reads the day before from the stored table and adds a partition."""
+    path = scratch_path(t.spark, "health")
+    for day in DAYS:
+        lifecycle.store_day(t.spark, path, lifecycle.lifecycle_counts(_classes(t, day), "app"), "app", day)
+    scored = lifecycle.stored_health(t.spark, path, "app", TODAY)
     return scored.select("app", *[F.round(c, 6).alias(c) for c in scored.columns if c != "app"])
 
 
@@ -322,6 +323,29 @@ def active_device_counts(t):
     return lifecycle.active_counts(active, "app", "plat", "user_id", apps)
 
 
+WEEK = [date(2024, 1, 8) + timedelta(days=i) for i in range(7)]
+
+
+@query(
+    "weekly_counts_from_days",
+    "A2 A16 A19",
+    f"""WITH {STATUS}, w AS (SELECT * FROM daily WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14')
+SELECT app, count(DISTINCT user_id) FILTER (status = 'active') AS active, count(DISTINCT user_id) FILTER (status <> 'uninstall') AS installed FROM w WHERE status <> 'uninstall' GROUP BY app""",
+)
+def weekly_counts_from_days(t):
+    """Distinct users of a week from seven stored daily states."""
+    path = scratch_path(t.spark, "distinct-days")
+    for day in WEEK:
+        rows = fixtures.daily(t).where((F.col("day") == F.lit(day)) & (F.col("status") != "uninstall"))
+        kinds = F.when(F.col("status") == "active", F.array(F.lit("installed"), F.lit("active"))).otherwise(F.array(F.lit("installed")))
+        state = distinct.day_state(rows.withColumn("kind", F.explode(kinds)), ["app", "kind"], "user_id")
+        sinks.overwrite_with(state, path, {"day": day.isoformat()})
+    week = distinct.merged(t.spark.read.parquet(path), ["app", "kind"])
+    counted = distinct.counts(week, ["app", "kind"])
+    per_kind = [F.coalesce(F.max(F.when(F.col("kind") == k, F.col("cnt"))), F.lit(0)).alias(k) for k in ("active", "installed")]
+    return counted.groupBy("app").agg(*per_kind)
+
+
 NET_SQL = f"""{STATUS}, m AS (SELECT app, user_id, day, CASE WHEN status = 'uninstall' THEN 1 ELSE 0 END AS u, CASE WHEN status = 'install' THEN 1 ELSE 0 END AS i FROM daily WHERE status IN ('install', 'uninstall')),
 net AS (SELECT app, user_id, day, CASE WHEN sum(u) > sum(i) THEN 1 ELSE 0 END AS uninstall, CASE WHEN sum(u) < sum(i) THEN 1 ELSE 0 END AS install FROM m GROUP BY app, user_id, day HAVING sum(u) <> sum(i))"""
 

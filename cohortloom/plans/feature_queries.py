@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators import vectors
 from cohortloom.plans import fixtures
 from cohortloom.plans.registry import query
+from cohortloom.session import scratch_path
 
 DIMS = 64
 SUMMED = "list_sum(list_transform({v}, lambda x: CAST(x AS DOUBLE)))"
@@ -126,23 +127,31 @@ def fused_similarity(t):
 STOP_WORDS = ("the", "and", "of", "de", "la", "le", "der", "die", "und", "el", "en", "que")
 
 
-# One name per source and language, a day per document: most texts are older than the window or not the latest.
-NAMED_TEXT_SQL = """t AS (SELECT source || '-' || lang AS name, text, DATE '2024-01-01' + CAST(doc_id * 7 % 300 AS INTEGER) AS day FROM documents)"""
+# Four documents to a name, a day per document: some texts are older than the window, others not the latest.
+NAMED_TEXT_SQL = """t AS (SELECT CAST(doc_id // 4 AS VARCHAR) AS name, text, DATE '2024-01-01' + CAST(doc_id * 7 % 300 AS INTEGER) AS day FROM documents)"""
 
 
 @query(
     "text_embedding",
     "M8",
-    f"""WITH {NAMED_TEXT_SQL}, l AS (SELECT * FROM t WHERE day > DATE '2024-10-26' - 180 QUALIFY row_number() OVER (PARTITION BY name ORDER BY day DESC, text DESC) = 1)
-SELECT name, day, len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '' AND w NOT IN ('the', 'and', 'of', 'de', 'la', 'le', 'der', 'die', 'und', 'el', 'en', 'que'))) AS words, 100 AS dims FROM l""",
+    f"""WITH {NAMED_TEXT_SQL}, l AS (SELECT * FROM t WHERE day > DATE '2024-10-26' - 180 QUALIFY row_number() OVER (PARTITION BY name ORDER BY day DESC, text DESC) = 1),
+w AS (SELECT name, day, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '' AND w NOT IN ('the', 'and', 'of', 'de', 'la', 'le', 'der', 'die', 'und', 'el', 'en', 'que')) AS ws FROM l),
+known AS (SELECT w FROM (SELECT unnest(ws) AS w FROM w) GROUP BY w HAVING count(*) >= 2), has AS (SELECT DISTINCT name FROM (SELECT name, unnest(ws) AS w FROM w) WHERE w IN (SELECT w FROM known))
+SELECT name, day, len(ws) AS words, 100 AS dims, name IN (SELECT name FROM has) AS has_vector, TRUE AS equal_to_twins FROM w""",
 )
 def text_embedding(t):
     texts = t.documents.select(
-        F.concat_ws("-", "source", "lang").alias("name"), "text", F.date_add(F.lit(date(2024, 1, 1)), (F.col("doc_id") * 7 % 300).cast("int")).alias("day")
+        F.expr("doc_id div 4").cast("string").alias("name"), "text", F.date_add(F.lit(date(2024, 1, 1)), (F.col("doc_id") * 7 % 300).cast("int")).alias("day")
     )
     latest = vectors.latest_texts(texts, "name", "text", "day", date(2024, 10, 26))
     embedded = vectors.text_embedding(latest, "text", STOP_WORDS, minimum_count=2)
-    return embedded.select("name", "day", F.size("tokens").alias("words"), F.size("embedding").alias("dims"))
+    path = scratch_path(t.spark, "embedded")
+    embedded.withColumn("_twin", F.xxhash64("tokens")).write.parquet(path)
+    embedded = t.spark.read.parquet(path)
+    # Equal tokens have equal vectors, wherever their rows lie.
+    twins = embedded.groupBy("_twin").agg((F.min("embedding") == F.max("embedding")).alias("equal_to_twins"))
+    has = F.exists("embedding", lambda x: x != 0)
+    return embedded.join(twins, "_twin").select("name", "day", F.size("tokens").alias("words"), F.size("embedding").alias("dims"), has.alias("has_vector"), "equal_to_twins")
 
 
 @query(
@@ -160,13 +169,14 @@ def stop_word_tokens(t):
     "named_vectors",
     "M10",
     """WITH c AS (SELECT l_partkey AS vec_id, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT vec_id, len(embedding) AS dims, round(embedding[1]::DOUBLE, 6) AS first, p_name AS name FROM embeddings LEFT JOIN part ON p_partkey = vec_id AND p_size > 10 WHERE vec_id IN (SELECT vec_id FROM c WHERE n >= 30)""",
+SELECT vec_id, len(embedding) AS dims, round(embedding[1]::DOUBLE, 6) AS first, p_name AS name FROM embeddings LEFT JOIN (SELECT CASE WHEN p_size > 10 THEN p_partkey ELSE -1 - p_partkey END AS p_partkey, p_name FROM part) ON p_partkey = vec_id WHERE vec_id IN (SELECT vec_id FROM c WHERE n >= 30)""",
 )
 def named_vectors(t):
     texts = t.embeddings.select("vec_id", F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ", ").alias("line"))
     parsed = texts.select("vec_id", vectors.parse_vector(F.col("line")).alias("vector"))
     counts = t.lineitem.groupBy(F.col("l_partkey").alias("vec_id")).agg(F.count("*").alias("n"))
-    names = t.part.where("p_size > 10").select(F.col("p_partkey").alias("vec_id"), F.col("p_name").alias("name"))
+    named = F.when(F.col("p_size") > 10, F.col("p_partkey")).otherwise(-1 - F.col("p_partkey"))
+    names = t.part.select(named.alias("vec_id"), F.col("p_name").alias("name"))
     kept = vectors.named_vectors(parsed, "vec_id", counts, "n", 30, names)
     return kept.select("vec_id", F.size("vector").cast("long").alias("dims"), F.round(F.col("vector")[0], 6).alias("first"), "name")
 

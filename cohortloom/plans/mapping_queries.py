@@ -11,7 +11,7 @@ from cohortloom.operators import asof, lookup, mapping, ranking
 from cohortloom.plans import fixtures
 from cohortloom.plans.fixtures import struct_list_text
 from cohortloom.plans.registry import query
-from cohortloom.sources import tables
+from cohortloom.sources import buckets, tables
 
 PURCHASES = fixtures.PURCHASES_SQL
 PROFILE = fixtures.PROFILE_SQL
@@ -77,6 +77,28 @@ def mapping_merge(t):
     return merged.select("o_custkey", _text(F.col("ids")).alias("ids"), "update_time")
 
 
+@query(
+    "bucketed_mapping_merge",
+    "J8 J8m",
+    f"WITH {SEEN_SQL} SELECT o_custkey, {IDS_TEXT} AS ids, max(l) AS update_time FROM ranked WHERE rn <= 30 GROUP BY o_custkey",
+)
+def bucketed_mapping_merge(t):
+    """Two daily merges into a stored state bucketed by (key, id); the state is never shuffled."""
+    rows, keys = fixtures.purchases(t), ["o_custkey", "id"]
+    cuts = [F.lit(date(1997, 6, 30)), F.lit(date(1998, 6, 30))]
+    full = _state(t, rows.where(F.col("day") <= cuts[0]))
+    number = buckets.buckets_for(t.lineitem.count())
+    table = buckets.store(full, keys, number, "mapping")
+
+    def merge(stored, new):
+        return buckets.merged_state(stored, new, keys, "first_seen", "last_seen")
+
+    between = _state(t, rows.where((F.col("day") > cuts[0]) & (F.col("day") <= cuts[1])))
+    table = buckets.store(buckets.merge_stored(t.spark, table, between, keys, merge), keys, number, "mapping", in_place=True)
+    merged = buckets.merge_stored(t.spark, table, _state(t, rows.where(F.col("day") > cuts[1])), keys, merge)
+    return mapping.newest_ids(merged, "o_custkey", 30).select("o_custkey", _text(F.col("ids")).alias("ids"), "update_time")
+
+
 @query(
     "pair_expansion",
     "A35 W8",
@@ -179,12 +201,14 @@ def match_counts(t):
 @query(
     "best_candidate",
     "J4",
-    f"""WITH {SEEN_SQL}, w AS (SELECT p_partkey AS id, p_size AS weight FROM part WHERE p_size > 20),
+    f"""WITH {SEEN_SQL}, w AS (SELECT CASE WHEN p_size > 20 THEN p_partkey ELSE -1 - p_partkey END AS id, p_size AS weight FROM part),
 c AS (SELECT c_custkey, id, coalesce(weight, 0) AS weight FROM customer LEFT JOIN (SELECT * FROM ranked WHERE rn <= 10) ON o_custkey = c_custkey LEFT JOIN w USING (id))
 SELECT c_custkey, id AS best_id, CASE WHEN id IS NOT NULL THEN weight END AS best_weight FROM c QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY weight DESC, id DESC NULLS LAST) = 1""",
 )
 def best_candidate(t):
-    weights = t.part.where("p_size > 20").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("weight"))
+    # Small parts have weights under ids that no mapping knows.
+    known = F.when(F.col("p_size") > 20, F.col("p_partkey")).otherwise(-1 - F.col("p_partkey"))
+    weights = t.part.select(known.alias("id"), F.col("p_size").alias("weight"))
     mapped = _ids(t, 10).select(F.col("o_custkey").alias("c_custkey"), "ids")
     seeds = t.customer.select("c_custkey").join(mapped, "c_custkey", "left")
     return lookup.best_candidate(seeds, "ids", weights, ["c_custkey"])
@@ -405,7 +429,7 @@ def daily_range_replace(t):
 @query(
     "cleaned_name_lookup",
     "J15 X21",
-    """WITH n AS (SELECT n_name AS city, CAST(n_nationkey AS VARCHAR) AS city_code FROM nation WHERE n_nationkey < 20),
+    """WITH n AS (SELECT CASE WHEN n_nationkey < 20 THEN n_name ELSE 'old ' || n_name END AS city, CAST(n_nationkey AS VARCHAR) AS city_code FROM nation),
 c AS (SELECT c_custkey, CASE WHEN c_nationkey = 7 THEN 'NATION_7 city' WHEN c_nationkey % 2 = 0 THEN 'NATION_' || c_nationkey || ' city' ELSE 'NATION_' || c_nationkey END AS raw, c_mktsegment FROM customer),
 k AS (SELECT *, CASE WHEN raw = 'NATION_2 city' THEN 'NATION_2 city' WHEN raw LIKE '% city' THEN left(raw, length(raw) - 5) ELSE raw END AS cleaned FROM c)
 SELECT c_custkey, raw, coalesce(city_code, '4') AS city_code, CASE c_mktsegment WHEN 'BUILDING' THEN '1' WHEN 'MACHINERY' THEN '2' ELSE '4' END AS isp_code
@@ -419,7 +443,8 @@ def cleaned_name_lookup(t):
     people = t.customer.select(
         "c_custkey", raw.alias("raw"), text.code_of(F.col("c_mktsegment"), {"BUILDING": "1", "MACHINERY": "2"}, "4").alias("isp_code")
     )
-    dim = t.nation.where("n_nationkey < 20").select(F.col("n_name").alias("city"), F.col("n_nationkey").cast("string").alias("city_code"))
+    city = F.when(F.col("n_nationkey") < 20, F.col("n_name")).otherwise(F.concat(F.lit("old "), "n_name"))
+    dim = t.nation.select(city.alias("city"), F.col("n_nationkey").cast("string").alias("city_code"))
     return lookup.cleaned_name_lookup(people, "raw", dim, "city", " city", {"NATION_2 city": "NATION_2 city"}, "city_code", "4")
 
 
@@ -473,10 +498,11 @@ def prefix_dimension(t):
     "latest_profile_match",
     "J25",
     f"""WITH {SEEN_SQL} SELECT o_custkey, id AS l_partkey, p_brand, CASE WHEN p_partkey IS NULL THEN 0 ELSE 1 END AS match_flag
-FROM ranked LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON p_partkey = id WHERE rn = 1""",
+FROM ranked LEFT JOIN (SELECT CASE WHEN p_size > 25 THEN p_partkey ELSE -1 - p_partkey END AS p_partkey, p_brand FROM part) ON p_partkey = id WHERE rn = 1""",
 )
 def latest_profile_match(t):
-    known = t.part.where("p_size > 25").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    key = F.when(F.col("p_size") > 25, F.col("p_partkey")).otherwise(-1 - F.col("p_partkey"))
+    known = t.part.select(key.alias("l_partkey"), "p_brand")
     return lookup.latest_with_profile(_ids(t, 5), "o_custkey", known, "l_partkey")
 
 

@@ -94,7 +94,7 @@ def latest_partition_read(t):
     path = scratch_path(t.spark, "by-month")
     dated = t.orders.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
     dated.repartition("month").write.partitionBy("month").parquet(path)
-    return tables.latest_listed_partition(t.spark.read.parquet(path), "month", upto="1999-06").withColumn("month", F.col("month").cast("string"))
+    return tables.latest_listed_partition(t.spark, path, "month", upto="1999-06").withColumn("month", F.col("month").cast("string"))
 
 
 @query(

@@ -12,7 +12,7 @@ from cohortloom.plans import fixtures
 from cohortloom.plans.fixtures import map_text
 from cohortloom.plans.registry import query
 from cohortloom.session import scratch_path
-from cohortloom.sources import sinks
+from cohortloom.sources import buckets, sinks
 
 HISTORY = fixtures.HISTORY_SQL
 PROFILE = fixtures.PROFILE_SQL
@@ -115,6 +115,12 @@ tops AS (SELECT o_custkey, max(value) FILTER (NOT old) AS nt, max(value) FILTER
 FROM w JOIN tops USING (o_custkey) GROUP BY o_custkey""",
 )
 def tag_full_increment_merge(t):
+    merged = tags.merge_full_increment(*_merge_sides(t), "o_custkey", ["tags"], ["top"], "update_time")
+    return merged.select("o_custkey", "update_time", "top", map_text(F.col("tags")).alias("tags"))
+
+
+def _merge_sides(t):
+    """Tag maps with a summary, before and after a day."""
     cut = F.lit(date(2000, 1, 1))
     rows = fixtures.history(t)
 
@@ -125,7 +131,24 @@ def tag_full_increment_merge(t):
 
     full = side(rows.where(F.col("day") < cut))
     increment = side(rows.where((F.col("day") >= cut) & (F.col("tag") != "price")))
-    merged = tags.merge_full_increment(full, increment, "o_custkey", ["tags"], ["top"], "update_time")
+    return full, increment
+
+
+@query(
+    "bucketed_tag_merge",
+    "A31",
+    f"""WITH {MERGE_SQL} SELECT o_custkey, any_value(update_time) AS update_time, any_value(coalesce(nt, ot)) AS top, string_agg(tag || '=' || value, ';' ORDER BY tag) AS tags
+FROM w JOIN tops USING (o_custkey) GROUP BY o_custkey""",
+)
+def bucketed_tag_merge(t):
+    """As ``tag_full_increment_merge``, the stored side bucketed by its key."""
+    full, increment = _merge_sides(t)
+    table = buckets.store(full, ["o_custkey"], buckets.buckets_for(full.count()), "tags")
+
+    def merge(stored, new):
+        return tags.merge_full_increment(stored, new, "o_custkey", ["tags"], ["top"], "update_time")
+
+    merged = buckets.merge_stored(t.spark, table, increment, ["o_custkey"], merge)
     return merged.select("o_custkey", "update_time", "top", map_text(F.col("tags")).alias("tags"))
 
 
@@ -203,7 +226,7 @@ def entity_resolution(t):
     "hub_merge",
     "J6 X6 S6",
     """WITH o AS (SELECT o_custkey, o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
-r AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 3000)
+r AS (SELECT CASE WHEN c_acctbal > 3000 THEN c_custkey ELSE -1 - c_custkey END AS c_custkey, c_mktsegment FROM customer)
 SELECT CAST(o_custkey AS VARCHAR) AS id, concat_ws(';', 'extra=' || c_mktsegment, 'seed=' || CASE WHEN {side} THEN 'result' ELSE o_orderpriority END) AS feature
 FROM o LEFT JOIN r ON o_custkey = c_custkey""".replace("{side}", "c_custkey IS NOT NULL"),
 )
@@ -215,7 +238,7 @@ def hub_merge(t):
     "hub_merge_seed_wins",
     "J6 X6",
     """WITH o AS (SELECT o_custkey, o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
-r AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 3000)
+r AS (SELECT CASE WHEN c_acctbal > 3000 THEN c_custkey ELSE -1 - c_custkey END AS c_custkey, c_mktsegment FROM customer)
 SELECT CAST(o_custkey AS VARCHAR) AS id, concat_ws(';', 'extra=' || c_mktsegment, 'seed=' || o_orderpriority) AS feature FROM o LEFT JOIN r ON o_custkey = c_custkey""",
 )
 def hub_merge_seed_wins(t):
@@ -229,8 +252,10 @@ def _hub(t, prefer):
         "o_orderkey",
         F.create_map(F.lit("seed"), F.array("o_orderpriority"), F.lit("none"), empty).alias("feature"),
     )
-    results = t.customer.where("c_acctbal > 3000").select(
-        F.col("c_custkey").cast("string").alias("id"),
+    # Poorer customers have results under ids that are not in the hub.
+    owner = F.when(F.col("c_acctbal") > 3000, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey"))
+    results = t.customer.select(
+        owner.cast("string").alias("id"),
         F.create_map(F.lit("seed"), F.array(F.lit("result")), F.lit("extra"), F.array("c_mktsegment")).alias("feature"),
     )
     # A map cannot be compared, so the hub row order is its key alone.
@@ -262,14 +287,16 @@ def list_merges(t):
     "tag_translation",
     "J22",
     f"""WITH {PROFILE}, r AS (SELECT c_custkey, unnest(['segment', 'nation', 'region', 'band', 'codes']) AS k, unnest([segment, nation, region, band, codes]) AS v FROM profile),
-p AS (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS code, o_orderpriority AS name FROM orders WHERE o_orderpriority <> '5-LOW'),
+p AS (SELECT DISTINCT CASE WHEN o_orderpriority = '5-LOW' THEN 'x' ELSE '' END || substr(o_orderpriority, 1, 1) AS code, o_orderpriority AS name FROM orders),
 x AS (SELECT c_custkey, k, generate_subscripts(string_split(v, ','), 1) AS i, unnest(string_split(v, ',')) AS code FROM r WHERE v IS NOT NULL)
 SELECT c_custkey, CASE k WHEN 'band' THEN 'balance band' WHEN 'codes' THEN 'priorities' ELSE k END AS tag, string_agg(coalesce(name, code), ',' ORDER BY i) AS value
 FROM x LEFT JOIN p USING (code) GROUP BY c_custkey, k""",
 )
 def tag_translation(t):
-    values = t.orders.where("o_orderpriority <> '5-LOW'").select(
-        F.lit("value").alias("kind"), F.substring("o_orderpriority", 1, 1).alias("code"), F.col("o_orderpriority").alias("name")
+    # One priority is known under another code than the profiles use.
+    other = F.when(F.col("o_orderpriority") == "5-LOW", "x").otherwise("")
+    values = t.orders.select(
+        F.lit("value").alias("kind"), F.concat(other, F.substring("o_orderpriority", 1, 1)).alias("code"), F.col("o_orderpriority").alias("name")
     ).distinct()
     names = t.spark.createDataFrame([("key", "band", "balance band"), ("key", "codes", "priorities")], "kind string, code string, name string")
     return lookup.translate_map(fixtures.tagged(t), "c_custkey", "tags", values.unionByName(names))
@@ -278,13 +305,15 @@ def tag_translation(t):
 @query(
     "profile_assembly",
     "J27 O3",
-    """WITH a AS (SELECT c_custkey AS key, c_name AS name, '2000-01-01' AS tm FROM customer WHERE c_acctbal > 2000),
+    """WITH a AS (SELECT CASE WHEN c_acctbal > 2000 THEN c_custkey ELSE -1 - c_custkey END AS key, c_name AS name, '2000-01-01' AS tm FROM customer),
 b AS (SELECT o_custkey AS key, max(o_orderpriority) AS priority, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS tm FROM orders GROUP BY 1),
 c AS (SELECT user_id AS key, count(*) AS n_events, ' ' AS tm FROM events GROUP BY 1)
 SELECT key, name, priority, n_events, greatest(a.tm, b.tm) AS update_time FROM a FULL JOIN b USING (key) FULL JOIN c USING (key)""",
 )
 def profile_assembly(t):
-    a = t.customer.where("c_acctbal > 2000").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.lit("2000-01-01").alias("update_time"))
+    # Poorer customers have a key of their own, which no other source knows.
+    key = F.when(F.col("c_acctbal") > 2000, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey"))
+    a = t.customer.select(key.alias("key"), F.col("c_name").alias("name"), F.lit("2000-01-01").alias("update_time"))
     b = t.orders.groupBy(F.col("o_custkey").alias("key")).agg(
         F.max("o_orderpriority").alias("priority"), F.max(F.to_date("o_orderdate")).cast("string").alias("update_time")
     )
@@ -308,8 +337,8 @@ def category_slices(t):
 @query(
     "sparse_text",
     "X17 X18 X19",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'status,key,price=' ELSE 'status,key,flag,price=' END AS names,
-  CAST(o_orderkey AS VARCHAR) AS key_text, printf('%.4f', o_totalprice) AS price_text, CAST(3 + o_orderkey % 2 AS BIGINT) AS n FROM orders WHERE o_orderkey <> 0""",
+    """SELECT o_orderkey, CASE WHEN o_orderkey = 0 THEN 'status,price=' WHEN o_orderkey % 2 = 0 THEN 'status,key,price=' ELSE 'status,key,flag,price=' END AS names,
+  CAST(nullif(o_orderkey, 0) AS VARCHAR) AS key_text, printf('%.4f', o_totalprice) AS price_text, CASE WHEN o_orderkey = 0 THEN 2 ELSE CAST(3 + o_orderkey % 2 AS BIGINT) END AS n FROM orders""",
 )
 def sparse_text(t):
     from cohortloom.functions import text
@@ -318,12 +347,13 @@ def sparse_text(t):
         ["status", "key", "flag", "price"],
         [F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_orderkey") % 2, F.col("o_totalprice").cast("decimal(18,2)")],
     )
-    rows = t.orders.where("o_orderkey <> 0").select("o_orderkey", packed.alias("packed"))
+    rows = t.orders.select("o_orderkey", packed.alias("packed"))
     parsed = maps.parse_sparse(F.col("packed"))
     return rows.select("o_orderkey", "packed", parsed.alias("cells")).select(
         "o_orderkey",
         F.concat(F.substring_index("packed", "=", 1), F.lit("=")).alias("names"),
-        text.plain_number(F.col("cells")[1]["value"].cast("double")).alias("key_text"),
+        # Zero is not packed, so order 0 has no key.
+        text.plain_number(F.get(F.filter("cells", lambda c: c["index"] == "key"), F.lit(0))["value"].cast("double")).alias("key_text"),
         F.element_at("cells", -1)["value"].alias("price_text"),
         F.size("cells").cast("long").alias("n"),
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import scratch_path
+
 # Fixed default of rows per output file.
 ROWS_PER_FILE = 3_000_000
 
@@ -40,11 +42,11 @@ def full_and_increment(df: DataFrame, full_path: str, increment_path: str, recen
 
 
 def report(df: DataFrame, path: str, order: Sequence[Column], limit: int | None = None) -> None:
-    """Ordered tab-separated report with a header. Single file, so meant for aggregated or limited
-    rows."""
+    """Ordered tab-separated report with a header: one file of ``limit`` rows, or without a limit several files
+    that follow each other in the order of their names, so that no task takes the whole table."""
     ordered = df.orderBy(*order)
-    ordered = ordered if limit is None else ordered.limit(limit)
-    ordered.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)
+    ordered = ordered if limit is None else ordered.limit(limit).coalesce(1)
+    ordered.write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
 def split_export(ids: DataFrame, path: str) -> None:
@@ -56,10 +58,21 @@ def size_based_partitions(rows: int, per_partition: int = ROWS_PER_FILE) -> int:
     return max(1, rows // per_partition)
 
 
-def write_sized(df: DataFrame, path: str, per_partition: int = ROWS_PER_FILE) -> None:
-    """As many files as the number of rows asks for. The rows are counted first, so ``df`` should be cheap
-    to read or stored."""
-    df.repartition(size_based_partitions(df.count(), per_partition)).write.mode("overwrite").parquet(path)
+def observed(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
+    """Runs ``write`` on the rows and gives aggregates of them, collected in the same pass as the write."""
+    seen = Observation()
+    write(df.observe(seen, *[column.alias(name) for name, column in metrics.items()]))
+    return seen.get
+
+
+def write_sized(df: DataFrame, path: str, per_partition: int = ROWS_PER_FILE) -> int:
+    """As many files as the number of rows asks for; gives the number of rows. ``df`` is evaluated once, into a
+    staged table that counts its rows as it is written."""
+    staged = scratch_path(df.sparkSession, "staged")
+    rows = observed(df, lambda rows: rows.write.parquet(staged), n=F.count(F.lit(1)))["n"]
+    stored = df.sparkSession.read.parquet(staged)
+    stored.repartition(size_based_partitions(rows, per_partition)).write.mode("overwrite").parquet(path)
+    return rows
 
 
 def publish_version(spark: SparkSession, df: DataFrame, view: str, version: str, value: str) -> DataFrame:
@@ -105,9 +118,18 @@ def kafka_records(df: DataFrame) -> DataFrame:
     return df.select(F.col(df.columns[0]).cast("string").alias("value")).where("value is not null")
 
 
-def to_kafka(df: DataFrame, servers: str, topic: str) -> None:
-    """Needs the Kafka connector on the class path."""
-    kafka_records(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+def send(df: DataFrame, write: Callable[[DataFrame], None]) -> dict:
+    """Hands the records of ``df`` to ``write`` and gives ``ok``, the records, and ``failed``, the rows that make none,
+    counted as they go out."""
+    value = F.col(df.columns[0]).cast("string")
+    counted = {"ok": F.count(value), "failed": F.count_if(value.isNull())}
+    return observed(df.select(value.alias(df.columns[0])), lambda rows: write(kafka_records(rows)), **counted)
+
+
+def to_kafka(df: DataFrame, servers: str, topic: str) -> dict:
+    """Sends all records and gives their counts as ``send`` does. Needs the Kafka connector on the class path."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    return send(df, lambda records: records.write.format("kafka").options(**options).save())
 
 
 def to_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 8) -> None:

@@ -32,12 +32,20 @@ def latest_partition(df: DataFrame, partition: str, upto=None, pattern: str | No
     return df.where(F.lit(False)) if newest is None else df.where(F.col(partition) == F.lit(newest))
 
 
-def latest_listed_partition(df: DataFrame, partition: str, upto: str | None = None) -> DataFrame:
-    """As :func:`latest_partition` for a table partitioned on disk, from the names of its folders alone: no
-    data file is opened to find the value, and the scan lists one partition. The value is text."""
-    folders = {unquote(f).rsplit("/", 1)[0].rsplit(f"/{partition}=", 1)[-1].split("/")[0] for f in df.inputFiles() if f"/{partition}=" in f}
-    found = [f for f in folders if f != HIVE_NULL and (upto is None or f <= upto)]
-    return df.where(F.col(partition) == F.lit(max(found))) if found else df.where(F.lit(False))
+def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """The values of a table's first partition column, from the names of the folders directly below it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    names = [unquote(f.getPath().getName()) for f in listed if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition}="))
+
+
+def latest_listed_partition(spark: SparkSession, path: str, partition: str, upto: str | None = None) -> DataFrame:
+    """As :func:`latest_partition` for a table partitioned on disk, from the names of its folders alone: one entry
+    per partition, no file name is listed to find the value, and the scan lists one partition. The value is text."""
+    found = [v for v in partition_values(spark, path, partition) if v != HIVE_NULL and (upto is None or v <= upto)]
+    df = spark.read.parquet(path)
+    return df.where(F.col(partition) == F.lit(found[-1])) if found else df.where(F.lit(False))
 
 
 def latest_table_partition(spark: SparkSession, table: str, upto: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -18,9 +18,8 @@ def test_aes_cbc_vector(spark):
 def test_latest_partition_is_pruned(spark, tmp_path):
     rows = [(i, f"2024-01-{d:02}") for i, d in enumerate((1, 1, 2, 3, 5))] + [(9, None)]
     spark.createDataFrame(rows, "x int, day string").withColumn("day", F.to_date("day")).write.partitionBy("day").parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    newest = tables.latest_listed_partition(df, "day", upto="2024-01-04")
+    newest = tables.latest_listed_partition(spark, str(tmp_path / "t"), "day", upto="2024-01-04")
     assert [r.x for r in newest.collect()] == [3]
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
-    assert tables.latest_listed_partition(df, "day", upto="2020-01-01").count() == 0
+    assert tables.latest_listed_partition(spark, str(tmp_path / "t"), "day", upto="2020-01-01").count() == 0
