@@ -4,7 +4,8 @@ Texts are lower-cased in Latin letters and everything but letters becomes a spac
 with at least ``SIZE - 1`` bytes of letters. A language learns the n-grams that make up at least
 ``LEAST_SHARE`` of its own, so at most 1 / ``LEAST_SHARE`` of them, however large the corpus. All
 languages share one array of bit masks: slot by slot, bit i belongs to the filter of language i, and
-the AND of an n-gram's slots names all languages that contain it. A text's hits are counted per
+the AND of an n-gram's slots names all languages that contain it. A mask has 64 languages; more of them take
+further arrays. A text's hits are counted per
 language, corrected for the filter's known rate of false positives, and weighted by how few
 languages an n-gram names; the language with the highest corrected rate wins and its share of the
 sum is the score.
@@ -29,10 +30,9 @@ from cohortloom.session import scratch_path
 
 SIZE = 4
 LEAST_SHARE = 5e-6
-#: An n-gram belongs to a language if it is there at least this often relative to its most frequent language.
-LEAST_RELATIVE = 0.05
 PROBES = 3
-MOST_LANGUAGES = 64
+#: Languages of one array of masks.
+MASK_BITS = 64
 
 LETTERS = byte_table((0x61, 0x7A), (0x80, 0xFF))
 NORMAL = np.where(LETTERS[LOWER], LOWER, 0x20).astype(np.uint8)
@@ -64,18 +64,25 @@ def grams(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Filters:
     languages: list[str]
-    masks: np.ndarray
+    masks: list[np.ndarray]  # one array for each ``MASK_BITS`` languages
     false_rate: np.ndarray
     amounts: np.ndarray
 
-    def lookup(self, codes: np.ndarray) -> np.ndarray:
-        """The mask of the languages that contain each n-gram."""
-        found = None
-        for slot in slots(codes, len(self.masks)):
-            own = self.masks[slot]
-            found = own if found is None else found & own
+    def lookup(self, codes: np.ndarray) -> list[np.ndarray]:
+        """The masks of the languages that contain each n-gram."""
+        found: list[np.ndarray] = []
+        for slot in slots(codes, len(self.masks[0])):
+            own = [m[slot] for m in self.masks]
+            found = [a & b for a, b in zip(found, own, strict=True)] if found else own
         return found
 
+    def holders(self, codes: np.ndarray) -> Iterator[np.ndarray]:
+        """For each language in turn, which n-grams it contains."""
+        found = self.lookup(codes)
+        for i in range(len(self.languages)):
+            own = found[i // MASK_BITS]
+            yield (own & own.dtype.type(1 << i % MASK_BITS)) != 0
+
 
 def slots(codes: np.ndarray, size: int) -> Iterator[np.ndarray]:
     key = mix(codes.astype(np.uint64) + np.uint64(1))
@@ -127,20 +134,12 @@ def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
     counts = documents.sparkSession.read.parquet(path)
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages, a mask holds {MOST_LANGUAGES}")
-    share = F.lit(0.0)
-    for lang in languages:
-        share = F.when(F.col("lang") == lang, F.col("n") / F.lit(float(totals[lang]))).otherwise(share)
-    frequent = counts.withColumn("share", share).where(F.col("share") >= LEAST_SHARE)
-    table = frequent.select("lang", "gram", "share").toArrow()
-    gram, shares = table["gram"].to_numpy(), table["share"].to_numpy()
-    distinct, back = np.unique(gram, return_inverse=True)
-    most = np.zeros(len(distinct))
-    np.maximum.at(most, back, shares)
-    kept = shares >= LEAST_RELATIVE * most[back]
+    known = documents.sparkSession.createDataFrame([(lang, float(n)) for lang, n in totals.items()], "lang string, total double")
+    frequent = counts.join(F.broadcast(known), "lang").withColumn("share", F.col("n") / F.col("total")).where(F.col("share") >= LEAST_SHARE)
+    table = frequent.select("lang", "gram").toArrow()
+    gram = table["gram"].to_numpy()
     of = np.array(table["lang"].to_pylist(), object)
-    return build({lang: np.sort(gram[kept & (of == lang)]).astype(np.uint32) for lang in languages}, totals)
+    return build({lang: np.sort(gram[of == lang]).astype(np.uint32) for lang in languages}, totals)
 
 
 def build(known: dict[str, np.ndarray], amounts: dict[str, int] | None = None) -> Filters:
@@ -148,15 +147,15 @@ def build(known: dict[str, np.ndarray], amounts: dict[str, int] | None = None) -
     languages = sorted(known)
     largest = max([1, *(len(x) for x in known.values())])
     size = 1 << max(12, int(largest * 8).bit_length())
-    kind = next(k for bits, k in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(languages) <= bits)
-    masks = np.zeros(size, kind)
+    kind = next(k for bits, k in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if min(len(languages), MASK_BITS) <= bits)
+    masks = [np.zeros(size, kind) for _ in range(max(1, -(-len(languages) // MASK_BITS)))]
     rates = np.zeros(len(languages))
     for i, lang in enumerate(languages):
         own = np.zeros(size, bool)
         for slot in slots(known[lang], size):
             own[slot] = True
         rates[i] = own.mean() ** PROBES
-        masks[own] |= kind(1 << i)
+        masks[i // MASK_BITS][own] |= kind(1 << i % MASK_BITS)
     return Filters(languages, masks, rates, np.array([(amounts or {}).get(x, 0) for x in languages]))
 
 
@@ -174,16 +173,14 @@ def classify(piece: Piece, filters: Filters) -> tuple[list[str], np.ndarray]:
     if not many:
         return ["und"] * n, np.zeros(n)
     at, codes = grams(piece)
-    masks = filters.lookup(codes)
     row = np.searchsorted(piece.bounds, at, "right") - 1
     total = np.bincount(row, minlength=n)
-    kind = masks.dtype.type
-    named = np.zeros(len(masks), np.uint8)
-    for i in range(many):
-        named += (masks & kind(1 << i)) != 0
+    named = np.zeros(len(codes), np.uint16)
+    for held in filters.holders(codes):
+        named += held
     hits = np.zeros((n, many))
-    for i in range(many):
-        own = np.flatnonzero(masks & kind(1 << i))
+    for i, held in enumerate(filters.holders(codes)):
+        own = np.flatnonzero(held)
         hits[:, i] = np.bincount(row[own], weights=1.0 / named[own], minlength=n)
     # A false positive would add its weight at this rate to the n-grams outside the language.
     rate = filters.false_rate / (1 + (many - 1) * filters.false_rate.mean())

@@ -46,6 +46,8 @@ BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1_000_000
 #: Rows of a table that may be broadcast (three longs each); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Copies beyond which a class counts as a hot key.
+LEAST_HOT = 100
 
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
@@ -269,6 +271,36 @@ def _verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thres
     return out
 
 
+def _apart(forest: _Forest, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    good = forest.label[left] != forest.label[right]
+    return left[good], right[good]
+
+
+def _tree_groups(need: dict[int, int], threshold: float) -> Callable:
+    """As ``_tree_links`` for the groups alone: a pair that verified links have joined already is not compared.
+
+    The pairs come in portions, those of the first rows first: in a group of near copies the first row links most others,
+    and what is left to compare grows with the rows, not with the pairs.
+    """
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, ["tree", "i", "j"], 256):
+            lines, k = _lines(table["signature"]), np.array(table["k"])
+            sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+            across = (np.array(table["i"]) != np.array(table["j"]))[starts[:-1]]
+            forest = _Forest(len(table))
+            for left, right in _pairs(starts, np.array(table["side"]), across, most=len(table)):
+                left, right = _apart(forest, left, right)
+                if len(left):
+                    left, right = _survivors(lines, left, right, need)
+                    good = _verified(sets, left, right, threshold)
+                    forest.join(left[good], right[good])
+            a, b = forest.edges(k)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "n"])
+
+    return verify
+
+
 def _tree_links(need: dict[int, int], threshold: float) -> Callable:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["tree", "i", "j"], 256):
@@ -305,8 +337,11 @@ def _text_key(id_col: str, text_col: str) -> Column:
     return F.when(text.isNull(), F.xxhash64(id_col, F.lit(11))).otherwise(F.xxhash64(text))
 
 
-def _classes(documents: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, h, k) of all documents, their classes k, and the classes with links (k, root, n_links)."""
+def _classes(documents: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float, counted: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, h, k) of all documents, their classes k, and the classes with links (k, root, n_links).
+
+    If not ``counted``, the links are found as far as they join groups, and n_links is null.
+    """
     spark = documents.sparkSession
     need = least_matches(threshold, tolerance)
 
@@ -340,7 +375,7 @@ def _classes(documents: DataFrame, id_col: str, text_col: str, threshold: float,
     met = docs.join(F.broadcast(targets) if few else targets, same).select("tree", "parts", "k", "text")
     # A row that repeats an id and its text would verify itself again: one set per class.
     sets = met.mapInArrow(_with_sets, "tree long, parts long, k long, signature binary, shingles binary").dropDuplicates(["tree", "k"])
-    found = written(_in_blocks(sets, "tree").mapInArrow(_tree_links(need, threshold), "a long, b long, n long"), "links")
+    found = written(_in_blocks(sets, "tree").mapInArrow((_tree_links if counted else _tree_groups)(need, threshold), "a long, b long, n long"), "links")
 
     links = found.where("n is not null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("n_links"))
     roots = components(found.where("n is null").select("a", "b")).withColumnRenamed("node", "k")
@@ -359,8 +394,14 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     linked = linked.join(classes.select("k", "copy_of"), "k")
     least = linked.groupBy("root").agg(F.min("copy_of").alias("class_id"))
     linked = linked.join(least, "root").select("k", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    told = classes.join(linked, "k", "left")
-    return base.select("doc_id", "k").join(told, "k").select(
+    path = scratch_path(documents.sparkSession, "told")
+    classes.join(linked, "k", "left").write.parquet(path)
+    told = documents.sparkSession.read.parquet(path)
+    # Classes of many copies are hot keys; there are few of them, and they meet their documents without a shuffle.
+    many = F.col("n_copies") > max(LEAST_HOT, base.count() // BROADCAST_ROWS)
+    hot = base.select("doc_id", "k").join(F.broadcast(told.where(many)), "k", "left")
+    rest = hot.where("n_copies is null").select("doc_id", "k").join(told.where(~many), "k")
+    return hot.where("n_copies is not null").unionByName(rest).select(
         "doc_id",
         F.coalesce("class_id", "copy_of").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -376,7 +417,7 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the one of the smallest text hash, and of equal texts the one whose columns come first as JSON.
     """
     spark = documents.sparkSession
-    base, classes, linked = _classes(documents, id_col, text_col, threshold, tolerance)
+    base, classes, linked = _classes(documents, id_col, text_col, threshold, tolerance, counted=False)
 
     def few(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)

@@ -23,14 +23,18 @@ m AS (
   FROM d LEFT JOIN n USING (r) LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)),
 f AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    10 * n_symbols > word_chars AS symbols_failed, 2 * n_dup_lines > n_lines AS lines_failed FROM m),
+    10 * n_symbols > word_chars AS symbols_failed, 2 * n_dup_lines > n_lines AS lines_failed,
+    [n_words < 10 OR 100 * n_repeat_words > 15 * n_words, 15 * n_symbols > word_chars, 3 * n_dup_lines > n_lines] AS strict FROM m),
 hosts AS (SELECT source, count(*) AS n, unnest([sum(base_failed::INT), sum(symbols_failed::INT), sum(lines_failed::INT)]) AS k, unnest([1, 2, 3]) AS rule FROM f GROUP BY source),
 mo AS (SELECT rule, avg(k / n) AS mean, var_pop(k / n) AS var FROM hosts GROUP BY rule),
 st AS (SELECT *, CASE WHEN var > 0 THEN least(1000.0, greatest(2.0, mean * (1 - mean) / var - 1)) ELSE 1000.0 END AS strength FROM mo),
-bad AS (SELECT DISTINCT source FROM hosts JOIN st USING (rule) WHERE (k + strength * mean) / (n + strength) > 0.5)
+post AS (SELECT source, rule, mean, (k + strength * mean) / (n + strength) AS rate, n + strength + 1 AS weight FROM hosts JOIN st USING (rule)),
+bad AS (SELECT DISTINCT source FROM post WHERE rate > 0.5),
+doubted AS (SELECT source, list(rule) AS rules FROM post WHERE rate - mean > sqrt(rate * (1 - rate) / weight) GROUP BY source)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-  NOT (base_failed OR symbols_failed OR lines_failed OR EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source)) AS kept
+  NOT (base_failed OR symbols_failed OR lines_failed OR EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source)
+    OR EXISTS (SELECT 1 FROM doubted d, unnest(d.rules) r(rule) WHERE d.source IS NOT DISTINCT FROM f.source AND strict[rule])) AS kept
 FROM f
 """
 

@@ -10,13 +10,16 @@ Each match counts with its term's weight, less for each edit. Windows around the
 abuse from quotation: matches within quotation marks, and matches close to others, are
 features of their own. A logistic model on these features gives the score.
 
-Labelled rows are taken for learning in the order of a hash of their id, ``MOST_LABELLED`` at most:
-half of them teach the lexicon, the other half the model, so that no weight is fitted on the rows
-that chose the terms. Scores read the text alone.
+Labelled rows are taken for learning in the order of a hash of their id, ``MOST_LABELLED`` at most, toxic ones up to
+half of that bound before clean ones are taken: rare toxic labels all teach, and the model's bias is corrected for
+their true share. The lexicon is made of all these rows; for the weights, either half of them is measured
+with the terms of the other half, so that no weight is fitted on the rows that chose the terms. The lexicon is
+bounded by its terms' lift alone. Scores read the text alone.
 
 Defined results: a null or empty text has no match and gets the score of such texts; without a toxic
 or without a clean label all scores are 0; a null label teaches nothing; an id with several labels is
-toxic if one is; repeated rows are scored each time; other columns are never read.
+toxic if one is, and one of its texts, that of the smallest hash, teaches; terms of equal worth are taken in alphabetical
+order; repeated rows are scored each time; other columns are never read.
 """
 
 from __future__ import annotations
@@ -26,22 +29,22 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cohortloom.llm.textbytes import Piece, pieces
-from cohortloom.session import scratch_path
+from cohortloom.session import cut_lineage, scratch_path
 
 MOST_LABELLED = 20_000
-MOST_TERMS = 500
-MOST_CANDIDATES = 100_000
 #: A term needs so many toxic texts and contexts, and to be so many times as frequent in them.
-LEAST_TEXTS = 5
+LEAST_TEXTS = 3
 LEAST_LIFT = 20.0
+#: What chance may not exceed: that a term as frequent as in clean texts is in so many toxic ones.
+MOST_CHANCE = 1e-6
 STEM_LENGTHS = range(4, 10)
 WINDOW_WORDS = 8
 FEATURES = 7
@@ -289,39 +292,44 @@ def _terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEM_LENGTHS if n < len(word))]
 
 
+def _counted(counts: Counter) -> pa.RecordBatch:
+    columns = [pa.array([t for t, _ in counts], pa.string()), pa.array([h for _, h in counts], pa.int32()), pa.array(counts.values(), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["term", "half", "n"])
+
+
 def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, n): texts that hold the term; partial sums."""
+    """(term, half, n): texts that hold the term; partial sums."""
     counts: Counter = Counter()
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update({t for w in set(_WORD.findall((text.as_py() or "").lower())) for t in _terms_of(w)})
+        for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True):
+            counts.update({(t, half) for w in set(_WORD.findall((text.as_py() or "").lower())) for t in _terms_of(w)})
             if len(counts) > MOST_HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
+                yield _counted(counts)
                 counts = Counter()
-    yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
+    yield _counted(counts)
 
 
-def _evidence_rows(found: list[tuple[str, int | None]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64())], ["term", "context"])
+def _evidence_rows(found: list[tuple[str, int, int | None]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.int32(), pa.int64()))], ["term", "half", "context"])
 
 
 def _evidence(known) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(term, context) of toxic texts; (term, null) for each clean text that holds the term."""
+        """(term, half, context) of toxic texts; (term, half, null) for each clean text that holds the term."""
         terms = known.value
         for batch in batches:
-            out: list[tuple[str, int | None]] = []
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+            out: list[tuple[str, int, int | None]] = []
+            for text, toxic, half in zip(batch.column("text"), batch.column("toxic").to_pylist(), batch.column("half").to_pylist(), strict=True):
                 if len(out) > MOST_HELD:
                     yield _evidence_rows(out)
                     out = []
                 words = _WORD.findall((text.as_py() or "").lower())
                 if not toxic:
-                    out += [(t, None) for t in {t for w in set(words) for t in _terms_of(w) if t in terms}]
+                    out += [(t, half, None) for t in {t for w in set(words) for t in _terms_of(w) if t in terms}]
                     continue
                 around = ["", *words, ""]
                 seen = {(t, (around[i], w, around[i + 2])) for i, w in enumerate(words) for t in _terms_of(w) if t in terms}
-                out += [(t, _stable(c)) for t, c in seen]
+                out += [(t, half, _stable(c)) for t, c in seen]
             if out:
                 yield _evidence_rows(out)
 
@@ -332,25 +340,47 @@ def _stable(context: tuple[str, ...]) -> int:
     return xxhash.xxh64_intdigest(" ".join(context)) >> 1
 
 
-def _lexicon(sample: DataFrame) -> list[Term]:
-    """The terms that tell toxic from clean texts of a bounded sample (text, toxic)."""
+def _least(toxic: int, clean: int) -> float:
+    """Texts that a term needs to reach the lift if no clean text holds it."""
+    return max(LEAST_TEXTS, LEAST_LIFT * 0.5 * (toxic + 1) / (clean + 1) - 0.5)
+
+
+def _lexicons(sample: DataFrame) -> list[list[Term]]:
+    """The terms that tell toxic from clean texts in the halves 0 and 1 of a bounded sample (text, toxic, half), and in all of it."""
     spark = sample.sparkSession
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    sizes = Counter({(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", "half").agg(F.count(F.lit(1)).alias("n")).collect()})
+    toxic, clean = ([sizes[k, 0], sizes[k, 1], sizes[k, 0] + sizes[k, 1]] for k in (1, 0))
+    if not toxic[2] or not clean[2]:
+        return [[], [], []]
+    counts = sample.where("toxic = 1").select("text", "half").mapInArrow(_toxic_terms, "term string, half int, n long")
+    halves = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
+    counts = counts.groupBy("term").agg(*halves, F.sum("n").alias("n2"))
+    able = [F.col(f"n{i}") >= _least(toxic[i], clean[i]) for i in range(3) if toxic[i] and clean[i]]
+    held = {r["term"]: (r["n0"], r["n1"], r["n2"]) for r in counts.where(reduce(Column.__or__, able)).collect()}
+    known = spark.sparkContext.broadcast(set(held))
+    rows = sample.select("text", "toxic", "half").mapInArrow(_evidence(known), "term string, half int, context long")
+    columns = []
+    for i in range(3):
+        own = F.lit(True) if i == 2 else F.col("half") == i
+        columns.append(F.approx_count_distinct(F.when(own, F.col("context")), 0.02).alias(f"contexts{i}"))
+        columns.append(F.count_if(own & F.col("context").isNull()).alias(f"clean{i}"))
+    found = rows.groupBy("term").agg(*columns).collect()
+    return [_choose({r["term"]: (min(r[f"contexts{i}"], held[r["term"]][i]), r[f"clean{i}"]) for r in found}, toxic[i], clean[i]) for i in range(3)]
+
+
+def _chance(n: int, mean: float) -> float:
+    """A bound on the probability that a Poisson number of this mean reaches ``n`` (above the mean)."""
+    return math.exp(n - mean + n * math.log(mean / n)) if n > mean else 1.0
+
+
+def _choose(found: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[Term]:
+    """Terms by (toxic contexts, clean texts), those that tell most first."""
     if not toxic or not clean:
         return []
-    counts = sample.where("toxic = 1").select("text").mapInArrow(_toxic_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    candidates = counts.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "term").limit(MOST_CANDIDATES).collect()
-    known = spark.sparkContext.broadcast({r["term"] for r in candidates})
-    found = sample.mapInArrow(_evidence(known), "term string, context long").groupBy("term").agg(
-        F.approx_count_distinct("context", 0.02).alias("contexts"), F.count(F.when(F.col("context").isNull(), 1)).alias("clean")
-    )
-    held = {r["term"]: r["n"] for r in candidates}
     scored, texts = [], {}
-    for r in found.where(F.col("contexts") >= LEAST_TEXTS).collect():
-        term, n = r["term"], min(r["contexts"], held[r["term"]])
-        weight = math.log((n + 0.5) / (toxic + 1)) - math.log((r["clean"] + 0.5) / (clean + 1))
-        if n >= LEAST_TEXTS and weight >= math.log(LEAST_LIFT):
+    for term, (n, innocent) in found.items():
+        weight = math.log((n + 0.5) / (toxic + 1)) - math.log((innocent + 0.5) / (clean + 1))
+        if n >= LEAST_TEXTS and weight >= math.log(LEAST_LIFT) and _chance(n, toxic * (innocent + 0.5) / (clean + 1)) <= MOST_CHANCE:
             scored.append((n * weight, term, weight))
             texts[term] = n
     # A stem gives way to a longer term that has nearly all of its texts.
@@ -361,66 +391,99 @@ def _lexicon(sample: DataFrame) -> list[Term]:
             most[text[:n]] = max(most.get(text[:n], 0), texts[term])
     scored = [x for x in scored if not x[1].endswith("*") or most.get(x[1][:-1], 0) < 0.9 * texts[x[1]]]
     chosen: list[Term] = []
+    stems: set[str] = set()
     for _, term, weight in sorted(scored, key=lambda x: (-x[0], x[1])):
         text, stem = term.rstrip("*"), term.endswith("*")
-        if len(text) >= 3 and not any(t.stem and text.startswith(t.text) for t in chosen):
+        if len(text) >= 3 and not any(text[:n] in stems for n in range(1, len(text) + 1)):
             chosen.append(Term(text, stem, min(weight, 8.0)))
-        if len(chosen) == MOST_TERMS:
-            break
+            if stem:
+                stems.add(text)
     return chosen
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> Model:
-    """Logistic regression by Newton steps with a ridge."""
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 200) -> Model:
+    """Logistic regression with a ridge, by Newton steps that are halved until the loss falls, up to a flat gradient."""
     mean, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
     w[-1] = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
-    penalty = np.diag([ridge] * x.shape[1] + [1e-6])
+    penalty = np.array([ridge] * x.shape[1] + [1e-9])
+
+    def loss(w: np.ndarray) -> float:
+        s = z @ w
+        return float(np.logaddexp(0, s).sum() - y @ s + 0.5 * penalty @ (w * w))
+
+    now = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        slope = z.T @ (p - y) + penalty @ w * (np.arange(len(w)) < len(w) - 1)
-        step = np.linalg.solve(z.T * (p * (1 - p) + 1e-9) @ z + penalty, slope)
-        w -= step / max(1.0, np.abs(step).max() / 2)
-        if np.abs(step).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        slope = z.T @ (p - y) + penalty * w
+        if np.abs(slope).max() < 1e-7 * len(y):
             break
+        step = np.linalg.solve(z.T * (p * (1 - p)) @ z + np.diag(penalty + 1e-9), slope)
+        rate, gain = 1.0, slope @ step
+        while (after := loss(w - rate * step)) > now - 1e-4 * rate * gain and rate > 1e-12:
+            rate /= 2
+        if after >= now:
+            break
+        w, now = w - rate * step, after
     return Model(weights=w[:-1], bias=float(w[-1]), mean=mean, scale=scale)
 
 
+def _drawn(named: DataFrame, most: int) -> tuple[DataFrame, float]:
+    """At most ``most`` labels, those of the smallest hashes of each kind, and how much the toxic ones' odds rose by that."""
+    drawn = F.pmod(F.xxhash64("_id"), F.lit(1 << 40))
+    total = {r["toxic"]: r["n"] for r in named.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = total.get(1, 0), total.get(0, 0)
+    take = {1: min(toxic, max(most // 2, most - clean))}
+    take[0] = min(clean, most - take[1])
+    parts = []
+    for kind, n in take.items():
+        own = named.where(F.col("toxic") == kind)
+        if total.get(kind, 0) > n:
+            # A bound on the hash first, so that no task sees many more than are taken.
+            own = own.where(drawn < int((1 << 40) * min(1.0, (1.1 * n + 100) / total[kind])))
+        parts.append(own.orderBy(drawn, "_id").limit(n))
+    if not toxic or not clean or not take[0] or not take[1]:
+        return parts[0].unionByName(parts[1]), 0.0
+    return parts[0].unionByName(parts[1]), math.log(take[1] / take[0]) - math.log(toxic / clean)
+
+
 def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labelled: int = MOST_LABELLED) -> Model:
-    """Lexicon and weights from at most ``most_labelled`` of the given labels."""
+    """Lexicon and weights from at most ``most_labelled`` of the given labels, one text to each."""
     spark = documents.sparkSession
     named = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).where("_id is not null and toxic is not null")
     named = named.groupBy("_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    # The smallest hashes: a bound on the hash first, so that no task sees many more than are taken.
-    drawn = F.pmod(F.xxhash64("_id"), F.lit(1 << 40))
-    total = named.count()
-    if total > most_labelled:
-        named = named.where(drawn < int((1 << 40) * min(1.0, 1.1 * most_labelled / total + 100 / total)))
-    taken = named.orderBy(drawn, "_id").limit(most_labelled)
+    taken, raised = _drawn(named, most_labelled)
+    taken = cut_lineage(taken)
     path = scratch_path(spark, "labelled")
-    joined = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(taken), F.col("doc_id") == F.col("_id"))
-    joined.select("text", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0).alias("chooses")).repartition(16).write.parquet(path)
+    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    joined = texts.join(F.broadcast(taken), "_id").groupBy("_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    joined.select("text", "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).cast("int").alias("half")).write.parquet(path)
     sample = spark.read.parquet(path)
-    terms = _lexicon(sample.where("chooses").select("text", "toxic"))
+    one, two, terms = _lexicons(sample)
     if not terms:
         return Model()
-    shared = spark.sparkContext.broadcast(terms)
+    shared = spark.sparkContext.broadcast((two, one))  # each half is measured by the other half's terms
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value)
+        automata = [Automaton(t) if t else None for t in shared.value]
         for batch in batches:
-            for piece in pieces(batch.column("text")):
-                found = features(piece, automaton)
-                arrays = [batch.column("toxic").slice(piece.first, len(piece)), pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), FEATURES).cast(pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["toxic", "x"])
+            halves = np.array(batch.column("half"))
+            for half, automaton in enumerate(automata):
+                own = batch.take(pa.array(np.flatnonzero(halves == half)))
+                if automaton is None or not own.num_rows:
+                    continue
+                for piece in pieces(own.column("text")):
+                    found = features(piece, automaton)
+                    arrays = [own.column("toxic").slice(piece.first, len(piece)), pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), FEATURES).cast(pa.list_(pa.float64()))]
+                    yield pa.RecordBatch.from_arrays(arrays, ["toxic", "x"])
 
-    rows = sample.where("not chooses").select("text", "toxic").mapInArrow(measure, "toxic int, x array<double>").collect()
+    rows = sample.mapInArrow(measure, "toxic int, x array<double>").collect()
     y = np.array([r["toxic"] for r in rows], float)
     if not 0 < y.sum() < len(y):
         return Model()
-    model = _fit(np.array([r["x"] for r in rows]), y)
-    model.terms = terms
+    model = fit(np.array([r["x"] for r in rows]), y)
+    model.terms, model.bias = terms, model.bias - raised
     return model
 
 
