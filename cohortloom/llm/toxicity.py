@@ -297,41 +297,51 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["term", "half", "n"])
 
 
-def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, half, n): texts that hold the term; partial sums."""
-    counts: Counter = Counter()
-    for batch in batches:
-        for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True):
-            counts.update({(t, half) for w in set(_WORD.findall((text.as_py() or "").lower())) for t in _terms_of(w)})
-            if len(counts) > MOST_HELD:
-                yield _counted(counts)
-                counts = Counter()
-    yield _counted(counts)
+def _words(text: pa.Scalar) -> list[str]:
+    return _WORD.findall((text.as_py() or "").lower())
 
 
-def _evidence_rows(found: list[tuple[str, int, int | None]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.int32(), pa.int64()))], ["term", "half", "context"])
+class _Known:
+    """The terms of a word, only those of a set if one is given; words are remembered up to a bound."""
 
+    def __init__(self, terms: set[str] | None):
+        self.terms, self.kept = terms, {}
 
-def _evidence(known) -> Callable:
+    def __call__(self, word: str) -> list[str]:
+        found = self.kept.get(word)
+        if found is None:
+            if len(self.kept) > MOST_HELD:
+                self.kept.clear()
+            found = self.kept[word] = [t for t in _terms_of(word) if self.terms is None or t in self.terms]
+        return found
+
+
+def _texts_with(shared) -> Callable:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(term, half, n): texts that hold the term; partial sums."""
+        of, counts = _Known(shared and shared.value), Counter()
+        for batch in batches:
+            for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True):
+                counts.update({(t, half) for w in set(_words(text)) for t in of(w)})
+                if len(counts) > MOST_HELD:
+                    yield _counted(counts)
+                    counts = Counter()
+        yield _counted(counts)
+
+    return count
+
+
+def _contexts(shared) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(term, half, context) of toxic texts; (term, half, null) for each clean text that holds the term."""
-        terms = known.value
+        """(term, half, context): the word with its neighbours, once in a batch."""
+        of = _Known(shared.value)
         for batch in batches:
-            out: list[tuple[str, int, int | None]] = []
-            for text, toxic, half in zip(batch.column("text"), batch.column("toxic").to_pylist(), batch.column("half").to_pylist(), strict=True):
-                if len(out) > MOST_HELD:
-                    yield _evidence_rows(out)
-                    out = []
-                words = _WORD.findall((text.as_py() or "").lower())
-                if not toxic:
-                    out += [(t, half, None) for t in {t for w in set(words) for t in _terms_of(w) if t in terms}]
-                    continue
-                around = ["", *words, ""]
-                seen = {(t, (around[i], w, around[i + 2])) for i, w in enumerate(words) for t in _terms_of(w) if t in terms}
-                out += [(t, half, _stable(c)) for t, c in seen]
-            if out:
-                yield _evidence_rows(out)
+            out: set[tuple[str, int, int]] = set()
+            for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True):
+                around = ["", *_words(text), ""]
+                out |= {(t, half, _stable(tuple(around[i : i + 3]))) for i, w in enumerate(around[1:-1]) for t in of(w)}
+            rows = list(out)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int32(), pa.int64()))], ["term", "half", "context"])
 
     return find
 
@@ -340,32 +350,47 @@ def _stable(context: tuple[str, ...]) -> int:
     return xxhash.xxh64_intdigest(" ".join(context)) >> 1
 
 
-def _least(toxic: int, clean: int) -> float:
-    """Texts that a term needs to reach the lift if no clean text holds it."""
-    return max(LEAST_TEXTS, LEAST_LIFT * 0.5 * (toxic + 1) / (clean + 1) - 0.5)
+def _tells(n: int, innocent: int, toxic: int, clean: int) -> bool:
+    """Whether a term with so many toxic contexts and clean texts, of so many texts of either kind, is one of the lexicon."""
+    if n < LEAST_TEXTS or not toxic or not clean:
+        return False
+    rate = (innocent + 0.5) / (clean + 1)
+    return (n + 0.5) / (toxic + 1) >= LEAST_LIFT * rate and _chance(n, toxic * rate) <= MOST_CHANCE
+
+
+def _least(toxic: int, clean: int) -> int:
+    """Texts that a term needs if no clean text holds it."""
+    return next((n for n in range(LEAST_TEXTS, toxic + 1) if _tells(n, 0, toxic, clean)), toxic + 1)
+
+
+def _per_half(sample: DataFrame, count: Callable) -> DataFrame:
+    """(term, n0, n1, n2): texts that hold the term, in either half and in both."""
+    counts = sample.select("text", "half").mapInArrow(count, "term string, half int, n long")
+    halves = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
+    return counts.groupBy("term").agg(*halves, F.sum("n").alias("n2"))
 
 
 def _lexicons(sample: DataFrame) -> list[list[Term]]:
-    """The terms that tell toxic from clean texts in the halves 0 and 1 of a bounded sample (text, toxic, half), and in all of it."""
-    spark = sample.sparkSession
+    """The terms that tell toxic from clean texts in the halves 0 and 1 of a bounded sample (text, toxic, half), and in all of it.
+
+    Terms that could not be among them with every toxic text a context of its own go before contexts are told apart.
+    """
+    context = sample.sparkSession.sparkContext
     sizes = Counter({(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", "half").agg(F.count(F.lit(1)).alias("n")).collect()})
     toxic, clean = ([sizes[k, 0], sizes[k, 1], sizes[k, 0] + sizes[k, 1]] for k in (1, 0))
     if not toxic[2] or not clean[2]:
         return [[], [], []]
-    counts = sample.where("toxic = 1").select("text", "half").mapInArrow(_toxic_terms, "term string, half int, n long")
-    halves = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
-    counts = counts.groupBy("term").agg(*halves, F.sum("n").alias("n2"))
-    able = [F.col(f"n{i}") >= _least(toxic[i], clean[i]) for i in range(3) if toxic[i] and clean[i]]
-    held = {r["term"]: (r["n0"], r["n1"], r["n2"]) for r in counts.where(reduce(Column.__or__, able)).collect()}
-    known = spark.sparkContext.broadcast(set(held))
-    rows = sample.select("text", "toxic", "half").mapInArrow(_evidence(known), "term string, half int, context long")
-    columns = []
-    for i in range(3):
-        own = F.lit(True) if i == 2 else F.col("half") == i
-        columns.append(F.approx_count_distinct(F.when(own, F.col("context")), 0.02).alias(f"contexts{i}"))
-        columns.append(F.count_if(own & F.col("context").isNull()).alias(f"clean{i}"))
-    found = rows.groupBy("term").agg(*columns).collect()
-    return [_choose({r["term"]: (min(r[f"contexts{i}"], held[r["term"]][i]), r[f"clean{i}"]) for r in found}, toxic[i], clean[i]) for i in range(3)]
+    bad, good = sample.where("toxic = 1"), sample.where("toxic = 0")
+    able = [F.col(f"n{i}") >= _least(toxic[i], clean[i]) for i in range(3)]
+    held = {r["term"]: (r["n0"], r["n1"], r["n2"]) for r in _per_half(bad, _texts_with(None)).where(reduce(Column.__or__, able)).collect()}
+    counts = _per_half(good, _texts_with(context.broadcast(set(held))))
+    innocent = {r["term"]: (r["n0"], r["n1"], r["n2"]) for r in counts.collect()}
+    none = (0, 0, 0)
+    able = {t for t, n in held.items() if any(_tells(n[i], innocent.get(t, none)[i], toxic[i], clean[i]) for i in range(3))}
+    rows = bad.select("text", "half").mapInArrow(_contexts(context.broadcast(able)), "term string, half int, context long")
+    halves = [F.count_distinct(F.when(F.col("half") == h, F.col("context"))).alias(f"c{h}") for h in (0, 1)]
+    found = rows.groupBy("term").agg(*halves, F.count_distinct("context").alias("c2")).collect()
+    return [_choose({r["term"]: (min(r[f"c{i}"], held[r["term"]][i]), innocent.get(r["term"], none)[i]) for r in found}, toxic[i], clean[i]) for i in range(3)]
 
 
 def _chance(n: int, mean: float) -> float:
@@ -375,12 +400,10 @@ def _chance(n: int, mean: float) -> float:
 
 def _choose(found: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[Term]:
     """Terms by (toxic contexts, clean texts), those that tell most first."""
-    if not toxic or not clean:
-        return []
     scored, texts = [], {}
     for term, (n, innocent) in found.items():
-        weight = math.log((n + 0.5) / (toxic + 1)) - math.log((innocent + 0.5) / (clean + 1))
-        if n >= LEAST_TEXTS and weight >= math.log(LEAST_LIFT) and _chance(n, toxic * (innocent + 0.5) / (clean + 1)) <= MOST_CHANCE:
+        if _tells(n, innocent, toxic, clean):
+            weight = math.log((n + 0.5) / (toxic + 1)) - math.log((innocent + 0.5) / (clean + 1))
             scored.append((n * weight, term, weight))
             texts[term] = n
     # A stem gives way to a longer term that has nearly all of its texts.
