@@ -1,4 +1,4 @@
-"""Consistency, completeness and column-profile reports."""
+"""Consistency and completeness reports, running sums and exact quantiles."""
 
 from __future__ import annotations
 
@@ -65,59 +65,3 @@ def exact_quantiles(counts: DataFrame, group: str, value: str, n: str, levels: S
         (F.col("upto") >= F.col("w.at")) & (F.col("upto") - F.col(n) < F.col("w.at"))
     )
     return crossed.select(group, F.col("w.level").alias("level"), value)
-
-
-# Fixed quantile levels of the profile report.
-PROFILE_LEVELS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
-
-
-def column_profile(df: DataFrame, ends: int = 5) -> DataFrame:
-    """One row per column: position, name, type, blank, valid and distinct counts; for numbers mean,
-    population deviation, min, quantiles and max; for text the most frequent values ("top") and the
-    least frequent ("bottom") as text.
-
-    Columns are unpivoted and reduced to (column, value, count), which is checkpointed: the table is
-    scanned once and everything after that works on distinct values.
-    """
-    names = df.columns
-    types = dict(df.dtypes)
-    numeric = [c for c in names if types[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or types[c].startswith("decimal")]
-    long = df.select([F.col(c).cast("string").alias(c) for c in names]).unpivot([], list(names), "column_name", "value")
-    blank = F.col("value").isNull() | (F.trim("value") == "")
-    counts = cut_lineage(long.groupBy("column_name", "value").agg(F.count("*").alias("n")))
-    basic = counts.groupBy("column_name").agg(
-        F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("blank_cnt"),
-        F.coalesce(F.sum(F.when(~blank, F.col("n"))), F.lit(0)).alias("valid_cnt"),
-        F.count_if(~blank).alias("distinct_cnt"),
-    )
-    out = basic
-    filled = counts.where(~blank)
-    if numeric:
-        numbers = filled.where(F.col("column_name").isin(numeric)).select("column_name", F.col("value").cast("double").alias("value"), "n")
-        mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
-        moments = numbers.groupBy("column_name").agg(
-            mean.alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"), F.sum("n").alias("_n")
-        )
-        # Second pass around the mean: the sum of squares alone loses the small deviations.
-        centred = numbers.join(moments.select("column_name", "mean"), "column_name")
-        spread = centred.groupBy("column_name").agg(
-            F.sqrt(F.sum(F.pow(F.col("value") - F.col("mean"), 2) * F.col("n")) / F.sum("n")).alias("stddev")
-        )
-        quantiles = exact_quantiles(numbers, "column_name", "value", "n", PROFILE_LEVELS)
-        wide = quantiles.groupBy("column_name").agg(
-            *[F.max(F.when(F.col("level") == p, F.col("value"))).alias(f"p{round(p * 100)}") for p in PROFILE_LEVELS]
-        )
-        for part in (moments.drop("_n"), spread, wide):
-            out = out.join(part, "column_name", "left")
-    texts = filled.where(~F.col("column_name").isin(numeric)) if numeric else filled
-    for name, order in (("top_values", F.desc("n")), ("bottom_values", F.asc("n"))):
-        best = top_k_per_group(texts, ["column_name"], [order, F.asc("value")], ends)
-        parts = F.sort_array(F.collect_list(F.struct("rn", "value", "n")))
-        text = F.array_join(F.transform(parts, lambda p: F.concat_ws(":", p["value"], p["n"].cast("string"))), ",")
-        out = out.join(best.groupBy("column_name").agg(text.alias(name)), "column_name", "left")
-    position = F.lit(None).cast("int")
-    kind = F.lit(None).cast("string")
-    for i, c in enumerate(names):
-        position = F.when(F.col("column_name") == c, i + 1).otherwise(position)
-        kind = F.when(F.col("column_name") == c, F.lit(types[c])).otherwise(kind)
-    return out.select(position.alias("column_index"), "column_name", kind.alias("column_type"), *[c for c in out.columns if c != "column_name"])

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from cohortloom.operators import checks, mapping
+from cohortloom.operators import checks, mapping, profile
 from cohortloom.plans import fixtures
 from cohortloom.plans.registry import query
 from cohortloom.session import scratch_path
@@ -222,7 +222,7 @@ def _profile_sql():
             numbers = ", ".join(["NULL::DOUBLE"] * 11)
             parts.append(f"{head}, {numbers}, {ends[0]}, {ends[1]} FROM {ORDERS_TEXT}")
         else:
-            levels = ", ".join(f"CAST(quantile_disc({name}, {p}) AS DOUBLE) AS p{round(p * 100)}" for p in checks.PROFILE_LEVELS)
+            levels = ", ".join(f"CAST(quantile_disc({name}, {p}) AS DOUBLE) AS p{round(p * 100)}" for p in profile.PROFILE_LEVELS)
             parts.append(
                 f"{head}, round(avg({name}), 6) AS mean, CAST(min({name}) AS DOUBLE) AS min, CAST(max({name}) AS DOUBLE) AS max, round(stddev_pop({name}), 6) AS stddev, {levels},"
                 f" NULL::VARCHAR AS top_values, NULL::VARCHAR AS bottom_values FROM {ORDERS_TEXT}"
@@ -232,7 +232,7 @@ def _profile_sql():
 
 @query("column_profile", "A47", _profile_sql())
 def column_profile(t):
-    report = checks.column_profile(t.orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).select(*PROFILED))
+    report = profile.column_profile(t.orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).select(*PROFILED))
     return report.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
 
 
