@@ -158,9 +158,10 @@ def column_profile(df: DataFrame, ends: int = 5, levels: Sequence[float] = PROFI
 
     # As many summaries as slices and columns together.
     moments, ranks = _whole_columns(sliced.where(F.col("kind") == SUMMARY).select("col", "slice", "n", "texts", "mean", "squares").collect(), levels)
+    # One row per level and column.
     wanted = spark.createDataFrame(ranks, "col int, slice int, level double, at long").withColumn("kind", F.lit(RANKED))
     crossed = (F.col("upto") >= F.col("at")) & (F.col("upto") - F.col("n") < F.col("at"))
-    found = sliced.join(wanted, ["col", "slice", "kind"], "left").where((F.col("kind") != RANKED) | crossed)
+    found = sliced.join(F.broadcast(wanted), ["col", "slice", "kind"], "left").where((F.col("kind") != RANKED) | crossed)
 
     def summed(name):
         return F.sum(F.when(F.col("kind") == SUMMARY, F.col(name)))

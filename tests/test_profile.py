@@ -65,7 +65,7 @@ def test_a_hot_value_and_one_shuffle_after_the_stored_slices(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("x"))
     report = profile.column_profile(df)
     row = report.first()
-    assert (row["valid_cnt"], row["distinct_cnt"]) == (3000, 2001)
+    assert (row["valid_cnt"], row["distinct_cnt"]) == (3000, 2000)
     values = sorted([5] * 1000 + [i for i in range(3000) if i % 3])
     assert row["p50"] == values[1499]
     report.collect()
