@@ -7,9 +7,9 @@ group in the corpus with a spelling model, which runs backwards from those two b
 the spelling model is the share of words seen once (Good-Turing). So every text has a probability
 and the probabilities of all texts add up to one.
 
-Spark does the rest: words are counted over all training documents; tasks train on their own
-documents from common weights, and the weights are averaged by a sum over tasks, ``ROUNDS`` times
-on disjoint parts that together are all training documents. In scoring, the counts of the
+Spark does the rest: words are counted over all training documents, which a hash deals over pieces of
+bounded size. Each piece is learned from common weights, and the weights are averaged, ``ROUNDS`` times
+on disjoint pieces that together are all training documents; the table's partitions play no part. In scoring, the counts of the
 ``MOST_HOT`` most frequent words go to the tasks, and the counts of all others are joined.
 
 Defined results: a null or empty text is an end alone; repeated rows are scored each time; without
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,15 @@ PAIR_GROUPS = 63
 FIRST_WORD = 2 + PAIR_GROUPS
 MOST_HOT = 200_000
 ROUNDS = 2
-#: Units of text that a task trains on, or scores, at once.
+#: Units of text that a task scores at once.
 BATCH_UNITS = 3_000_000
+#: Units that one training piece is meant to hold, whatever the table's partitions, and tasks of a round at most.
+PIECE_UNITS = 2_500_000
+MOST_TASKS = 20_000
+#: Weights are summed as whole multiples of its inverse, which a sum in any order leaves the same.
+STEPS_OF_ONE = 1 << 24
+UNIT_KIND = np.dtype("<i2")
+ENCODED = ["key", "units", "cell", "n"]
 BLANK = 0x20
 #: Spelling: a byte's low six bits, given the low five of the three bytes that follow; then its high two bits,
 #: given the low six and the next byte. The counts of both are kept in one array.
@@ -224,41 +232,104 @@ def _batches(batches: Iterator[pa.RecordBatch], known: Vocabulary, note) -> Iter
         yield held
 
 
+def _encoded(documents: DataFrame, known: Vocabulary, part: Column) -> DataFrame:
+    """A stored table of all documents as units (key, units), and of spelling counts (cell, n)."""
+    shared = documents.sparkSession.sparkContext.broadcast(known)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        events = np.zeros(SPELLINGS, np.int64)
+        for batch in batches:
+            for piece in pieces(batch.column("text")):
+                t = tokens_of(piece)
+                _, words = known.look(t.hashes)
+                outside = np.flatnonzero(words < 0)
+                cells = spelling_events(t, outside)
+                n = np.maximum(t.ends[t.example[outside]] - t.starts[t.example[outside]] - 1, 0)
+                np.add.at(events, np.concatenate(cells), np.tile(np.repeat(t.times[outside], n), 2))
+                units = np.ascontiguousarray(known.units(t, words), UNIT_KIND)
+                edge = (np.searchsorted(t.rows, np.arange(len(piece) + 1)) * units.itemsize).astype(np.int32)
+                found = pa.Array.from_buffers(pa.binary(), len(piece), [None, pa.py_buffer(edge), pa.py_buffer(units)])
+                keys = batch.column("key").slice(piece.first, len(piece))
+                yield pa.RecordBatch.from_arrays([keys, found, pa.nulls(len(piece), pa.int32()), pa.nulls(len(piece), pa.int64())], ENCODED)
+        seen = np.flatnonzero(events)
+        if len(seen):
+            none = [pa.nulls(len(seen), pa.int64()), pa.nulls(len(seen), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(seen, pa.int32()), pa.array(events[seen])], ENCODED)
+
+    path = scratch_path(documents.sparkSession, "units")
+    keyed = documents.select(F.xxhash64(part, "text").alias("key"), "text")
+    keyed.mapInArrow(encode, "key long, units binary, cell int, n long").write.parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
+def _dealt(encoded: DataFrame, most: int) -> DataFrame:
+    """Rows (piece, key, again, units): every document's piece of ``most`` follows from what it holds alone. Rows that
+    are alike in id and text are numbered, so that however many they are they spread over the pieces."""
+    texts = encoded.where("units is not null").select("key", "units")
+    path = scratch_path(encoded.sparkSession, "repeats")
+    texts.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").write.parquet(path)
+    repeats = encoded.sparkSession.read.parquet(path)
+    dealt = texts.withColumn("again", F.lit(0).cast("long"))
+    if not repeats.isEmpty():
+        single = dealt.join(repeats, "key", "left_anti")
+        alike = texts.join(repeats, "key", "left_semi").groupBy("key").agg(F.first("units").alias("units")).join(repeats, "key")
+        dealt = single.unionByName(alike.select("key", "units", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("again")))
+    return dealt.withColumn("piece", F.pmod(F.xxhash64("key", "again"), F.lit(most)).cast("int"))
+
+
+def _learned(start, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the weights, as whole multiples of 1 / ``STEPS_OF_ONE``, times the units that each piece of a task met."""
+    total = np.zeros(recurrent.SIZE + 1, np.int64)
+
+    def learn(held: list[np.ndarray]) -> None:
+        trainer = recurrent.Trainer(start.value)
+        trainer.learn(held)
+        total[:-1] += np.rint(trainer.flat.astype(float) * STEPS_OF_ONE).astype(np.int64) * trainer.tokens
+        total[-1] += trainer.tokens
+
+    held: list[np.ndarray] = []
+    now = None
+    for batch in batches:
+        for piece, units in zip(batch.column("piece").to_pylist(), batch.column("units"), strict=True):
+            if piece != now and held:
+                learn(held)
+                held = []
+            now = piece
+            held.append(np.frombuffer(units.as_buffer(), UNIT_KIND))
+    if held:
+        learn(held)
+    if total[-1]:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "x"])
+
+
 def train(documents: DataFrame, known: Vocabulary, part: Column, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Averaged weights, and spelling counts, from all given documents; ``part`` deals them over the rounds."""
+    """Averaged weights, and spelling counts, from all given documents.
+
+    ``part`` (with the text) deals the documents over pieces of about ``PIECE_UNITS`` units, and the pieces over the rounds.
+    Each piece is learned for itself, in the order of its keys, from the weights of the round before, and the average is
+    taken of whole numbers: the weights do not depend on how the table is partitioned.
+    """
     context = documents.sparkSession.sparkContext
-    shared = context.broadcast(known)
-    flat = recurrent.initial(known.unit_counts)
+    encoded = _encoded(documents, known, part)
     spelling = np.zeros(SPELLINGS, np.int64)
+    cells = encoded.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    spelling[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+
+    each = max(1, round(known.tokens / rounds / PIECE_UNITS))
+    tasks = min(each, MOST_TASKS)
+    dealt = _dealt(encoded, each * rounds)
+    flat = recurrent.initial(known.unit_counts)
     for turn in range(rounds):
         start = context.broadcast(flat)
-
-        def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            trainer = recurrent.Trainer(start.value)
-            events = np.zeros(SPELLINGS, np.int32)
-
-            def note(batch, piece, t, counts, words, edge) -> None:
-                outside = np.flatnonzero(words < 0)
-                cells = spelling_events(t, outside)
-                n = np.maximum(t.ends[t.example[outside]] - t.starts[t.example[outside]] - 1, 0)
-                np.add.at(events, np.concatenate(cells), np.tile(np.repeat(t.times[outside], n), 2).astype(np.int32))
-
-            for held in _batches(batches, shared.value, note):
-                trainer.learn(held)
-            if not trainer.tokens:
-                return
-            seen = np.flatnonzero(events)
-            total = np.append(trainer.flat.astype(float) * trainer.tokens, trainer.tokens)
-            at = np.concatenate([np.arange(len(total)), len(total) + seen])
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate([total, events[seen]]))], ["i", "x"])
-
-        own = documents.where(F.pmod(part, F.lit(rounds)) == turn).select("text").mapInArrow(learn, "i long, x double")
-        table = own.groupBy("i").agg(F.sum("x").alias("x")).toArrow()
-        found = np.zeros(recurrent.SIZE + 1 + SPELLINGS)
-        found[table["i"].to_numpy()] = table["x"].to_numpy()
-        if found[recurrent.SIZE]:
-            flat = (found[: recurrent.SIZE] / found[recurrent.SIZE]).astype(np.float32)
-            spelling += found[recurrent.SIZE + 1 :].astype(np.int64)
+        task = F.pmod(F.floor(F.col("piece") / rounds), F.lit(tasks)).cast("int")
+        own = dealt.where(F.col("piece") % rounds == turn).withColumn("task", task).repartitionById(tasks, "task")
+        in_order = own.sortWithinPartitions("piece", "key", "again").select("piece", "units")
+        sums = in_order.mapInArrow(partial(_learned, start), "i long, x long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"))
+        found = {r["i"]: int(r["x"]) for r in sums.toLocalIterator()}
+        units = found.get(recurrent.SIZE, 0)
+        if units:
+            flat = np.array([found[i] / units / STEPS_OF_ONE for i in range(recurrent.SIZE)], np.float32)
     return flat, spelling
 
 
