@@ -36,12 +36,14 @@ PAIR_GROUPS = 63
 #: Unit 0 is the end, units 1 to 64 are groups (the first one of all rare pairs), the others are words.
 FIRST_WORD = 2 + PAIR_GROUPS
 MOST_HOT = 200_000
-ROUNDS = 2
+ROUNDS = 4
 #: Units of text that a task scores at once.
 BATCH_UNITS = 3_000_000
 #: Units that one training piece is meant to hold, whatever the table's partitions, and tasks of a round at most.
-PIECE_UNITS = 2_500_000
+PIECE_UNITS = 1_250_000
 MOST_TASKS = 20_000
+#: Of the first round; later rounds take smaller steps, as the average of few pieces is the noisier.
+RATE = 0.01
 #: Weights are summed as whole multiples of its inverse, which a sum in any order leaves the same.
 STEPS_OF_ONE = 1 << 24
 UNIT_KIND = np.dtype("<i2")
@@ -278,12 +280,12 @@ def _dealt(encoded: DataFrame, most: int) -> DataFrame:
     return dealt.withColumn("piece", F.pmod(F.xxhash64("key", "again"), F.lit(most)).cast("int"))
 
 
-def _learned(start, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _learned(start, rate: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the weights, as whole multiples of 1 / ``STEPS_OF_ONE``, times the units that each piece of a task met."""
     total = np.zeros(recurrent.SIZE + 1, np.int64)
 
     def learn(held: list[np.ndarray]) -> None:
-        trainer = recurrent.Trainer(start.value)
+        trainer = recurrent.Trainer(start.value, rate)
         trainer.learn(held)
         total[:-1] += np.rint(trainer.flat.astype(float) * STEPS_OF_ONE).astype(np.int64) * trainer.tokens
         total[-1] += trainer.tokens
@@ -325,7 +327,7 @@ def train(documents: DataFrame, known: Vocabulary, part: Column, rounds: int = R
         task = F.pmod(F.floor(F.col("piece") / rounds), F.lit(tasks)).cast("int")
         own = dealt.where(F.col("piece") % rounds == turn).withColumn("task", task).repartitionById(tasks, "task")
         in_order = own.sortWithinPartitions("piece", "key", "again").select("piece", "units")
-        sums = in_order.mapInArrow(partial(_learned, start), "i long, x long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"))
+        sums = in_order.mapInArrow(partial(_learned, start, RATE / (1 + turn)), "i long, x long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"))
         found = {r["i"]: int(r["x"]) for r in sums.toLocalIterator()}
         units = found.get(recurrent.SIZE, 0)
         if units:
