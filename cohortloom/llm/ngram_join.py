@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortloom.llm.components import components
+from cohortloom.llm.components import components, looked_up
 from cohortloom.llm.sorted_groups import whole_groups
 from cohortloom.llm.textbytes import ALPHANUMERIC, Piece, mix, pieces, run_hashes
 from cohortloom.session import scratch_path
@@ -419,16 +419,21 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = documents.sparkSession
     base, classes, linked = _classes(documents, id_col, text_col, threshold, tolerance, counted=False)
 
-    def few(df: DataFrame, name: str) -> DataFrame:
+    def stored(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         df.write.parquet(path)
-        found = spark.read.parquet(path)
+        return spark.read.parquet(path)
+
+    def few(df: DataFrame, name: str) -> DataFrame:
+        found = stored(df, name)
         return F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
 
     rooted = classes.join(linked.select("k", "root"), "k", "left").withColumn("root", F.coalesce("root", "k"))
     groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n_copies").alias("rows")).where("rows > 1")
+    groups = stored(groups.select("root", "first", F.lit(True).alias("shared")), "groups")
     firsts = few(groups.select(F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h")), "firsts")
-    grouped = rooted.select("k", "root").join(groups.select("root"), "root")
+    # A group of many classes is a hot key: its one row comes to its classes.
+    grouped = looked_up(rooted.select("k", "root"), groups.select("root", "shared"), "root").where("shared")
     texts = few(base.select("k", "h").distinct().join(grouped, "k").select(F.col("h").alias("_h")).distinct(), "one-of-each")
     own = _text_key(id_col, text_col)
     met = documents.join(firsts, (own == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
