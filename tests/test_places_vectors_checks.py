@@ -67,6 +67,36 @@ def test_nearest_in_crowds_against_brute_force(spark, lat, lon, metres):
     assert all(found[k][1] == v[1] and abs(found[k][0] + v[0]) < 1e-5 for k, v in expected.items())
 
 
+def test_nearest_of_many_is_searched_in_its_cell(spark, monkeypatch):
+    """Two hundred places of a type in a cell: no row for each point and cell of a tree, and none for each pair."""
+    rng = random.Random(5)
+    spots = [(20.0 + rng.random() * 0.1, 100.0 + rng.random() * 0.1) for _ in range(700)]
+    spread = [(rng.choice([1, 2, None]), f"p{i % 900}", 20.0 + rng.random() * 0.1, 100.0 + rng.random() * 0.1) for i in range(6000)]
+    pdf = spark.createDataFrame([*spots, (float("nan"), 100.0)], "lat double, lon double")
+    qdf = spark.createDataFrame(spread, "poi_type int, poi_name string, poi_lat double, poi_lon double")
+    stored, original = [], nearest._stored
+    monkeypatch.setattr(nearest, "_stored", lambda df, name: stored.append(name) or original(df, name))
+    rows = nearest.nearest_per_type(pdf, qdf, 2500).collect()
+    assert stored == ["places"] and len(rows) == 1400
+    places_of = {k: np.array([(c, d) for kind, _, c, d in spread if kind == k]) for k in (1, 2)}
+    for r in rows:
+        at = places_of[r.poi_type]
+        half = np.sin(np.radians(at - [r.lat, r.lon]) / 2) ** 2
+        far = 2 * 6367000.0 * np.arcsin(np.sqrt(half[:, 0] + np.cos(np.radians(r.lat)) * np.cos(np.radians(at[:, 0])) * half[:, 1]))
+        assert abs(far.min() - r.distance) < 1e-5 and (r.poi_lat, r.poi_lon) == tuple(at[far.argmin()])
+
+
+def test_nearest_of_hot_cells_is_dealt_over_tasks(spark, monkeypatch):
+    rng = random.Random(6)
+    spots = spark.createDataFrame([(10 + rng.random() / 50, 10 + rng.random() / 50) for _ in range(300)], "lat double, lon double")
+    pois = spark.createDataFrame([(i % 7, f"p{i}", 10 + rng.random() / 50, 10 + rng.random() / 50) for i in range(400)], "poi_type long, poi_name string, poi_lat double, poi_lon double")
+    whole = {tuple(r) for r in nearest.nearest_per_type(spots, pois, 5000).collect()}
+    monkeypatch.setattr(nearest, "POINT_ROWS", 20)
+    monkeypatch.setattr(nearest, "PLACE_ROWS", 50)
+    rows = nearest.nearest_per_type(spots, pois, 5000).collect()
+    assert len(whole) == len(rows) == 2100 and {tuple(r) for r in rows} == whole
+
+
 def test_nearest_ties_by_greater_name(spark):
     points = spark.createDataFrame([(1, 10.0, 10.0), (2, 10.0, 10.0), (3, 50.0, 50.0)], "id int, lat double, lon double")
     pois = spark.createDataFrame([(1, "a", 10.001, 10.0), (1, "b", 10.001, 10.0), (2, "z", 10.0, 10.0005)], "poi_type int, poi_name string, poi_lat double, poi_lon double")
