@@ -72,34 +72,67 @@ def lookalike(df: DataFrame, seeds: DataFrame, key: str, vector: str, dims: int,
     return ranking.ordered_report(ranked, [F.asc("distance"), F.asc(key)], limit)
 
 
-#: Rows of a score matrix that a task holds at once.
+#: Rows and columns of a score matrix that a task holds at once.
 SLICE_ROWS = 512
+SLICE_COLUMNS = 8192
 
 
 #: Vectors of a block of the all-pairs product; a task holds two blocks.
 BLOCK_ROWS = 65_536
 
 
-def block_top(k: int, sides: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    """(id, other, score): the top ``k`` partners of each left row, for (ids, matrix, other ids, other matrix) sides."""
+def _slice_top(k: int, own: np.ndarray, x: np.ndarray, partners: np.ndarray, y: np.ndarray, y32: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, other, score) of the top ``k`` partners of each row of a slice of unit vectors.
+
+    Scores in single precision tell which pairs may still be among the best; only those are measured in double.
+    """
+    x32 = x.astype(np.float32)
+    # Twice what a single precision score may be off by, and the rounding.
+    margin = 2 * (x.shape[1] + 4) * 2.0**-24 + 2e-6
+    row, other, score = np.zeros(0, dtype=np.int64), partners[:0], np.zeros(0)
+    floor = np.full(len(x), -np.inf)
+    for at in range(0, len(partners), SLICE_COLUMNS):
+        columns = slice(at, at + SLICE_COLUMNS)
+        width = len(partners[columns])
+        few = False
+        if np.isfinite(floor).all():
+            maybe = x32 @ y32[columns].T >= (floor - margin).astype(np.float32)[:, None]
+            few = np.count_nonzero(maybe) * 32 <= maybe.size
+        if few:
+            near, column = np.divmod(np.flatnonzero(maybe), width)
+            found = np.einsum("ij,ij->i", x[near], y[at + column])
+        else:
+            scores = x @ y[columns].T
+            scores[own[:, None] == partners[None, columns]] = -np.inf
+            scores[~np.isfinite(scores)] = -np.inf
+            scores = np.round(scores, 6)
+            # Everything at or above the k-th score of its row, ties included; only that is sorted.
+            least = np.partition(scores, -min(k, width), axis=1)[:, -min(k, width)]
+            near, column = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+            found = scores[near, column]
+        # Six decimals before ranking, so that ties do not depend on the order of additions.
+        row, other, score = np.r_[row, near], np.r_[other, partners[at + column]], np.r_[score, np.round(found, 6)]
+        kept = (own[row] != other) & np.isfinite(score)
+        row, other, score = row[kept], other[kept], score[kept]
+        order = np.lexsort((other, -score, row))
+        row, other, score = row[order], other[order], score[order]
+        first = np.searchsorted(row, np.arange(len(x) + 1))
+        kept = np.arange(len(row)) - first[row] < k
+        full = np.diff(first) >= k
+        floor[full] = score[first[:-1][full] + k - 1]
+        row, other, score = row[kept], other[kept], score[kept]
+    return row, other, score
 
-    def best(ids: np.ndarray, others: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
-        width = min(k, scores.shape[1])
-        # Everything at or above the k-th score of its row, ties included; only that is sorted.
-        floor = np.partition(scores, -width, axis=1)[:, -width]
-        row, column = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-        found = pd.DataFrame({"id": ids[row], "other": others[column], "score": scores[row, column]})
-        found = found.sort_values(["id", "score", "other"], ascending=[True, False, True])
-        return found[found.groupby("id").cumcount() < k]
 
+def block_top(k: int, sides: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """(id, other, score): the top ``k`` partners of each left row, for (ids, matrix, other ids, other matrix) sides."""
     out = [pd.DataFrame({"id": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})]
     for own, x, partners, y in sides:
+        y32 = y.astype(np.float32)
         for at in range(0, len(own), SLICE_ROWS):
             rows = slice(at, at + SLICE_ROWS)
-            # Six decimals before ranking, so that ties do not depend on the order of additions.
-            scores = np.round(x[rows] @ y.T, 6)
-            scores[own[rows, None] == partners[None, :]] = -np.inf
-            out.append(best(own[rows], partners, scores))
+            row, other, score = _slice_top(k, own[rows], x[rows], partners, y, y32)
+            out.append(pd.DataFrame({"id": own[rows][row], "other": other, "score": score}))
     return pd.concat(out[1:] or out)
 
 

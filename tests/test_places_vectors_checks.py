@@ -144,6 +144,24 @@ def test_cosine_blocks_against_numpy(spark):
         assert {(r.id, r.other, r.score) for r in rows} == expected and len(rows) == 90 * 7
 
 
+@pytest.mark.parametrize("copies", [0, 300])
+def test_block_top_in_slices_of_columns(monkeypatch, copies):
+    """Few pairs are measured in double: the others cannot be among the best. Equal scores go by the smaller id."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 24))
+    x[:copies] = x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = rng.permutation(1500)
+    monkeypatch.setattr(vectors, "SLICE_COLUMNS", 128)
+    measured, original = [], np.einsum
+    monkeypatch.setattr(vectors.np, "einsum", lambda *a, **b: measured.append(len(out := original(*a, **b))) or out)
+    found = vectors.block_top(5, [(ids, x, ids, x)])
+    scores = np.round(x @ x.T, 6)
+    expected = {(ids[i], ids[j], scores[i, j]) for i in range(1500) for j in sorted(set(range(1500)) - {i}, key=lambda j: (-scores[i, j], ids[j]))[:5]}
+    assert len(found) == 7500 and set(zip(found["id"], found["other"], found["score"], strict=True)) == expected
+    assert 0 < sum(measured) < 1500 * 1500 / 10
+
+
 def test_mean_standardise_project(spark):
     df = spark.createDataFrame([(1, [1.0, 5.0]), (1, [3.0, 5.0]), (2, [8.0, 5.0])], "k int, v array<double>")
     assert {r.k: r["mean"] for r in vectors.mean_vector(df, ["k"], "v", 2).collect()} == {1: [2.0, 5.0], 2: [8.0, 5.0]}
