@@ -2,7 +2,8 @@
 
 The centres are fitted on a bounded sample; every vector is in the list of its nearest centre. A search compares a
 vector with the lists of its ``probes`` nearest centres; with all lists it is exact. Long lists are cut into parts,
-and lists that many rows ask for deal these rows over tasks, so that a task holds a bounded number of either.
+short ones are searched several to a task, so that a row is copied once for all its lists there. Lists that many
+rows ask for deal these rows over tasks, so that a task holds a bounded number of either.
 """
 
 from __future__ import annotations
@@ -62,9 +63,9 @@ class VectorIndex:
         placed.write.parquet(path)
         stored = spark.read.parquet(path)
         sizes = stored.groupBy("list").agg(F.count(F.lit(1)).alias("_n"))
-        #: (list, parts): at most ``MOST_LISTS`` rows.
-        self.parts = sizes.select("list", F.ceil(F.col("_n") / PART_ROWS).cast("int").alias("parts"))
-        self.rows = stored.join(F.broadcast(self.parts), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        #: (list, n, parts): at most ``MOST_LISTS`` rows.
+        self.sizes = sizes.select("list", F.col("_n").alias("n"), F.ceil(F.col("_n") / PART_ROWS).cast("int").alias("parts"))
+        self.rows = stored.join(F.broadcast(self.sizes.select("list", "parts")), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
     def _nearest(self, units: DataFrame, probes: int) -> DataFrame:
         """(id, unit, lists): the numbers of the nearest centres, nearest first."""
@@ -81,25 +82,66 @@ class VectorIndex:
 
         return units.mapInArrow(place, "id long, unit array<double>, lists array<int>")
 
+    def _bundles(self) -> tuple[DataFrame, np.ndarray]:
+        """(list, part, bundle): lists in bundles of at most ``PART_ROWS`` vectors, each part of a longer one by itself; and
+        the first bundle and the number of parts by list."""
+        sizes = sorted((r["list"], r["n"], r["parts"]) for r in self.sizes.collect())
+        rows, of, bundle, held = [], np.zeros((self.lists, 2), dtype=np.int32), -1, PART_ROWS
+        for number, n, parts in sizes:
+            if parts > 1 or held + n > PART_ROWS:
+                bundle, held = bundle + 1, 0
+            of[number] = bundle, parts
+            rows += [(number, part, bundle + part) for part in range(parts)]
+            bundle, held = bundle + parts - 1, PART_ROWS if parts > 1 else held + n
+        return self.spark.createDataFrame(rows, "list int, part int, bundle int"), of
+
     def search(self, queries: DataFrame, k: int, probes: int) -> DataFrame:
         """(id, other, score, rn): for each row of ``queries`` (id, unit) the ``k`` best others in its ``probes`` nearest lists."""
-        asked = self._nearest(queries, min(probes, max(1, self.lists))).select("id", "unit", F.explode("lists").alias("list"))
-        path = scratch_path(self.spark, "asked")
-        asked.write.parquet(path)
-        asked = self.spark.read.parquet(path)
-        demand = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("turns"))
-        plan = F.broadcast(self.parts.join(demand, "list"))
-        left = asked.join(plan, "list").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int"))
-        left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "unit", "list", "part", "turn")
-        right = self.rows.join(F.broadcast(demand), "list").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
-        right = right.select("id", "unit", "list", "part", "turn")
+        bundles, of = self._bundles()
+        if probes >= self.lists:
+            # Every row meets every list: nothing to choose.
+            asked = queries.select("id", "unit", F.lit(None).cast("array<int>").alias("lists")).join(F.broadcast(bundles.select("bundle").distinct()))
+        else:
+            shared = self.spark.sparkContext.broadcast(of)
+
+            def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                """A row for each bundle with lists that are asked, with those."""
+                for batch in batches:
+                    lists = np.asarray(batch.column("lists").flatten())
+                    row = np.repeat(np.arange(batch.num_rows), len(lists) // max(1, batch.num_rows))
+                    first, parts = shared.value[lists].T
+                    at = np.repeat(np.arange(len(lists)), parts)
+                    bundle = first[at] + np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
+                    order = np.lexsort((bundle, row[at]))
+                    row, bundle, lists = row[at][order], bundle[order], lists[at][order]
+                    starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (bundle[1:] != bundle[:-1])]) if len(row) else row
+                    held = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(lists)].astype(np.int32)), pa.array(lists))
+                    own = batch.take(pa.array(row[starts]))
+                    yield pa.RecordBatch.from_arrays([own.column("id"), own.column("unit"), held, pa.array(bundle[starts].astype(np.int32))], ["id", "unit", "lists", "bundle"])
+
+            asked = self._nearest(queries, max(1, probes)).mapInArrow(ask, "id long, unit array<double>, lists array<int>, bundle int")
+            path = scratch_path(self.spark, "asked")
+            asked.write.parquet(path)
+            asked = self.spark.read.parquet(path)
+        demand = F.broadcast(asked.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("turns")))
+        left = asked.join(demand, "bundle").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int"))
+        left = left.select(*[F.col(c).alias(c) for c in ("id", "unit", "lists", "bundle", "turn")])
+        right = self.rows.join(F.broadcast(bundles), ["list", "part"]).join(demand, "bundle")
+        right = right.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).select("id", "unit", "list", "bundle", "turn")
 
         def meet(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
             if own.empty or others.empty:
                 return block_top(k, [])
-            return block_top(k, [(own["id"].to_numpy(), np.stack(own["unit"].to_numpy()), others["id"].to_numpy(), np.stack(others["unit"].to_numpy()))])
-
-        on = ["list", "part", "turn"]
+            ids, x, partners, y = own["id"].to_numpy(), np.stack(own["unit"].to_numpy()), others["id"].to_numpy(), np.stack(others["unit"].to_numpy())
+            if own["lists"].iloc[0] is None:
+                return block_top(k, [(ids, x, partners, y)])
+            lists, row = np.concatenate(own["lists"].to_numpy()), np.repeat(np.arange(len(own)), own["lists"].map(len))
+            where = others["list"].to_numpy()
+            found = block_top(k, [(ids[row[lists == n]], x[row[lists == n]], partners[where == n], y[where == n]) for n in np.unique(where)])
+            found = found.sort_values(["id", "score", "other"], ascending=[True, False, True])
+            return found[found.groupby("id").cumcount() < k]
+
+        on = ["bundle", "turn"]
         partial = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(meet, "id long, other long, score double")
         return ranking.top_k_per_group(partial, ["id"], [F.desc("score"), F.asc("other")], k)
 

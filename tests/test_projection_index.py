@@ -96,6 +96,23 @@ def test_index_finds_what_it_must(spark, monkeypatch):
     assert index.probes_for(10, 1.0, every=10) >= probes
 
 
+def test_a_row_meets_many_short_lists_at_once(spark, monkeypatch):
+    """Lists are searched in bundles: a row is copied once to each, not to each of its lists."""
+    monkeypatch.setattr(vector_index, "PART_ROWS", 100)
+    df, exact = _clusters(spark)
+    index = vector_index.VectorIndex(df, "id", "v", lists=60)
+    bundles, of = index._bundles()
+    placed = {(r.list, r.part): r.bundle for r in bundles.collect()}
+    held = {}
+    for r in index.rows.collect():
+        held[placed[r.list, r.part]] = held.get(placed[r.list, r.part], 0) + 1
+        assert of[r.list][0] + r.part == placed[r.list, r.part]
+    assert len(held) < 20 and max(held.values()) < 140
+    for probes in (60, 59, 7):
+        rows = index.search(index.queries(), 10, probes).collect()
+        assert len(rows) == 7000 and len({(r.id, r.other) for r in rows} & exact) >= (7000 if probes > 58 else 5000)
+
+
 def test_index_of_nothing_and_of_one(spark):
     df, _ = _clusters(spark, n=1)
     none = vector_index.VectorIndex(df.where("id > 4000"), "id", "v")
