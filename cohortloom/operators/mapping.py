@@ -16,9 +16,20 @@ from pyspark.sql import functions as F
 from cohortloom.operators.ranking import top_k_per_group
 
 
-def first_last_seen(df: DataFrame, key: str, id_: str, first: str, last: str) -> DataFrame:
-    """State of (key, id) with the earliest ``first`` and the latest ``last``; rows without key or id drop."""
-    known = df.where(F.col(key).isNotNull() & F.col(id_).isNotNull())
+#: Pairs that a task merges at once, where the number of rows is known.
+TASK_ROWS = 500_000
+
+
+def _dealt(df: DataFrame, rows: int | None, *keys: str) -> DataFrame:
+    """Rows by key, in as many partitions as ``rows`` need. Pairs rarely repeat within a task, so a merge before
+    the shuffle would only hold the whole of a task's input."""
+    return df if rows is None else df.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
+
+
+def first_last_seen(df: DataFrame, key: str, id_: str, first: str, last: str, rows: int | None = None) -> DataFrame:
+    """State of (key, id) with the earliest ``first`` and the latest ``last``; rows without key or id drop. With ``rows``,
+    their number at most, a task's memory does not grow with them."""
+    known = _dealt(df.where(F.col(key).isNotNull() & F.col(id_).isNotNull()), rows, key, id_)
     return known.groupBy(key, F.col(id_).alias("id")).agg(
         F.min(first).alias("first_seen"), F.max(last).alias("last_seen")
     )
@@ -49,10 +60,10 @@ def invert(df: DataFrame, entity: str, ids: str, first: str, last: str) -> DataF
     return first_last_seen(rows, "key", entity, "first_seen", "last_seen")
 
 
-def merge_full_increment(full: DataFrame, increment: DataFrame, key: str) -> DataFrame:
+def merge_full_increment(full: DataFrame, increment: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """State after a day: pairs of either side, the same id in both keeps the earliest first and the
     latest last sight. Equal to one build over all rows, in whatever portions they come."""
-    return full.unionByName(increment).groupBy(key, "id").agg(
+    return _dealt(full.unionByName(increment), rows, key, "id").groupBy(key, "id").agg(
         F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
     )
 

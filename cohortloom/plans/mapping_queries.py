@@ -21,9 +21,9 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY l DESC,
 IDS_TEXT = "string_agg(CAST(l AS VARCHAR) || ':' || CAST(id AS VARCHAR) || ':' || CAST(f AS VARCHAR), ';' ORDER BY l DESC, id DESC)"
 
 
-def _state(t, rows=None):
+def _state(t, rows=None, most=None):
     rows = fixtures.purchases(t) if rows is None else rows
-    return mapping.first_last_seen(rows, "o_custkey", "l_partkey", "day", "day")
+    return mapping.first_last_seen(rows, "o_custkey", "l_partkey", "day", "day", most)
 
 
 def _ids(t, limit):
@@ -71,9 +71,9 @@ def mapping_inversion(t):
 )
 def mapping_merge(t):
     cut = F.lit(date(1998, 6, 30))
-    rows = fixtures.purchases(t)
-    full, increment = _state(t, rows.where(F.col("day") <= cut)), _state(t, rows.where(F.col("day") > cut))
-    merged = mapping.newest_ids(mapping.merge_full_increment(full, increment, "o_custkey"), "o_custkey", 30)
+    rows, most = fixtures.purchases(t), t.lineitem.count()
+    full, increment = _state(t, rows.where(F.col("day") <= cut), most), _state(t, rows.where(F.col("day") > cut), most)
+    merged = mapping.newest_ids(mapping.merge_full_increment(full, increment, "o_custkey", most), "o_custkey", 30)
     return merged.select("o_custkey", _text(F.col("ids")).alias("ids"), "update_time")
 
 

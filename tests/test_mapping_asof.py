@@ -163,3 +163,14 @@ def test_parent_cycle_is_an_error(spark, length):
     df = spark.createDataFrame([(i, i % length + 1, 5) for i in range(1, length + 1)], "id int, parent int, level int")
     with pytest.raises(ValueError, match="cycle"):
         lookup.parent_at_level(df, "id", "parent", "level", 2)
+
+
+def test_a_merge_is_dealt_by_its_rows(spark, monkeypatch):
+    """As many tasks as the rows need, and the same state."""
+    monkeypatch.setattr(mapping, "TASK_ROWS", 10)
+    rows = spark.createDataFrame([(i % 7, i % 11, i) for i in range(200)] + [(None, 1, 1), (1, None, 1)], "k int, i int, d int")
+    parts = [mapping.first_last_seen(rows.where(c), "k", "i", "d", "d", 202) for c in ("d < 90", "d >= 90")]
+    merged = mapping.merge_full_increment(*parts, "k", 202)
+    assert parts[0].rdd.getNumPartitions() == merged.rdd.getNumPartitions() == 21
+    whole = mapping.first_last_seen(rows, "k", "i", "d", "d")
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect())) and merged.count() == 77
