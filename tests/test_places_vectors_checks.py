@@ -216,3 +216,20 @@ def test_missing_partitions(spark):
     expected = spark.createDataFrame([("s", "1"), ("s", "2")], "source string, day string")
     present = spark.createDataFrame([("s", "1"), ("s", "1")], "source string, day string")
     assert [tuple(r) for r in checks.missing_partitions(expected, present, ["source", "day"]).collect()] == [("s", "2")]
+
+
+def test_metres_are_rounded_as_spark_rounds(spark):
+    rng = random.Random(5)
+    values = [rng.uniform(0, 10 ** rng.uniform(-7, 7.7)) for _ in range(4000)] + [i / 8 for i in range(100)] + [1.0000005, 0.1234565, 2.675, 1e-7, 4.5e7]
+    values += [i / 2000 for i in range(1, 2000, 2)] + [float("nan"), float("inf"), -1.5, -0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for places_ in (6, 3):
+        assert df.where(~geo.round_metres(F.col("x"), places_).eqNullSafe(F.round("x", places_))).collect() == []
+
+
+def test_a_place_at_the_bound_is_measured(spark):
+    points = spark.createDataFrame([(1, 10.0, 20.0)], "id int, lat double, lon double")
+    pois = spark.createDataFrame([("p", 10.0, 20.001)], "poi_name string, poi_lat double, poi_lon double")
+    bound = places.within_distance(points, pois, 1000).first()["distance"]
+    for step, kept in ((0.0, 0), (1e-6, 1), (-1e-6, 0), (1.0, 1), (-1.0, 0)):
+        assert places.within_distance(points, pois, bound + step).count() == kept
