@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators import ranking
+from cohortloom.operators import ranking, word_vectors
 from cohortloom.session import scratch_path
 
 
@@ -209,15 +209,11 @@ def latest_texts(df: DataFrame, name: str, text: str, day: str, newest, days: in
 
 
 def text_embedding(df: DataFrame, text: str, stop_words: Sequence[str], minimum_count: int, size: int = 100, seed: int = 42, slices: int = 8) -> DataFrame:
-    """Mean Word2Vec vector of the tokens of each row, as array<double>, and the tokens. ``minimum_count``
-    bounds the vocabulary, which Spark ML keeps on the driver; the text is trained on in ``slices``, so that
-    the result does not depend on the cluster."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
+    """Mean Word2Vec vector of the tokens of each row, as array<double>, and the tokens. Words seen ``minimum_count`` times
+    have a vector. The text is trained on in ``slices``, more when these would be large (``word_vectors``), so that the result
+    does not depend on the cluster."""
     worded = df.withColumn("tokens", tokens(F.col(text), stop_words))
-    model = Word2Vec(vectorSize=size, minCount=minimum_count, seed=seed, numPartitions=slices, inputCol="tokens", outputCol="_vector").fit(worded)
-    return model.transform(worded).withColumn("embedding", vector_to_array("_vector")).drop("_vector")
+    return word_vectors.mean_vectors(worded, minimum_count, size, seed, slices)
 
 
 def parse_vector(text: Column, separator: str = ",") -> Column:

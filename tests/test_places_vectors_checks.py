@@ -233,3 +233,46 @@ def test_a_place_at_the_bound_is_measured(spark):
     bound = places.within_distance(points, pois, 1000).first()["distance"]
     for step, kept in ((0.0, 0), (1e-6, 1), (-1e-6, 0), (1.0, 1), (-1.0, 0)):
         assert places.within_distance(points, pois, bound + step).count() == kept
+
+
+def _topic_texts(spark, copies=1):
+    rng = random.Random(2)
+    topics = [[f"{t}{i}" for i in range(30)] for t in "abc"]
+    texts = [(i, " ".join(rng.choices(topics[i % 3], k=40))) for i in range(240)]
+    rows = [*texts, *[(1000 + i, t) for i, t in texts[:copies]], (2000, ""), (2001, None), (2002, "once_only"), (2003, "The of")]
+    return spark.createDataFrame(rows, "id int, text string")
+
+
+def test_word_vectors_tell_topics_apart_over_many_slices(spark, monkeypatch):
+    from cohortloom.operators import word_vectors
+
+    monkeypatch.setattr(word_vectors, "SLICE_WORDS", 600)
+    found = {r.id: r for r in vectors.text_embedding(_topic_texts(spark, 20), "text", ["the", "of"], minimum_count=2, size=16).collect()}
+    assert len(found) == 264 and all(len(r.embedding) == 16 for r in found.values())
+    assert all(not any(found[i].embedding) for i in (2000, 2001, 2003)) and found[2001].tokens is None and found[2003].tokens == []
+    # Copies lie in other slices and have the same vector.
+    assert all(found[1000 + i].embedding == found[i].embedding for i in range(20))
+    units = np.array([found[i].embedding for i in range(240)])
+    units -= units.mean(0)
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    scores = units @ units.T - 9 * np.eye(240)
+    assert (scores.argmax(1) % 3 == np.arange(240) % 3).mean() > 0.95
+
+
+def test_word_vectors_do_not_depend_on_the_partitions(spark):
+    a, b = (
+        {r.id: r.embedding for r in vectors.text_embedding(_topic_texts(spark).repartition(n), "text", [], minimum_count=2, size=8).collect()} for n in (1, 7)
+    )
+    assert a == b and any(a[0])
+
+
+def test_a_task_holds_the_vectors_of_its_own_words_only(spark, monkeypatch):
+    """The vocabulary grows with the table; no slice and no driver has all of it."""
+    from cohortloom.operators import word_vectors
+
+    monkeypatch.setattr(word_vectors, "SLICE_WORDS", 200)
+    own = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(20)) + f" w{i}x0") for i in range(100)], "id int, text string")
+    rows = vectors.text_embedding(own, "text", [], minimum_count=2, size=8)
+    plan = rows._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[-1].count("FlatMapCoGroupsInArrow") == 2
+    assert all(any(r.embedding) for r in rows.collect())
