@@ -276,3 +276,32 @@ def test_a_task_holds_the_vectors_of_its_own_words_only(spark, monkeypatch):
     plan = rows._jdf.queryExecution().toString()
     assert plan.split("== Physical Plan ==")[-1].count("FlatMapCoGroupsInArrow") == 2
     assert all(any(r.embedding) for r in rows.collect())
+
+
+@pytest.mark.parametrize(("lat", "lon", "metres"), [(20.0, 100.0, 3000), (-65.0, 179.995, 4000), (89.9, 0.0, 20000), (0.0, -180.0, 90_000), (45.0, -170.0, 0.5)])
+def test_the_distance_by_chord_is_the_haversine(spark, lat, lon, metres):
+    """The same double, also where the chord says too little to round, and beside the bound."""
+    size = metres / 100_000
+    shift = [F.rand(s) * 2 * size - size for s in (1, 2, 3, 4)]
+    wide = 500 if lat > 80 else 1
+    points = spark.range(400).select("id", F.least(F.lit(lat) + shift[0], F.lit(90.0)).alias("lat"), (F.lit(lon) + shift[1] * wide).alias("lon"))
+    pois = spark.range(400).select(F.col("id").alias("poi_name"), F.least(F.lit(lat) + shift[2], F.lit(90.0)).alias("poi_lat"), (F.lit(lon) + shift[3] * wide).alias("poi_lon"))
+    points, pois = (spark.createDataFrame(df.collect(), df.schema) for df in (points, pois))
+    found = {(r.id, r.poi_name): r.distance for r in places.within_distance(points, pois, metres).collect()}
+    every = points.crossJoin(pois).withColumn("d", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("poi_lat"), F.col("poi_lon"))).where(F.col("d") < metres)
+    assert found == {(r.id, r.poi_name): r.d for r in every.collect()} and len(found) > 1000
+
+
+def test_the_pairs_are_made_by_a_method_that_java_compiles(spark):
+    """Java interprets a method of more than 8000 bytes: the join's loop stays well below."""
+    points = spark.createDataFrame([(1, 80.0, 3.0), (2, None, 1.0)], "id int, lat double, lon double")
+    pois = spark.createDataFrame([("a", 80.0, 3.01), ("b", 80.0, None)], "poi_name string, poi_lat double, poi_lon double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = places.within_distance(points, pois, 15000)
+        assert [(r.id, r.poi_name) for r in met.collect()] == [(1, "a")]
+        stages = met._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()) if "MergeJoin" in stages.apply(i)._1()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 1 and 0 < sizes[0] < 5000
